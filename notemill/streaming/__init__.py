@@ -1,0 +1 @@
+"""No streaming operator is in scope: change detection is a batch comparison of snapshots."""
