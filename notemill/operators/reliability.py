@@ -12,7 +12,7 @@ from notemill.operators.running import forward_fill
 
 MAX_DIFFICULTY = 120
 RESOLVED = "(resolved)"
-ROW_WIDTHS = (1 << 17, 1 << 29)
+ROW_WIDTHS = (1 << 14, 1 << 28)
 
 # What a difficulty level without any dispute gets.
 UNCONTESTED = {

@@ -5,18 +5,25 @@ one key holds a third of the table that task never ends. Here the key is cut
 into slices of its ordering column:
 
 1. every slice is summarised by a map-side combining aggregate,
-2. the running value *before* each slice is found on those summaries (in turn
-   by slices, as long as further widths are given),
+2. the running value *before* each slice is found on those summaries,
 3. that value enters its slice as one extra row, so a single window over
    ``(key, slice)`` sees both the earlier slices and its own rows.
 
-The rows are shuffled once, on ``(key, slice)``, and no join is needed.
+The rows are shuffled once, on ``(key, slice)``, and no join of large sides is
+needed. Slices are cut in one of two ways:
+
+* by fixed ``widths``, where positions are dense integers: a slice is then
+  bounded by its width, and most keys fit in a few slices. Summaries are cut
+  again by the next width, so they cannot pile up either;
+* by ``rows_per_task``, where positions are sparse: only keys with more rows
+  than that are cut, as finely as their size asks for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,65 +56,103 @@ def slice_id(df: DataFrame, position: str, width: int) -> Column:
     return F.floor(F.col(position) / F.lit(float(width)))
 
 
-def carried_into_slices(
-    df: DataFrame, keys: Sequence[str], position: str, runs: Mapping[str, Running],
-    widths: Sequence[int], tiebreak: Sequence[str] = (), level: int = 0,
+def cut_large_keys(df: DataFrame, keys: Sequence[str], position: str, rows_per_task: int) -> DataFrame:
+    """``df`` plus ``_slice0`` and ``_cut``: keys above ``rows_per_task`` rows fall into slices.
+
+    The table of large keys is broadcast. Each of its rows stands for more than
+    ``rows_per_task`` input rows, so it has fewer than ``input / rows_per_task``.
+    """
+    large = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(position).alias("_low"), F.max(position).alias("_high"))
+        .filter(F.col("_n") > rows_per_task)
+        .select(
+            *[F.col(k).alias(f"_key_{k}") for k in keys], "_low",
+            F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / F.col("_n") * rows_per_task), F.lit(1))
+            .cast("bigint").alias("_step"),
+        )
+    )
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return df.join(F.broadcast(large), same, "left").select(
+        *df.columns,
+        F.coalesce(F.expr(f"(`{position}` - _low) div _step"), F.lit(0).cast("bigint")).alias("_slice0"),
+        F.col("_step").isNotNull().alias("_cut"),
+    )
+
+
+def _carried(
+    sliced: DataFrame, keys: Sequence[str], position: str, runs: Mapping[str, Running],
+    widths: Sequence[int], tiebreak: Sequence[str], level: int,
 ) -> DataFrame:
     """One row per (keys, ``_slice<level>``): the running values before that slice."""
     name = f"_slice{level}"
     order = F.struct(position, *tiebreak) if tiebreak else F.col(position)
-    inputs = df.withColumns({f"_in_{out}": run.source for out, run in runs.items()})
     summary = (
-        inputs.withColumn(name, slice_id(df, position, widths[0]))
+        sliced.withColumns({f"_in_{out}": run.source for out, run in runs.items()})
         .groupBy(*keys, name)
         .agg(*[run.summary(f"_in_{out}", order).alias(f"_sum_{out}") for out, run in runs.items()])
     )
     upper = {out: Running(run.kind, F.col(f"_sum_{out}")) for out, run in runs.items()}
-    return running(summary, keys, name, upper, widths[1:], level=level + 1).select(*keys, name, *runs)
+    return running(summary, keys, name, upper, widths, level=level + 1).select(*keys, name, *runs)
+
+
+def carried_into_slices(
+    df: DataFrame, keys: Sequence[str], position: str, runs: Mapping[str, Running], widths: Sequence[int],
+) -> DataFrame:
+    """One row per (keys, ``_slice0``) of ``widths[0]``: the running values before that slice."""
+    sliced = df.withColumn("_slice0", slice_id(df, position, widths[0]))
+    return _carried(sliced, keys, position, runs, widths[1:], (), 0)
 
 
 def running(
     df: DataFrame, keys: Sequence[str], position: str, runs: Mapping[str, Running],
-    widths: Sequence[int], tiebreak: Sequence[str] = (), include_current: bool = False, level: int = 0,
+    widths: Sequence[int] = (), tiebreak: Sequence[str] = (), include_current: bool = False, level: int = 0,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """``df`` plus one column per run: its value over the earlier rows of the key.
 
-    ``widths`` are slice widths in units of ``position``, finest first; with no
-    width left a plain window over the keys is used. ``position`` must be
-    NULL-free; rows that tie on it are ordered by ``tiebreak``.
+    ``widths`` are slice widths in units of ``position``, finest first; instead,
+    ``rows_per_task`` cuts only large keys. With neither, a plain window over
+    the keys is used. ``position`` must be NULL-free; rows that tie on it are
+    ordered by ``tiebreak``.
     """
     end = Window.currentRow if include_current else -1
     inputs = {f"_in_{out}": run.source for out, run in runs.items()}
-    if not widths:
+    by_slice = bool(widths) or rows_per_task is not None
+    if not by_slice:
         window = Window.partitionBy(*keys).orderBy(position, *tiebreak).rowsBetween(Window.unboundedPreceding, end)
         rows = df.withColumns(inputs)
     else:
         name = f"_slice{level}"
-        carried = carried_into_slices(df, keys, position, runs, widths, tiebreak, level)
+        if rows_per_task is not None:
+            sliced = cut_large_keys(df, keys, position, rows_per_task)
+            several = sliced.filter("_cut")
+        else:
+            several = sliced = df.withColumn(name, slice_id(df, position, widths[0]))
+        carried = _carried(several, keys, position, runs, widths[1:], tiebreak, level)
         markers = carried.select(
             *keys, name, *[F.col(out).alias(f"_in_{out}") for out in runs], F.lit(0).alias("_is_row")
         )
-        rows = (
-            df.withColumns({name: slice_id(df, position, widths[0]), **inputs, "_is_row": F.lit(1)})
-            .unionByName(markers, allowMissingColumns=True)
-        )
+        rows = sliced.withColumns({**inputs, "_is_row": F.lit(1)}).unionByName(markers, allowMissingColumns=True)
         window = (
             Window.partitionBy(*keys, name).orderBy("_is_row", position, *tiebreak)
             .rowsBetween(Window.unboundedPreceding, end)
         )
     out = rows.withColumns({out: run.over(f"_in_{out}", window) for out, run in runs.items()})
-    if widths:
+    if by_slice:
         out = out.filter(F.col("_is_row") == 1)
     return out.select(*df.columns, *runs)
 
 
 def row_numbers(
-    df: DataFrame, keys: Sequence[str], position: str, widths: Sequence[int],
-    tiebreak: Sequence[str] = (), name: str = "row_number",
+    df: DataFrame, keys: Sequence[str], position: str, widths: Sequence[int] = (),
+    tiebreak: Sequence[str] = (), name: str = "row_number", rows_per_task: int | None = None,
 ) -> DataFrame:
     """``row_number`` over (keys) ordered by (position, tiebreak), by slices."""
     ones = {name: Running("sum", F.lit(1).cast("bigint"))}
-    return running(df, keys, position, ones, widths, tiebreak, include_current=True)
+    return running(
+        df, keys, position, ones, widths, tiebreak, include_current=True, rows_per_task=rows_per_task
+    )
 
 
 def forward_fill(

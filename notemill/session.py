@@ -41,9 +41,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch paths of this process, once nothing reads them any more."""
+    while _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:

@@ -15,7 +15,8 @@ from notemill.operators.running import row_numbers
 HOUR_US = 3_600_000_000
 EPOCH_US = 1_704_067_200_000_000  # 2024-01-01 00:00 UTC
 CHUNK_NOTES = 4096
-ROW_WIDTHS = (1 << 17, 1 << 29)
+ROW_WIDTHS = (1 << 14, 1 << 28)
+ROWS_PER_TASK = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,13 +36,10 @@ def raw_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notes numbered from 1 within each song by time.
-
-    Ordinals are found by slices of an hour, so a song with very many notes is
-    not sorted in one task.
-    """
+    """Notes numbered from 1 within each song by time; very large songs are numbered by slices."""
     numbered = row_numbers(
-        raw_notes(spark, sf_dir), ["song_id"], "us", [HOUR_US, 720 * HOUR_US], tiebreak=["event_id"], name="note_id"
+        raw_notes(spark, sf_dir), ["song_id"], "us", tiebreak=["event_id"], name="note_id",
+        rows_per_task=ROWS_PER_TASK,
     )
     return with_seconds(
         numbered.select("song_id", "note_id", F.floor(F.col("ms") * 30 / 1000).cast("int").alias("framers"),
