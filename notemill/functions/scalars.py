@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +72,16 @@ def lane_active(orientation: Column | str, lane: int) -> Column:
     return F.substring(column(orientation), lane + 1, 1) == "1"
 
 
+def active_lanes(flags: Sequence[Column]) -> Column:
+    """Array of the 0-based lanes whose flag is true.
+
+    Built with ``array_remove``, which is generated code; ``array_compact`` and
+    ``filter`` run a lambda per element outside of it.
+    """
+    marked = [F.when(is_set, F.lit(lane)).otherwise(F.lit(-1)) for lane, is_set in enumerate(flags)]
+    return F.array_remove(F.array(*marked), -1)
+
+
 def lane_count(orientation: Column | str, lanes: int = DEFAULT_LANES) -> Column:
     """Number of set lanes among the first ``lanes`` positions."""
     total = F.lit(0)

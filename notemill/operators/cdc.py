@@ -86,7 +86,11 @@ def freeze(keys: DataFrame) -> DataFrame:
 
 
 def scope(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys``."""
+    """Rows of ``df`` whose key is in ``keys``.
+
+    Give frozen keys for a note table: they are broadcast by their true size,
+    and beyond that a hot song can be split in the join.
+    """
     return df.join(keys.select(key), key, "left_semi").select(*df.columns)
 
 

@@ -14,9 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notemill.functions.scalars import DEFAULT_LANES, lane_active, lane_count, lane_string
+from notemill.functions.scalars import DEFAULT_LANES, active_lanes, lane_active, lane_count, one_hot
 from notemill.operators.notes import split_chords
-from notemill.operators.running import Running, carried_into_slices, running
+from notemill.operators.running import Running, carried_into_slices, running, slice_id
 
 SLICE_MS = 1 << 17
 SLICE_WIDTHS = (SLICE_MS, SLICE_MS << 12)
@@ -37,11 +37,11 @@ class Kernel:
         """(low, high, weight), neighbouring steps of equal weight joined."""
         out: list[tuple[int, int, float]] = []
         for low, high, weight in zip(self.bounds, self.bounds[1:], self.weights):
-            if out and out[-1][1] == low and out[-1][2] == weight:
+            if out and out[-1][2] == weight:
                 out[-1] = (out[-1][0], high, weight)
             else:
                 out.append((low, high, weight))
-        return [band for band in out if band[2] != 0]
+        return out
 
     def weight(self, diff: Column, unit: float = 1) -> Column:
         """Weight of a signed difference; ``unit`` scales the bounds (1e-3 for seconds)."""
@@ -59,27 +59,35 @@ JUDGE = Kernel(
 )
 
 
-def vertical_density(lane_rows: DataFrame, time: str = "ms", widths: Sequence[int] = SLICE_WIDTHS) -> DataFrame:
+def _vertical_columns(time: str, per_second: float) -> list[Column]:
+    """Previous time, gap and density from ``_prev``, in seconds."""
+    gap = F.col(time) - F.col("_prev")
+    return [
+        (F.col("_prev") / F.lit(per_second)).alias("prev_timestamp"),
+        (gap / F.lit(per_second)).alias("time_delta"),
+        F.when(gap > 0, F.lit(per_second) / gap).otherwise(F.lit(0.0)).alias("vertical_density"),
+    ]
+
+
+def vertical_density(
+    lane_rows: DataFrame, time: str = "ms", widths: Sequence[int] = SLICE_WIDTHS, carry: Sequence[str] = (),
+) -> DataFrame:
     """Inverse of the gap to the previous note of the same song and lane.
 
     The first note of a lane has NULL previous time and gap; it and any note
     without a positive gap has density 0. Takes integer ``ms`` or a column of
-    seconds (give the slice widths in seconds then).
+    seconds (give the slice widths in seconds then). ``carry`` columns pass through.
     """
     per_second = 1000.0 if time == "ms" else 1.0
     prev = running(
-        lane_rows, ["song_id", "orientation"], time, {"_prev": Running("last", F.col(time))},
+        lane_rows, ["song_id", "orientation"], time, {"_prev": Running("max", F.col(time))},
         widths, tiebreak=["note_id"],
     )
-    gap = F.col(time) - F.col("_prev")
     return prev.select(
         "song_id", "note_id",
         *(["ms"] if time == "ms" else []),
         (F.col(time) / F.lit(per_second)).alias("timestamp"),
-        "orientation",
-        (F.col("_prev") / F.lit(per_second)).alias("prev_timestamp"),
-        (gap / F.lit(per_second)).alias("time_delta"),
-        F.when(gap > 0, F.lit(per_second) / gap).otherwise(F.lit(0.0)).alias("vertical_density"),
+        "orientation", *_vertical_columns(time, per_second), *carry,
     )
 
 
@@ -95,17 +103,23 @@ def _density_columns(kernel: Kernel, window) -> dict[str, Column]:
     ``low <= ms − other < high`` holds for ``other`` in ``[ms − high + 1, ms − low]``.
     """
     notes_in = lambda low, high: F.coalesce(F.sum("_lanes").over(window.rangeBetween(low, high)), F.lit(0))
-    density = F.lit(0.0)
+    density, counts = F.lit(0.0), []
     for low, high, weight in kernel.bands():
-        density = density + F.lit(float(weight)) * notes_in(1 - high, -low)
-    return {
-        "horizontal_density": density,
-        "nearby_notes_count": (notes_in(-kernel.reach, kernel.reach) - 1).cast("int"),
-    }
+        counts.append(notes_in(1 - high, -low))
+        density = density + F.lit(float(weight)) * counts[-1]
+    reach = kernel.reach
+    if (kernel.bounds[0], kernel.bounds[-1]) == (-reach, reach):
+        # The steps cover [-reach, reach); only the far end is missing. A frame
+        # costs as much per row as it holds rows, so this halves the work.
+        nearby = sum(counts, notes_in(-reach, -reach))
+    else:
+        nearby = notes_in(-reach, reach)
+    return {"horizontal_density": density, "nearby_notes_count": (nearby - 1).cast("int")}
 
 
 def horizontal_density(
     chords: DataFrame, kernel: Kernel = JUDGE, lanes: int = DEFAULT_LANES, slice_ms: int = SLICE_MS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Kernel sum over all notes of the song around each note, itself included.
 
@@ -115,7 +129,9 @@ def horizontal_density(
     away on either side, whatever its weight.
     """
     rows = _with_overlap(
-        chords.select("song_id", "note_id", "ms", "orientation", lane_count("orientation", lanes).alias("_lanes")),
+        chords.select(
+            "song_id", "note_id", "ms", "orientation", lane_count("orientation", lanes).alias("_lanes"), *carry
+        ),
         kernel.reach, slice_ms,
     )
     window = Window.partitionBy("song_id", "_slice0").orderBy("ms")
@@ -123,7 +139,7 @@ def horizontal_density(
     return split_chords(
         dense.select(
             "song_id", "note_id", "ms", (F.col("ms") / F.lit(1000.0)).alias("timestamp"), "orientation",
-            "horizontal_density", "nearby_notes_count",
+            "horizontal_density", "nearby_notes_count", *carry,
         ),
         lanes,
     )
@@ -131,19 +147,23 @@ def horizontal_density(
 
 def note_densities(
     chords: DataFrame, kernel: Kernel = JUDGE, lanes: int = DEFAULT_LANES,
-    widths: Sequence[int] = SLICE_WIDTHS,
+    widths: Sequence[int] = SLICE_WIDTHS, songs: DataFrame | None = None,
 ) -> DataFrame:
     """Both densities of every note from one shuffle and one sort of the chords.
 
     A slice holds its chords, the chords just outside it (for the horizontal
     frames) and one row with the last time of each lane before it (for the
     vertical gap). Needs one row per (song, ms).
+
+    ``songs`` (one row per ``song_id``) adds song-level columns and drops songs
+    it lacks. Its rows are sent to each slice of their song, so the chords stay
+    where they are and a hot song stays spread out.
     """
     slice_ms = widths[0]
     lane_ms = {f"_lane{k}": F.when(lane_active("orientation", k), F.col("ms")) for k in range(lanes)}
     base = chords.select("song_id", "note_id", "ms", "orientation").withColumns(lane_ms)
     carried = carried_into_slices(
-        base, ["song_id"], "ms", {f"_prev{k}": Running("last", F.col(f"_lane{k}")) for k in range(lanes)}, widths
+        base, ["song_id"], "ms", {f"_prev{k}": Running("max", F.col(f"_lane{k}")) for k in range(lanes)}, widths
     )
     before = (F.col("_slice0") * slice_ms - (slice_ms + kernel.reach)).alias("ms")
     markers = carried.select(
@@ -158,26 +178,25 @@ def note_densities(
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)
     dense = rows.withColumns({
         **_density_columns(kernel, window),
-        **{f"_prev{k}": F.last(f"_lane{k}", ignorenulls=True).over(earlier) for k in range(lanes)},
+        **{f"_prev{k}": F.max(f"_lane{k}").over(earlier) for k in range(lanes)},
     }).filter(F.expr(f"_slice0 = ms div {slice_ms}L AND _lanes > 0"))
 
-    active = F.array_compact(F.array(*[
-        F.when(
-            F.col(f"_lane{k}").isNotNull(),
-            F.struct(F.lit(lane_string(k, lanes)).alias("orientation"), F.col(f"_prev{k}").alias("prev")),
-        )
-        for k in range(lanes)
-    ]))
+    extra = []
+    if songs is not None:
+        extra = [c for c in songs.columns if c != "song_id"]
+        slices = base.select("song_id", slice_id(base, "ms", slice_ms).alias("_slice0")).distinct()
+        dense = dense.join(slices.join(songs, "song_id"), ["song_id", "_slice0"])
+
+    active = active_lanes([F.col(f"_lane{k}").isNotNull() for k in range(lanes)])
+    previous = F.coalesce(*[F.when(F.col("_lane") == k, F.col(f"_prev{k}")) for k in range(lanes)])
     note = dense.select(
-        "song_id", "note_id", "ms", "horizontal_density", "nearby_notes_count", F.explode(active).alias("_note")
-    )
-    gap = F.col("ms") - F.col("_note.prev")
+        "song_id", "note_id", "ms", "horizontal_density", "nearby_notes_count",
+        *[f"_prev{k}" for k in range(lanes)], *extra, F.explode(active).alias("_lane"),
+    ).withColumn("_prev", previous)
     return note.select(
-        "song_id", "note_id", "ms", (F.col("ms") / F.lit(1000.0)).alias("timestamp"), "_note.orientation",
-        (F.col("_note.prev") / F.lit(1000.0)).alias("prev_timestamp"),
-        (gap / F.lit(1000.0)).alias("time_delta"),
-        F.when(gap > 0, F.lit(1000.0) / gap).otherwise(F.lit(0.0)).alias("vertical_density"),
-        "horizontal_density", "nearby_notes_count",
+        "song_id", "note_id", "ms", (F.col("ms") / F.lit(1000.0)).alias("timestamp"),
+        one_hot("_lane", lanes).alias("orientation"), *_vertical_columns("ms", 1000.0),
+        "horizontal_density", "nearby_notes_count", *extra,
     )
 
 

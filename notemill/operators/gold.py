@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notemill.functions.scalars import ratio
+from notemill.functions.scalars import DEFAULT_LANES, ratio
 from notemill.operators.cdc import scope, with_version
+from notemill.operators.density import JUDGE, Kernel, note_densities
+from notemill.session import saved
 
 FEATURES = (
     "song_id", "note_id", "orientation", "vertical_density", "horizontal_density", "position_in_song",
@@ -24,6 +26,14 @@ def constants() -> dict[str, Column]:
     return {"hold": F.lit(0), "mine": F.lit(1)}
 
 
+def join_densities(vertical: DataFrame, horizontal: DataFrame) -> DataFrame:
+    """Both densities of each note, one to one on song, note and lane."""
+    return vertical.join(
+        horizontal.select("song_id", "note_id", "orientation", "horizontal_density"),
+        ["song_id", "note_id", "orientation"],
+    )
+
+
 def assemble_features(
     vertical: DataFrame, horizontal: DataFrame, chart: DataFrame, keys: DataFrame | None = None,
 ) -> DataFrame:
@@ -33,10 +43,7 @@ def assemble_features(
     """
     if keys is not None:
         vertical, horizontal, chart = (scope(df, keys, "song_id") for df in (vertical, horizontal, chart))
-    dense = vertical.join(
-        horizontal.select("song_id", "note_id", "orientation", "horizontal_density"),
-        ["song_id", "note_id", "orientation"],
-    )
+    dense = join_densities(vertical, horizontal)
     songs = chart.select("song_id", "note_count", "song_length_log_normalized")
     return dense.join(songs, "song_id").withColumns(
         {"position_in_song": position_in_song(), **constants()}
@@ -45,7 +52,7 @@ def assemble_features(
 
 def attach_labels(features: DataFrame, playlist: DataFrame, rel: DataFrame) -> DataFrame:
     """Difficulty of the song and reliability of that level; NULL where unknown."""
-    return features.join(song_labels(playlist, rel), "song_id", "left")
+    return features.join(saved(song_labels(playlist, rel), "song-labels"), "song_id", "left")
 
 
 def song_labels(playlist: DataFrame, rel: DataFrame) -> DataFrame:
@@ -62,23 +69,30 @@ def song_facts(chart: DataFrame, playlist: DataFrame, rel: DataFrame) -> DataFra
     )
 
 
+def _labelled(dense: DataFrame) -> DataFrame:
+    return dense.withColumns({"position_in_song": position_in_song(), **constants()}).select(
+        *FEATURES, "difficulty", "sample_weight"
+    )
+
+
 def label_features(dense: DataFrame, facts: DataFrame) -> DataFrame:
     """Note rows with both densities and a version, joined with :func:`song_facts`.
 
     The song-level tables are joined with each other first, so the note table
-    is shuffled for one join only, and a hot song can be split in it.
+    takes part in one join only. Their result is written out: Spark broadcasts
+    it if it is small, and can split a hot song if it is not, since a skewed
+    join is only rebalanced when both sides come straight from a shuffle.
     """
-    return dense.join(facts, "song_id").withColumns(
-        {"position_in_song": position_in_song(), **constants()}
-    ).select(*FEATURES, "difficulty", "sample_weight")
+    return _labelled(dense.join(saved(facts, "song-facts"), "song_id"))
 
 
-def features_from_densities(
-    densities: DataFrame, songlist: DataFrame, chart: DataFrame, playlist: DataFrame, rel: DataFrame,
+def features_from_chords(
+    chords: DataFrame, songlist: DataFrame, chart: DataFrame, playlist: DataFrame, rel: DataFrame,
+    kernel: Kernel = JUDGE, lanes: int = DEFAULT_LANES,
 ) -> DataFrame:
-    """Gold straight from the fused densities, without joining two note tables."""
+    """Gold straight from the chords: one shuffle of the notes, no join of note tables."""
     facts = with_version(song_facts(chart, playlist, rel), songlist)
-    return label_features(densities, facts)
+    return _labelled(note_densities(chords, kernel, lanes, songs=facts))
 
 
 def gold_features(
@@ -88,8 +102,4 @@ def gold_features(
     """Gold from the stored density tables."""
     if keys is not None:
         vertical, horizontal, chart = (scope(df, keys, "song_id") for df in (vertical, horizontal, chart))
-    dense = vertical.join(
-        horizontal.select("song_id", "note_id", "orientation", "horizontal_density"),
-        ["song_id", "note_id", "orientation"],
-    )
-    return label_features(dense, song_facts(chart, playlist, rel))
+    return label_features(join_densities(vertical, horizontal), song_facts(chart, playlist, rel))

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notemill.operators.cdc import freeze
+
 
 def _unique(source: DataFrame, keys: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
     """One row per key of ``source`` with ``columns``; the job fails if a key occurs twice."""
@@ -46,8 +48,11 @@ def delete_where(target: DataFrame, condition: Column) -> DataFrame:
 
 
 def replace_by_key(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """All rows of the incoming keys give way to the incoming rows."""
-    incoming = source.select(key).distinct()
+    """All rows of the incoming keys give way to the incoming rows.
+
+    The distinct incoming keys are frozen, so the join knows their size.
+    """
+    incoming = freeze(source.select(key).distinct())
     kept = target.join(incoming, key, "left_anti").select(*target.columns)
     return kept.unionByName(source, allowMissingColumns=True)
 
@@ -61,7 +66,8 @@ def cascade_delete(
     rows_deleted, rows_after), counted in one pass per table.
     """
     name = keys_df.columns[0]
-    gone = keys_df.select(F.col(name).cast("bigint").alias("_gone")).distinct()
+    keys_df = freeze(keys_df.select(F.col(name).cast("bigint").alias(name)).distinct())
+    gone = keys_df.select(F.col(name).alias("_gone"))
 
     def tally(table: str, df: DataFrame, key: str) -> DataFrame:
         per_key = df.groupBy(F.col(key).cast("bigint").alias("_key")).agg(F.count(F.lit(1)).alias("_n"))

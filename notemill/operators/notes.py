@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notemill.functions.scalars import (
-    COLORS, DEFAULT_LANES, decode, lane_active, lane_string, one_hot, or_lanes,
+    COLORS, DEFAULT_LANES, active_lanes, decode, lane_active, one_hot, or_lanes,
 )
+from notemill.session import saved
 
 
 def with_seconds(df: DataFrame) -> DataFrame:
@@ -15,13 +18,14 @@ def with_seconds(df: DataFrame) -> DataFrame:
     return df.withColumn("timestamp", F.col("ms") / F.lit(1000.0))
 
 
-def explode_notes(charts: DataFrame, lanes: int = DEFAULT_LANES) -> DataFrame:
+def explode_notes(charts: DataFrame, lanes: int = DEFAULT_LANES, carry: Sequence[str] = ()) -> DataFrame:
     """One row per note of ``chart``; ``note_id`` counts from 1.
 
     The elements of a note are frame number, lane index, colour code and
     milliseconds. An index outside the lanes or an unlisted colour gives NULL.
+    ``carry`` names song-level columns to repeat on every note.
     """
-    notes = charts.select("song_id", F.posexplode("chart").alias("position", "note"))
+    notes = charts.select("song_id", *carry, F.posexplode("chart").alias("position", "note"))
     part = lambda i: F.get("note", F.lit(i))
     return with_seconds(
         notes.select(
@@ -31,6 +35,7 @@ def explode_notes(charts: DataFrame, lanes: int = DEFAULT_LANES) -> DataFrame:
             one_hot(part(1).cast("int"), lanes).alias("orientation"),
             decode(part(2).cast("int"), COLORS).alias("color"),
             part(3).cast("bigint").alias("ms"),
+            *carry,
         )
     )
 
@@ -43,9 +48,11 @@ def separate_ties(notes: DataFrame, eps: float = 1, time: str = "ms") -> DataFra
     three equal notes land on the same new time.
 
     The first note of each tie comes from a map-side combining aggregate which
-    keeps only real ties. Any number of copies thus shrinks before the shuffle,
-    and the join back has one small row per tie, so adaptive execution
-    broadcasts it when it measures small and splits hot keys when it does not.
+    keeps only real ties, so any number of copies shrinks before the shuffle.
+    The ties are written out before the join: Spark then knows their size and
+    broadcasts them if they are few (the notes are not shuffled at all), or else
+    sorts both sides, where adaptive execution can split a tie with very many
+    copies, since the small side comes straight from a scan.
     """
     firsts = (
         notes.groupBy("song_id", "orientation", time)
@@ -56,6 +63,7 @@ def separate_ties(notes: DataFrame, eps: float = 1, time: str = "ms") -> DataFra
             F.col(time).alias("_time"), "_first",
         )
     )
+    firsts = saved(firsts, "ties")
     same_place = (
         (F.col("song_id") == F.col("_song"))
         & F.col("orientation").eqNullSafe(F.col("_lane"))
@@ -67,28 +75,28 @@ def separate_ties(notes: DataFrame, eps: float = 1, time: str = "ms") -> DataFra
     return with_seconds(out).select(*notes.columns) if time == "ms" and "timestamp" in notes.columns else out
 
 
-def merge_chords(notes: DataFrame, lanes: int = DEFAULT_LANES, time: str = "ms") -> DataFrame:
+def merge_chords(
+    notes: DataFrame, lanes: int = DEFAULT_LANES, time: str = "ms", carry: Sequence[str] = (),
+) -> DataFrame:
     """One row per (song, time): lowest note id and frame, OR of the lanes.
 
-    All aggregates combine on the map side, so a hot song or a hot moment
+    ``carry`` names columns that are constant within a song. All aggregates combine on the map side, so a hot song or a hot moment
     reaches the shuffle as one row per map task.
     """
     merged = notes.groupBy("song_id", time).agg(
         F.min("note_id").alias("note_id"),
         F.min("framers").alias("framers"),
         or_lanes("orientation", lanes).alias("orientation"),
-    ).select("song_id", "note_id", "framers", "orientation", time)
+        *[F.max(c).alias(c) for c in carry],
+    ).select("song_id", "note_id", "framers", "orientation", time, *carry)
     return with_seconds(merged) if time == "ms" else merged
 
 
 def split_chords(chords: DataFrame, lanes: int = DEFAULT_LANES) -> DataFrame:
     """One row per active lane of each chord."""
-    active = F.array_compact(F.array(*[
-        F.when(lane_active("orientation", lane), F.lit(lane_string(lane, lanes))) for lane in range(lanes)
-    ]))
-    return chords.select(
-        *[c for c in chords.columns if c != "orientation"], F.explode(active).alias("orientation")
-    )
+    active = active_lanes([lane_active("orientation", lane) for lane in range(lanes)])
+    others = [c for c in chords.columns if c != "orientation"]
+    return chords.select(*others, F.explode(active).alias("_lane")).select(*others, one_hot("_lane", lanes).alias("orientation"))
 
 
 def invalid_orientations(notes: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from notemill.functions.scalars import clean_date, column, ratio
 from notemill.operators.running import forward_fill
+from notemill.session import saved
 
 MAX_DIFFICULTY = 120
 RESOLVED = "(resolved)"
@@ -99,8 +100,8 @@ def song_lookup(contested: DataFrame, playlist: DataFrame) -> DataFrame:
     """(song_name, num_changes, current_difficulty) for every disputed song.
 
     A name the playlist holds several times gives several rows, which fan the
-    disputes out. Joining both song-level facts here leaves a single join with
-    the dispute rows, which adaptive execution can split for a hot song.
+    disputes out. With both song-level facts in one table the dispute rows take
+    part in a single join.
     """
     counts = contested.filter(F.col("song_name").isNotNull()).groupBy("song_name").agg(
         F.count(F.lit(1)).alias("num_changes")
@@ -120,10 +121,12 @@ def reliability_weights(
     """Score every dispute: stability × recency × acceptance × magnitude + bonus.
 
     Songs are counted before any quality filter. ``as_of_year`` is explicit so
-    that the result does not move with the calendar.
+    that the result does not move with the calendar. The song lookup is written
+    out, so that Spark broadcasts it by its true size or can split a hot song.
     """
     parsed = parse_disputes(contested, order, widths)
-    joined = parsed.join(song_lookup(contested, playlist), F.col("song_name") == F.col("_song"), "left")
+    lookup = saved(song_lookup(contested, playlist), "song-lookup")
+    joined = parsed.join(lookup, F.col("song_name") == F.col("_song"), "left")
     scored = joined.withColumns({
         "stability_score": ratio(F.lit(1.0), F.col("num_changes") + 1),
         "recency_score": recency(F.col("change_year"), as_of_year),

@@ -32,20 +32,23 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Running:
-    """What to carry along: ``last`` non-null value or ``sum`` of ``source``."""
+    """What to carry along: ``last`` non-null value, ``max`` or ``sum`` of ``source``.
+
+    ``max`` is the cheap form of ``last`` where the source rises with the position.
+    """
 
     kind: str
     source: Column
 
     def summary(self, name: str, order: Column) -> Column:
         value = F.col(name)
-        if self.kind == "sum":
-            return F.sum(value)
+        if self.kind != "last":
+            return {"sum": F.sum, "max": F.max}[self.kind](value)
         return F.max_by(value, F.when(value.isNotNull(), order))
 
     def over(self, name: str, window) -> Column:
-        if self.kind == "sum":
-            return F.sum(name).over(window)
+        if self.kind != "last":
+            return {"sum": F.sum, "max": F.max}[self.kind](name).over(window)
         return F.last(name, ignorenulls=True).over(window)
 
 

@@ -37,6 +37,8 @@ TABLES: dict[str, tuple[str, bool]] = {
     "gold__features": ("song_id", True),
 }
 
+VERSION = ["swf_version"]
+
 
 @contextmanager
 def database(spark: SparkSession, name: str, location: str | None = None) -> Iterator[str]:
@@ -151,32 +153,30 @@ class Medallion:
         )
 
     def refresh_notes(self) -> None:
+        """The version joins the charts, one row per song, and rides along from there."""
         listed = self.table("bronze__songlist")
-        build = lambda keys: cdc.with_version(
-            notes.explode_notes(self.songs("bronze__charts", keys), self.lanes), listed
+        build = lambda keys: notes.explode_notes(
+            cdc.with_version(self.songs("bronze__charts", keys), listed), self.lanes, VERSION
         )
-        self.refresh("silver__notes", self.charted(), ["swf_version"], build)
+        self.refresh("silver__notes", self.charted(), VERSION, build)
 
     def refresh_adjusted(self) -> None:
-        listed = self.table("bronze__songlist")
-        build = lambda keys: cdc.with_version(
-            notes.merge_chords(notes.separate_ties(self.songs("silver__notes", keys)), self.lanes), listed
+        build = lambda keys: notes.merge_chords(
+            notes.separate_ties(self.songs("silver__notes", keys)), self.lanes, carry=VERSION
         )
-        self.refresh("silver__notes_adjusted", self.charted(), ["swf_version"], build)
+        self.refresh("silver__notes_adjusted", self.charted(), VERSION, build)
 
     def refresh_vertical(self) -> None:
-        listed = self.table("bronze__songlist")
-        build = lambda keys: cdc.with_version(
-            density.vertical_density(notes.split_chords(self.songs("silver__notes_adjusted", keys), self.lanes)), listed
+        build = lambda keys: density.vertical_density(
+            notes.split_chords(self.songs("silver__notes_adjusted", keys), self.lanes), carry=VERSION
         )
-        self.refresh("silver__vertical_density", self.charted(), ["swf_version"], build)
+        self.refresh("silver__vertical_density", self.charted(), VERSION, build)
 
     def refresh_horizontal(self) -> None:
-        listed = self.table("bronze__songlist")
-        build = lambda keys: cdc.with_version(
-            density.horizontal_density(self.songs("silver__notes_adjusted", keys), self.kernel, self.lanes), listed
+        build = lambda keys: density.horizontal_density(
+            self.songs("silver__notes_adjusted", keys), self.kernel, self.lanes, carry=VERSION
         )
-        self.refresh("silver__horizontal_density", self.charted(), ["swf_version"], build)
+        self.refresh("silver__horizontal_density", self.charted(), VERSION, build)
 
     def refresh_chart_features(self) -> None:
         """All songs each time: one row per song, and a moved percentile moves every row."""
@@ -215,10 +215,8 @@ class Medallion:
             held = held.select("song_id", *[v for v in versions if v in held.columns])
 
         def build(keys: DataFrame | None) -> DataFrame:
-            dense = self.songs("silver__vertical_density", keys).join(
-                self.songs("silver__horizontal_density", keys)
-                .select("song_id", "note_id", "orientation", "horizontal_density"),
-                ["song_id", "note_id", "orientation"],
+            dense = gold.join_densities(
+                self.songs("silver__vertical_density", keys), self.songs("silver__horizontal_density", keys)
             )
             return gold.label_features(dense, facts)
 

@@ -452,6 +452,9 @@ def oracles() -> dict[str, str]:
         "gld_features": f"""{both}, {SONGS}, {COUNTED}, {LENGTHS}, {SCORED}, {LEVELS}
             {gold.format(version='l.swf_version')}, difficulty, round(avg_reliability, 6) AS sample_weight
             {joined} JOIN songlist s ON s.id = v.song_id LEFT JOIN smoothed ON new_difficulty = s.difficulty""",
+        "gld_features_from_tables": f"""{both}, {SONGS}, {COUNTED}, {LENGTHS}, {SCORED}, {LEVELS}
+            {gold.format(version='l.swf_version')}, difficulty, round(avg_reliability, 6) AS sample_weight
+            {joined} JOIN songlist s ON s.id = v.song_id LEFT JOIN smoothed ON new_difficulty = s.difficulty""",
         # files and tables
         "src_1_songlist_json": f"WITH {SONGS} SELECT {song}, note_count FROM songlist",
         "src_2_charts_json": f"""WITH {NOTES}

@@ -596,9 +596,20 @@ def _(spark, sf_dir):
 @query("gld_features")
 def _(spark, sf_dir):
     songs = derived.counted_songlist(spark, sf_dir)
-    features = gold.features_from_densities(
-        density.note_densities(stored_chords(spark, sf_dir)), songs, chart.chart_features(songs),
-        silver_playlist(spark, sf_dir), scores(spark, sf_dir),
+    features = gold.features_from_chords(
+        stored_chords(spark, sf_dir), songs, chart.chart_features(songs), silver_playlist(spark, sf_dir),
+        scores(spark, sf_dir),
+    )
+    return rounded(features, *GOLD_DOUBLES, "sample_weight")
+
+
+@query("gld_features_from_tables")
+def _(spark, sf_dir):
+    merged, songs = stored_chords(spark, sf_dir), derived.counted_songlist(spark, sf_dir)
+    vertical = cdc.with_version(density.vertical_density(notes.split_chords(merged)), songs)
+    features = gold.gold_features(
+        vertical, density.horizontal_density(merged), chart.chart_features(songs), silver_playlist(spark, sf_dir),
+        scores(spark, sf_dir),
     )
     return rounded(features, *GOLD_DOUBLES, "sample_weight")
 

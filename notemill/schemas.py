@@ -21,8 +21,13 @@ SILVER_PLAYLIST = """
     preview_id string, release_date timestamp, author string, stepauthor array<string>, song_rating double,
     explicit_flag boolean, legacy_flag boolean, unranked_flag boolean, credits int, price int, swf_version bigint
 """
-NOTES = "song_id bigint, note_id int, framers int, orientation string, color string, ms bigint, timestamp double"
-NOTES_ADJUSTED = "song_id bigint, note_id int, framers int, orientation string, ms bigint, timestamp double"
+NOTES = """
+    song_id bigint, note_id int, framers int, orientation string, color string, ms bigint, timestamp double,
+    swf_version bigint
+"""
+NOTES_ADJUSTED = """
+    song_id bigint, note_id int, framers int, orientation string, ms bigint, timestamp double, swf_version bigint
+"""
 VERTICAL_DENSITY = """
     song_id bigint, note_id int, ms bigint, timestamp double, orientation string, prev_timestamp double,
     time_delta double, vertical_density double, swf_version bigint

@@ -42,10 +42,10 @@ def synthetic_song(spark: SparkSession, song_id: int = 99_999, name: str = "synt
             "Dance", name, 10, 1, 180, song_id, 6, "hash", None, "author", ["stepper"], 0.0, False, False, False, 0, 0,
             version)]),
         "silver__notes": (schemas.NOTES, [
-            (song_id, i + 1, c[0], "".join("1" if k == c[1] else "0" for k in range(4)), "blue", c[3], c[3] / 1000)
+            (song_id, i + 1, c[0], "".join("1" if k == c[1] else "0" for k in range(4)), "blue", c[3], c[3] / 1000, version)
             for i, c in enumerate(chart)]),
         "silver__notes_adjusted": (schemas.NOTES_ADJUSTED, [
-            (song_id, n, ms * 30 // 1000, o, ms, ms / 1000)
+            (song_id, n, ms * 30 // 1000, o, ms, ms / 1000, version)
             for n, ms, o in lanes[:4] + [(5, 2000, "1001")]]),
         "silver__vertical_density": (schemas.VERTICAL_DENSITY, [
             (song_id, n, ms, ms / 1000, o, *gaps.get((n, o), (None, None, 0.0)), version) for n, ms, o in lanes]),
