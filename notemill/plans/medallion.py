@@ -83,7 +83,7 @@ class Medallion:
         """A note table, all of it or the given songs."""
         if keys is None:
             return self.table(name)
-        return tables.read_songs(self.spark, name, keys, self.buckets)
+        return tables.read_songs(self.spark, name, keys, tables.touched_buckets(keys, self.buckets))
 
     def rebuild(self, name: str, rows: DataFrame) -> None:
         tables.publish(rows, name)
@@ -104,13 +104,24 @@ class Medallion:
             self.report.append((name, plan_mode(False, True)))
             return
         held = self.table(name) if held is None else held
-        changed = cdc.freeze(cdc.changed_keys(source, held, "song_id", versions, null_safe=True))
-        touched = cdc.freeze(cdc.combine_keys(changed, cdc.deleted_keys(held, source, "song_id")))
+        changed, touched = self.frozen_changes(
+            cdc.changed_keys(source, held, "song_id", versions, null_safe=True),
+            cdc.deleted_keys(held, source, "song_id"),
+        )
         mode = plan_mode(True, not touched.isEmpty())
         if mode == "incremental":
             tables.replace_songs(self.spark, name, transform(changed), touched, self.buckets)
         self.report.append((name, mode))
 
+    @staticmethod
+    def frozen_changes(changed: DataFrame, deleted: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Changed keys, and changed or deleted keys, from one written table."""
+        key = changed.columns[0]
+        both = cdc.freeze(
+            changed.withColumn("_changed", F.lit(True)).unionByName(deleted.withColumn("_changed", F.lit(False)))
+        )
+        return both.filter("_changed").select(key), both.select(key)
+
     def charted(self) -> DataFrame:
         """(song_id, swf_version) of listed songs whose chart has notes."""
         charts = self.table("bronze__charts").filter(F.size("chart") > 0).select("song_id")
@@ -123,15 +134,17 @@ class Medallion:
         """Store the song list and the charts of new and updated songs."""
         first = not self.exists("bronze__songlist")
         held = songlist.limit(0) if first else self.table("bronze__songlist")
-        changed = cdc.freeze(
-            cdc.changed_keys(songlist, held, "id", "swf_version", null_safe=True).withColumnRenamed("id", "song_id")
+        as_song = lambda keys: keys.withColumnRenamed("id", "song_id")
+        changed, affected = self.frozen_changes(
+            as_song(cdc.changed_keys(songlist, held, "id", "swf_version", null_safe=True)),
+            as_song(cdc.deleted_keys(held, songlist, "id")),
         )
-        deleted = cdc.freeze(cdc.deleted_keys(held, songlist, "id").withColumnRenamed("id", "song_id"))
         arrived = cdc.scope(charts, changed, "song_id")
         if not self.exists("bronze__charts"):
             tables.create_bucketed(arrived, "bronze__charts", self.buckets)
             mode = "full"
         else:
+            deleted = affected.join(changed, "song_id", "left_anti")
             touched = cdc.freeze(cdc.combine_keys(arrived.select("song_id"), deleted))
             mode = plan_mode(True, not touched.isEmpty())
             if mode == "incremental":

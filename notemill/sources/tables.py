@@ -55,13 +55,13 @@ def drop_tables(spark: SparkSession, names: Iterable[str]) -> None:
     for name in names:
         for version in _versions(spark, name):
             spark.sql(f"DROP TABLE IF EXISTS {quoted(version)}")
-        kinds = {t.name: t.tableType for t in spark.catalog.listTables()}
-        kind = "VIEW" if kinds.get(name, "").upper() == "VIEW" else "TABLE"
-        spark.sql(f"DROP {kind} IF EXISTS {quoted(name)}")
+        views = {r.viewName for r in spark.sql("SHOW VIEWS").collect()}
+        spark.sql(f"DROP {'VIEW' if name in views else 'TABLE'} IF EXISTS {quoted(name)}")
 
 
 def _versions(spark: SparkSession, name: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}__v"))
+    rows = spark.sql(f"SHOW TABLES LIKE '{name}__v*'").collect()
+    return sorted(r.tableName for r in rows)
 
 
 def publish(df: DataFrame, name: str) -> None:
@@ -96,14 +96,13 @@ def read_bucketed(spark: SparkSession, name: str) -> DataFrame:
     return read_table(spark, name).drop(BUCKET)
 
 
-def read_songs(spark: SparkSession, name: str, keys: DataFrame, buckets: int, key: str = "song_id") -> DataFrame:
-    """Rows of ``keys`` from a note table, reading only their buckets."""
-    touched = _touched(keys, buckets, key)
-    rows = read_table(spark, name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+def read_songs(spark: SparkSession, name: str, keys: DataFrame, buckets: list[int], key: str = "song_id") -> DataFrame:
+    """Rows of ``keys`` from a note table, reading only their ``buckets`` (see :func:`touched_buckets`)."""
+    rows = read_table(spark, name).filter(F.col(BUCKET).isin(buckets)).drop(BUCKET)
     return scope(rows, keys, key)
 
 
-def _touched(keys: DataFrame, buckets: int, key: str) -> list[int]:
+def touched_buckets(keys: DataFrame, buckets: int, key: str = "song_id") -> list[int]:
     """Bucket numbers of the keys: at most ``buckets`` integers reach the driver."""
     return [r[0] for r in keys.select(bucket_of(key, buckets)).distinct().collect()]
 
@@ -131,7 +130,7 @@ def replace_songs(
     idempotent, hence a run that died between buckets is repaired by running
     the same batch again.
     """
-    touched = _touched(keys, buckets, key)
+    touched = touched_buckets(keys, buckets, key)
     if not touched:
         return
     current = read_table(spark, name)
