@@ -44,7 +44,7 @@ def assemble_features(
     if keys is not None:
         vertical, horizontal, chart = (scope(df, keys, "song_id") for df in (vertical, horizontal, chart))
     dense = join_densities(vertical, horizontal)
-    songs = chart.select("song_id", "note_count", "song_length_log_normalized")
+    songs = saved(chart.select("song_id", "note_count", "song_length_log_normalized"), "chart-features")
     return dense.join(songs, "song_id").withColumns(
         {"position_in_song": position_in_song(), **constants()}
     ).select(*FEATURES)

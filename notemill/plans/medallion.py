@@ -124,7 +124,7 @@ class Medallion:
 
     def charted(self) -> DataFrame:
         """(song_id, swf_version) of listed songs whose chart has notes."""
-        charts = self.table("bronze__charts").filter(F.size("chart") > 0).select("song_id")
+        charts = self.table("bronze__charts").filter("notes > 0").select("song_id")
         songs = self.table("bronze__songlist").select(F.col("id").alias("song_id"), "swf_version")
         return cdc.scope(songs, charts, "song_id")
 
@@ -139,7 +139,8 @@ class Medallion:
             as_song(cdc.changed_keys(songlist, held, "id", "swf_version", null_safe=True)),
             as_song(cdc.deleted_keys(held, songlist, "id")),
         )
-        arrived = cdc.scope(charts, changed, "song_id")
+        # The length is stored so that later steps need not read the nested charts for it.
+        arrived = cdc.scope(charts, changed, "song_id").withColumn("notes", F.size("chart"))
         if not self.exists("bronze__charts"):
             tables.create_bucketed(arrived, "bronze__charts", self.buckets)
             mode = "full"

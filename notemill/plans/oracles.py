@@ -468,6 +468,14 @@ def oracles() -> dict[str, str]:
         "src_3_playlist_json": f"WITH {PLAYLIST} SELECT * FROM raw_playlist",
         "src_4_read_sheets": f"""WITH {CONTESTED}
             SELECT song_name, old_diff, new_diff, "date", source_sheet, sheet_row FROM contested""",
+        "snk_1_overwrite_append": f"{snaps} SELECT {song} FROM old_songs UNION ALL SELECT {song} FROM new_songs",
+        "snk_3_recreate_add_column": f"WITH {SONGS} SELECT id, swf_version, CAST(NULL AS INT) AS difficulty FROM songlist",
+        "snk_publish_upsert": f"""{snaps}
+            SELECT {song} FROM new_songs UNION ALL SELECT {song} FROM old_songs ANTI JOIN new_songs USING (id)""",
+        "snk_replace_songs": f"""WITH {NOTES},
+            incoming AS (SELECT song_id, event_id, ms + 1000 AS ms FROM raw_notes WHERE song_id % 3 = 0 AND event_id % 2 = 0)
+            SELECT song_id, event_id, ms FROM incoming UNION ALL
+            SELECT song_id, event_id, ms FROM raw_notes WHERE song_id NOT IN (SELECT song_id FROM incoming)""",
         "set_2_union_by_name": f"""{snaps}
             SELECT id, name, CAST(NULL AS BIGINT) AS swf_version, CAST(NULL AS INT) AS difficulty FROM old_songs
             UNION ALL SELECT id, NULL, swf_version, NULL FROM new_songs

@@ -15,7 +15,7 @@ from notemill.operators import audit, cdc, chart, density, gold, merge, notes, p
 from notemill.operators.running import forward_fill
 from notemill.plans.medallion import Medallion, database
 from notemill.session import saved, scratch_path
-from notemill.sources import derived, landed
+from notemill.sources import derived, landed, tables
 
 AS_OF_YEAR = 2001
 
@@ -672,6 +672,50 @@ def _(spark, sf_dir):
     ])
 
 
+def fresh_database(spark: SparkSession):
+    return database(spark, "run_" + scratch_path(spark, "run").rsplit("-", 1)[1])
+
+
+@query("snk_1_overwrite_append")
+def _(spark, sf_dir):
+    old, new = snapshots(spark, sf_dir)
+    with fresh_database(spark):
+        tables.write_table(new.select(*SONG), "songs")
+        tables.write_table(old.select(*SONG), "songs")
+        tables.write_table(new.select(*SONG), "songs", mode="append")
+        return tables.read_table(spark, "songs")
+
+
+@query("snk_3_recreate_add_column")
+def _(spark, sf_dir):
+    songs = derived.songlist(spark, sf_dir)
+    with fresh_database(spark):
+        tables.write_table(songs.select("id", "name"), "songs")
+        tables.write_table(songs.select("id", "swf_version"), "songs", on_schema_change="recreate")
+        tables.ensure_column(spark, "songs", "difficulty", "int")
+        return tables.read_table(spark, "songs")
+
+
+@query("snk_publish_upsert")
+def _(spark, sf_dir):
+    old, new = snapshots(spark, sf_dir)
+    with fresh_database(spark):
+        tables.publish(old.select(*SONG), "songs")
+        tables.publish(merge.merge_upsert(tables.read_table(spark, "songs"), new.select(*SONG), ["id"]), "songs")
+        return tables.read_table(spark, "songs")
+
+
+@query("snk_replace_songs")
+def _(spark, sf_dir):
+    played = derived.raw_notes(spark, sf_dir).select("song_id", "event_id", "ms")
+    incoming = played.filter("song_id % 3 = 0 AND event_id % 2 = 0").withColumn("ms", F.col("ms") + 1000)
+    keys = cdc.freeze(incoming.select("song_id").distinct())
+    with fresh_database(spark):
+        tables.create_bucketed(played, "notes", 8)
+        tables.replace_songs(spark, "notes", incoming, keys, 8)
+        return tables.read_bucketed(spark, "notes")
+
+
 def medallion_inputs(spark, sf_dir):
     charts = saved(derived.charts(spark, sf_dir), "charts")
     songs = derived.chart_songlist(charts, derived.songlist(spark, sf_dir))
@@ -686,8 +730,7 @@ def medallion_inputs(spark, sf_dir):
 @query("run_incremental_gold")
 def _(spark, sf_dir):
     old, new, charts, raw, contested = medallion_inputs(spark, sf_dir)
-    name = scratch_path(spark, "run").rsplit("-", 1)[1]
-    with database(spark, f"run_{name}"):
+    with fresh_database(spark):
         runs = Medallion(spark, as_of_year=AS_OF_YEAR, buckets=8)
         runs.run(old, charts, raw, contested)
         runs.run(new, charts, raw, contested)
@@ -697,21 +740,21 @@ def _(spark, sf_dir):
 @query("aud_1_presence")
 def _(spark, sf_dir):
     old, new = snapshots(spark, sf_dir)
-    tables = {
+    held = {
         "bronze__songlist": (new, "id"), "bronze__playlist": (derived.raw_playlist(spark, sf_dir), "level"),
         "silver__notes": (derived.raw_notes(spark, sf_dir), "song_id"), "gold__features": (old, "id"),
     }
-    return audit.presence(tables, derived.songlist(spark, sf_dir).select("id"))
+    return audit.presence(held, derived.songlist(spark, sf_dir).select("id"))
 
 
 @query("aud_2_verdict")
 def _(spark, sf_dir):
     old, new = snapshots(spark, sf_dir)
-    tables = {
+    held = {
         "bronze__songlist": (new, "id"), "silver__notes": (derived.raw_notes(spark, sf_dir), "song_id"),
         "gold__features": (old, "id"),
     }
-    return audit.verdict(audit.presence(tables, derived.songlist(spark, sf_dir).select("id"))).select("key", "state")
+    return audit.verdict(audit.presence(held, derived.songlist(spark, sf_dir).select("id"))).select("key", "state")
 
 
 @query("aud_3_staleness")
@@ -721,8 +764,8 @@ def _(spark, sf_dir):
     shifted = derived.raw_notes(spark, sf_dir).withColumn(
         "ms", F.when(F.col("song_id") % 4 == 0, F.col("ms") + 999999000).otherwise(F.col("ms"))
     )
-    tables = {
+    held = {
         "bronze__songlist": (stale, "id", "swf_version"), "silver__notes": (shifted, "song_id", "ms"),
         "gold__features": (songs, "id", None),
     }
-    return audit.staleness(tables, songs.select("id"), (999999, 999), floor=999999000)
+    return audit.staleness(held, songs.select("id"), (999999, 999), floor=999999000)
