@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notemill.llm import bpe, mixing, rans, simhash, toxicity
+from notemill.llm import bpe, mixing, rans, simhash, toxicity, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op1_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.stored_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.deduplicated(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -47,10 +51,14 @@ def op10_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rans_tokens": op1_rans_tokens,
+    "op2_warc_revisits": op2_warc_revisits,
     "op3_systematic_mix": op3_systematic_mix,
     "op8_toxic_segments": op8_toxic_segments,
     "op9_simhash_components": op9_simhash_components,
     "op10_bpe_digests": op10_bpe_digests,
 }
 
-ORACLES: dict[str, str] = {"op3_systematic_mix": mixing.MIX_SQL}
+ORACLES: dict[str, str] = {
+    "op2_warc_revisits": warc.REVISIT_SQL,
+    "op3_systematic_mix": mixing.MIX_SQL,
+}
