@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notemill.llm import bpe, mixing, rans, simhash, toxicity, warc
+from notemill.llm import bpe, mixing, rans, simhash, suffix, toxicity, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(documents(spark, sf_dir))
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, labels(spark, sf_dir), ~toxicity.held_out())
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rans_tokens": op1_rans_tokens,
     "op2_warc_revisits": op2_warc_revisits,
     "op3_systematic_mix": op3_systematic_mix,
+    "op4_suffix_repeats": op4_suffix_repeats,
     "op8_toxic_segments": op8_toxic_segments,
     "op9_simhash_components": op9_simhash_components,
     "op10_bpe_digests": op10_bpe_digests,
