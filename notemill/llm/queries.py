@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notemill.llm import bpe, language, mixing, rans, simhash, suffix, toxicity, warc
+from notemill.llm import bpe, ego, language, mixing, rans, simhash, suffix, toxicity, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(documents(spark, sf_dir))
 
 
+def op5_ego_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.95)
+
+
 def op6_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     filters = language.fit(docs, ~language.held_out())
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_revisits": op2_warc_revisits,
     "op3_systematic_mix": op3_systematic_mix,
     "op4_suffix_repeats": op4_suffix_repeats,
+    "op5_ego_links": op5_ego_links,
     "op6_language_filters": op6_language_filters,
     "op8_toxic_segments": op8_toxic_segments,
     "op9_simhash_components": op9_simhash_components,
