@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notemill.llm import bpe, ego, language, mixing, rans, simhash, suffix, toxicity, warc
+from notemill.llm import bm25, bpe, ego, language, mixing, rans, simhash, suffix, toxicity, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,13 @@ def op6_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, filters).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_bm25_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id is divisible by 100 is a query against all documents, itself included."""
+    docs = documents(spark, sf_dir)
+    asked = docs.filter(F.col("doc_id") % 100 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return bm25.search(docs, asked, k=10).withColumn("score", F.round("score", 9))
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, labels(spark, sf_dir), ~toxicity.held_out())
@@ -70,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_repeats": op4_suffix_repeats,
     "op5_ego_links": op5_ego_links,
     "op6_language_filters": op6_language_filters,
+    "op7_bm25_top10": op7_bm25_top10,
     "op8_toxic_segments": op8_toxic_segments,
     "op9_simhash_components": op9_simhash_components,
     "op10_bpe_digests": op10_bpe_digests,
