@@ -30,7 +30,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notemill.llm.common import components, forest, map_batches, real_id, texts_of
@@ -270,5 +270,17 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, sample:
     return printed.join(members, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
+    """The row of smallest doc_id of every group of near duplicates, with all columns of ``docs``.
+
+    Of rows that share that id the one of smallest text hash stays, so exactly
+    one row of a group is left.
+    """
+    kept = near_duplicates(docs, words, distance).groupBy(F.col("component_id").alias("_kept_id")).agg(F.lit(1).alias("_kept"))
+    rows = docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["_kept_id"]), "left_semi")
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    return rows.withColumn("_kept_turn", turn).filter("_kept_turn = 1").select(*docs.columns)
+
+
 def hex_digits(column: str = "fp"):
     return F.lpad(F.lower(F.hex(F.col(column))), 16, "0")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notemill.llm.common import map_batches, real_id, row_key
+from notemill.llm.common import NULL_ID, map_batches, real_id, row_key
 from notemill.session import saved
 
 SPAN = 100
@@ -347,20 +347,29 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with repeated strings cut out of ``text`` and ``n_chars`` set anew.
 
     A character that loses some of its bytes goes as a whole. Rows come as often
-    as before: equal rows share one result.
+    as before: equal rows share one result. Texts move once more, to meet their
+    intervals.
     """
-    left = removed(row_key(docs).distinct()).select(
-        F.col("_id").alias("_cut_id"), F.col("_hash").alias("_cut_hash"), F.col("kept").alias("_cut_kept"), F.col("n_spans").alias("_cut_spans")
+    spans = covers(row_key(docs)).groupBy(F.col("_id").alias("_cut_id"), F.col("_hash").alias("_cut_hash")).agg(
+        F.collect_list(F.struct("start", "stop")).alias("_cut_spans")
     )
+    text = F.coalesce(docs["text"], F.lit(""))
+    same = (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID)) == spans["_cut_id"]) & (F.xxhash64(text) == spans["_cut_hash"])
+    rows = docs.join(spans, same, "left").select(*[docs[c] for c in docs.columns], "_cut_spans")
+    place = docs.columns.index("text")
 
-    def run(batch: pa.RecordBatch) -> dict:
-        out = [None if k is None else k.decode("utf-8", "ignore") for k in batch.column(2).to_pylist()]
-        return {"_cut_id": batch.column(0), "_cut_hash": batch.column(1), "_cut_text": pa.array(out, pa.string())}
-
-    changed = map_batches(left.filter("_cut_spans > 0").drop("_cut_spans"), run, "_cut_id bigint, _cut_hash bigint, _cut_text string")
-    same = (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(-(1 << 63))) == changed["_cut_id"]) & (
-        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == changed["_cut_hash"]
-    )
-    text = F.coalesce(changed["_cut_text"], docs["text"])
-    fresh = {"text": text, "n_chars": F.char_length(text).cast("bigint")}
-    return docs.join(changed, same, "left").select(*[fresh[c].alias(c) if c in fresh else docs[c] for c in docs.columns])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            cut = [
+                t if not s else _cut(t.encode(), [x["start"] for x in s], [x["stop"] for x in s])[0].decode("utf-8", "ignore")
+                for t, s in zip(texts, spans, strict=True)
+            ]
+            columns = batch.columns[:-1]
+            columns[place] = pa.array(cut, batch.column(place).type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    left = rows.mapInArrow(run, docs.schema)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return left
