@@ -200,6 +200,8 @@ def decode_segment(block: dict, index: int, table: Table) -> np.ndarray:
         out[at - start:at - start + n] = own
         x = table.freq[own] * (x >> shift) + slot - table.first[own]
         empty = np.flatnonzero(x < np.uint64(LOW))
+        if place + len(empty) > len(stream):
+            raise ValueError(f"the stream ends before segment {index}, whose checksum can't be met")
         if len(empty):
             x[empty] = (x[empty] << np.uint64(32)) | stream[place:place + len(empty)]
             place += len(empty)
