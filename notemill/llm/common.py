@@ -24,7 +24,7 @@ def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("_id"), text.alias("_text"),
-        F.xxhash64(text).alias("_hash"),
+        F.hash(text).alias("_hash"),
     )
 
 

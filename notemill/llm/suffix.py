@@ -14,11 +14,14 @@ comparing at anchors (about one in 35 positions) finds every match.
    around the anchor, place) are sorted. Of rows equal in both, all but the
    earliest are repeats as far as the strings around the anchor reach. The
    earliest one goes on only if its 32 bytes also have other surroundings.
-2. *100 bytes.* For those few, every string around the anchor is a row of its
-   own (two names of 64 bits), and all but the earliest of a name are repeats.
+2. *88 bytes, then 112.* For those, strings that start within 12 bytes of each
+   other are one row: (name of the 88 bytes they share, name of all their bytes).
+   The same rule settles or drops most of them.
+3. *100 bytes.* Of what is left, at the ends of repeated passages, every string is
+   a row of its own (two names of 64 bits), and all but the earliest are repeats.
 
 Names are 64-bit mixes made by doubling, not dense ranks, so a round needs no
-lookup of ranks; the last round compares 128 bits. Each task first settles the
+look-up of ranks; the last round compares 128 bits. Each task first settles the
 repeats among its own rows, so a passage that stands in a third of all documents
 sends one row per task, and the sorted rows are read as a stream.
 """
@@ -42,6 +45,7 @@ REACH = SPAN - BASE          # how far a string around an anchor starts before i
 GROUP = 1 << 18              # bytes worked on at a time
 PIECE = 1 << 22              # longer texts are worked on in pieces that overlap
 MARGIN = 2 * SPAN
+STEP = 12                    # strings that start this close go through the second round together
 FLUSH = 1_500_000            # rows a task holds before it settles its own repeats
 
 _MIX = np.random.default_rng(20240229)
@@ -150,152 +154,180 @@ def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return doc[fresh], start[fresh], (reached - shift)[last]
 
 
-ROWS = "kind tinyint, name bigint, more bigint, _id bigint, _hash bigint, start int, stop int"
-ANCHOR, COVER, OPEN = 0, 1, 2
+ROWS = "name bigint, more bigint, _id bigint, _hash int, place bigint"
+NAMED, COVER, OPEN = 0, 1, 2
 
 
 def _batch(kind: int, name: np.ndarray, more: np.ndarray, doc: np.ndarray, text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+    """ROWS; ``place`` packs kind, start (from ``-MARGIN`` on) and length, and sorts in that order for the first two kinds."""
+    place = (np.uint64(kind) << np.uint64(62)) | ((start + MARGIN).astype(np.uint64) << np.uint64(31)) | (stop - start).astype(np.uint64)
     return pa.RecordBatch.from_pydict({
-        "kind": pa.array(np.full(len(doc), kind, np.int8)), "name": pa.array(np.asarray(name).view(np.int64)),
-        "more": pa.array(np.asarray(more).view(np.int64)), "_id": pa.array(doc), "_hash": pa.array(text),
-        "start": pa.array(start.astype(np.int32)), "stop": pa.array(stop.astype(np.int32)),
+        "name": pa.array(np.asarray(name).view(np.int64)), "more": pa.array(np.asarray(more).view(np.int64)), "_id": pa.array(doc),
+        "_hash": pa.array(text.astype(np.int32)), "place": pa.array(place.view(np.int64)),
     })
 
 
+def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, start, stop)."""
+    own = place.view(np.uint64)
+    start = ((own >> np.uint64(31)) & np.uint64((1 << 31) - 1)).astype(np.int64) - MARGIN
+    return (own >> np.uint64(62)).astype(np.int64), start, start + (own & np.uint64((1 << 31) - 1)).astype(np.int64)
+
+
 def _settled(
-    doc_id: np.ndarray, doc_hash: np.ndarray, doc: np.ndarray, at: np.ndarray, name: np.ndarray, more: np.ndarray, before: int, after: int,
+    doc_id: np.ndarray, doc_hash: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: np.ndarray, name: np.ndarray, more: np.ndarray,
 ) -> Iterator[pa.RecordBatch]:
     """What a task sends on: the earliest row of each name, and the repeats among its own rows as merged covers."""
     rank = np.empty(len(doc_id), np.int64)
     rank[np.lexsort((doc_hash, doc_id))] = np.arange(len(doc_id))
-    # Rows of the same document repeated in full have different ranks here, but equal places: neither covers the other.
-    order = np.lexsort((at, rank[doc], more, name))
-    doc, at, name, more = doc[order], at[order], name[order], more[order]
+    order = np.lexsort((start, rank[doc], more, name))
+    doc, start, stop, name, more = doc[order], start[order], stop[order], name[order], more[order]
     same = np.concatenate(([False], (name[1:] == name[:-1]) & (more[1:] == more[:-1])))
     lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(doc))))
-    twin = same & (doc_id[doc] == doc_id[doc[lead]]) & (doc_hash[doc] == doc_hash[doc[lead]]) & (at == at[lead])
+    # The same place of a document given twice is no repeat of itself.
+    twin = same & (doc_id[doc] == doc_id[doc[lead]]) & (doc_hash[doc] == doc_hash[doc[lead]]) & (start == start[lead])
     sent = ~same | twin
-    yield _batch(ANCHOR, name[sent], more[sent], doc_id[doc[sent]], doc_hash[doc[sent]], at[sent], at[sent] + after)
+    yield _batch(NAMED, name[sent], more[sent], doc_id[doc[sent]], doc_hash[doc[sent]], start[sent], stop[sent])
     again = same & ~twin
     if again.any():
-        own, start = doc[again], np.maximum(0, at[again] - before)
-        end = at[again] + after
-        by = np.lexsort((start, own))
-        own, start, end = _merged(own[by], start[by], end[by])
-        yield _batch(COVER, doc_hash[own] ^ start, np.zeros(len(own), np.int64), doc_id[own], doc_hash[own], start, end)
+        own, low, high = doc[again], np.maximum(0, start[again]), stop[again]
+        by = np.lexsort((low, own))
+        own, low, high = _merged(own[by], low[by], high[by])
+        # Covers only pass through the next sort; a mixed name spreads them.
+        yield _batch(COVER, (doc_id[own] ^ low) * int(_ODD[0, 0, 0] >> np.uint64(2)), np.zeros(len(own), np.int64), doc_id[own], doc_hash[own], low, high)
 
 
-def _rows_of_tasks(docs: DataFrame, read, before: int, after: int) -> DataFrame:
-    """ROWS from (_id, _hash, ...) batches: ``read(batch)`` yields (row number, place, name, more)."""
+def _rows_of_tasks(docs: DataFrame, read) -> DataFrame:
+    """ROWS from (_id, _hash, ...) batches: ``read(batch)`` yields (row number, start, stop, name, more)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, found, size, docs_held = [], [], [], 0, 0
         for batch in batches:
             ids.append(batch.column(0).to_numpy(zero_copy_only=False))
             hashes.append(batch.column(1).to_numpy(zero_copy_only=False))
-            for number, at, name, more in read(batch):
-                found.append((number + docs_held, at, name, more))
-                size += len(at)
+            for number, *columns in read(batch):
+                found.append((number + docs_held, *columns))
+                size += len(number)
                 if size >= FLUSH:
-                    yield from _settled(np.concatenate(ids), np.concatenate(hashes), *map(np.concatenate, zip(*found, strict=True)), before, after)
+                    yield from _settled(np.concatenate(ids), np.concatenate(hashes), *map(np.concatenate, zip(*found, strict=True)))
                     found, size = [], 0
             docs_held += batch.num_rows
             if not found:
                 ids, hashes, docs_held = [], [], 0
         if found:
-            yield from _settled(np.concatenate(ids), np.concatenate(hashes), *map(np.concatenate, zip(*found, strict=True)), before, after)
+            yield from _settled(np.concatenate(ids), np.concatenate(hashes), *map(np.concatenate, zip(*found, strict=True)))
 
     return docs.mapInArrow(run, ROWS)
 
 
-def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-
-
-def repeats(rows: DataFrame, before: int, after: int, follow: bool) -> DataFrame:
+def repeats(rows: DataFrame, follow: bool) -> DataFrame:
     """Covers of all rows but the earliest of (name, more), and with ``follow`` the earliest ones whose ``name`` has another ``more``.
 
     The sorted rows are read as a stream: what is kept between batches is one row.
     """
-    ordered = rows.repartition("name").sortWithinPartitions("name", "more", "kind", "_id", "_hash", "start")
+    ordered = rows.repartition("name").sortWithinPartitions("name", "more", "_id", "_hash", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, waiting = None, None
         for batch in batches:
-            columns = _columns(batch)
-            passed = columns[0] == COVER
+            name, more, doc, text, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            kind, start, stop = _unpacked(place)
+            columns = [name, more, doc, text, start, stop]
+            passed = kind == COVER
             if passed.any():
-                yield _batch(COVER, *[c[passed] for c in columns[1:]])
+                yield _batch(COVER, *[c[passed] for c in columns])
                 columns = [c[~passed] for c in columns]
-            _, name, more, doc, text, at, stop = columns
+            name, more, doc, text, start, stop = columns
             if not len(name):
                 continue
-            names_before = np.concatenate(([name[0] if last is None else last[0]], name[:-1]))
-            more_before = np.concatenate(([more[0] if last is None else last[1]], more[:-1]))
-            new_name, new_more = name != names_before, more != more_before
+            new_name = name != np.concatenate(([name[0] if last is None else last[0]], name[:-1]))
+            new_more = more != np.concatenate(([more[0] if last is None else last[1]], more[:-1]))
             if last is None:
                 new_name[0] = True
             lead = new_name | new_more
-            # The same place again (a document given twice) is no repeat of itself.
-            place = np.flatnonzero(lead)
             first = np.maximum.accumulate(np.where(lead, np.arange(len(name)), -1))
-            lead_of = [np.where(first >= 0, c[first], last[2 + k] if last is not None else 0) for k, c in enumerate((doc, text, at))]
-            again = ~lead & ~((doc == lead_of[0]) & (text == lead_of[1]) & (at == lead_of[2]))
+            lead_of = [np.where(first >= 0, c[first], 0 if last is None else last[2 + k]) for k, c in enumerate((doc, text, start))]
+            again = ~lead & ~((doc == lead_of[0]) & (text == lead_of[1]) & (start == lead_of[2]))
             if again.any():
-                start = np.maximum(0, at[again] - before)
-                yield _batch(COVER, np.zeros(len(start), np.int64), np.zeros(len(start), np.int64), doc[again], text[again], start, at[again] + after)
-            if follow and len(place):
-                others = ~new_name[place]
+                yield _batch(COVER, name[again], more[again], doc[again], text[again], np.maximum(0, start[again]), stop[again])
+            at = np.flatnonzero(lead)
+            if follow and len(at):
+                others = ~new_name[at]
                 if waiting is not None and others[0]:
                     yield _batch(OPEN, *waiting)
                 going = others.copy()
                 going[:-1] |= others[1:]
-                chosen = place[going]
-                if len(chosen):
-                    yield _batch(OPEN, *[c[chosen] for c in columns[1:]])
-                end = place[-1]
-                waiting = [c[end:end + 1] for c in columns[1:]] if not going[-1] else None
-            last = (name[-1], more[-1], lead_of[0][-1], lead_of[1][-1], lead_of[2][-1])
+                if going.any():
+                    yield _batch(OPEN, *[c[at[going]] for c in columns])
+                waiting = [c[at[-1]:at[-1] + 1] for c in columns] if not going[-1] else None
+            last = (name[-1], more[-1], *[c[-1] for c in lead_of])
 
     return ordered.mapInArrow(run, ROWS)
 
 
-def _string_rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows of all strings around the open anchors: names of 128 bits in two halves."""
+def _opened(batch: pa.RecordBatch, seeds: tuple[int, ...]) -> Iterator[tuple[int, int, int, list[np.ndarray], np.ndarray, np.ndarray]]:
+    """For each text (piece) with open rows: text number, its offset and length, 64-byte names by seed, starts and stops of the rows."""
     texts = [t.encode() for t in batch.column(2).to_pylist()]
-    places = batch.column(3).to_pylist()
+    places = [np.unique(np.array(p, np.int64)) for p in batch.column(3).to_pylist()]
     for group in _pieces(texts):
-        data, starts, owner = _laid_out(group)
-        wides = [names(data, seed)[1] for seed in (0, 1)]
-        for piece, (number, offset, first, end, own) in enumerate(group):
-            at = np.unique(np.array(places[number], np.int64))
-            at = at[(at >= first) & (at < end)]
-            if not len(at):
-                continue
-            marked = np.zeros(len(own) + 1, np.int64)
-            low = np.maximum(0, at - offset - REACH)
-            np.add.at(marked, low, 1)
-            np.add.at(marked, at - offset + 1, -1)
-            strings = np.flatnonzero(np.cumsum(marked)[: len(own) - SPAN + 1] > 0)
-            here = strings + starts[piece]
-            yield (
-                np.full(len(strings), number), strings + offset,
-                _mixed(wides[0][here], wides[0][here + SPAN - 64], 6, 0), _mixed(wides[1][here], wides[1][here + SPAN - 64], 6, 1),
-            )
+        data, starts, _ = _laid_out(group)
+        wides = [names(data, seed)[1] for seed in seeds]
+        for piece, (number, offset, first, end, _) in enumerate(group):
+            _, start, stop = _unpacked(places[number])
+            here = (start + REACH >= first) & (start + REACH < end)
+            if here.any():
+                yield number, offset - int(starts[piece]), len(texts[number]), wides, start[here], stop[here]
+
+
+def _spread_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Around each open anchor, the strings that start within ``STEP`` of each other: (name of the bytes all share, name of the bytes any has)."""
+    for number, shift, size, (inner, outer), start, _ in _opened(batch, (0, 1)):
+        at = start + REACH
+        least, most = np.maximum(0, at + SPAN - size), np.minimum(REACH, at)
+        for near in range(0, REACH, STEP):
+            some = (near <= most) & (near + STEP >= least)
+            low, high = np.maximum(near, least)[some], np.minimum(near + STEP, most)[some]
+            core, begin, end = at[some] - near - shift, at[some] - high, at[some] - low + SPAN
+            shared = _mixed(inner[core], inner[core + SPAN - STEP - 64], 6, 0)
+            whole = _mixed(_mixed(outer[begin - shift], outer[end - 64 - shift], 6, 1), (low * 256 + high).astype(np.uint64), 7, 1)
+            # Blocks at different distances from their anchors are never the same strings.
+            yield np.full(len(core), number), begin, end, shared ^ np.uint64(near), whole
+
+
+def _string_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Every string inside the open rows, with a name of 128 bits in two halves."""
+    for number, shift, _, wides, start, stop in _opened(batch, (0, 1)):
+        begin = np.unique(np.concatenate([np.arange(a, b - SPAN + 1) for a, b in zip(start.tolist(), stop.tolist(), strict=True)]))
+        here = begin - shift
+        yield (
+            np.full(len(begin), number), begin, begin + SPAN,
+            _mixed(wides[0][here], wides[0][here + SPAN - 64], 6, 0), _mixed(wides[1][here], wides[1][here + SPAN - 64], 6, 1),
+        )
 
 
 def covers(docs: DataFrame) -> DataFrame:
-    """(_id, _hash, start, stop) of byte intervals to remove, of ``row_key`` documents; they may overlap and reach past the end."""
-
-    def read(batch: pa.RecordBatch) -> Iterator[tuple]:
-        return anchor_rows([t.encode() for t in batch.column(2).to_pylist()])
+    """(_id, _hash, start, stop) of byte intervals to remove, of ``row_key`` documents; they may overlap and reach past the end.
 
+    The rounds after the first all join the same texts by the same key, so
+    Spark shuffles the texts once for them and for what is done with the covers.
+    """
     keyed = docs.select("_id", "_hash", "_text")
-    first = saved(repeats(_rows_of_tasks(keyed, read, REACH, SPAN), REACH, SPAN, follow=True), "suffix-anchors")
-    still = first.filter(F.col("kind") == OPEN).groupBy("_id", "_hash").agg(F.collect_list("start").alias("_places"))
-    opened = keyed.join(still, ["_id", "_hash"]).select("_id", "_hash", "_text", "_places")
-    second = repeats(_rows_of_tasks(opened, _string_rows, 0, SPAN), 0, SPAN, follow=False)
-    return first.unionByName(second).filter(F.col("kind") == COVER).select("_id", "_hash", "start", "stop")
+
+    def first_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for number, at, name, around in anchor_rows([t.encode() for t in batch.column(2).to_pylist()]):
+            yield number, at - REACH, at + SPAN, name, around
+
+    def opened(rows: DataFrame) -> DataFrame:
+        still = rows.filter(kind == OPEN).groupBy("_id", "_hash").agg(F.collect_list("place").alias("_places"))
+        return keyed.join(still, ["_id", "_hash"]).select("_id", "_hash", "_text", "_places")
+
+    kind = F.shiftrightunsigned("place", 62)
+    first = saved(repeats(_rows_of_tasks(keyed, first_rows), follow=True), "suffix-anchors")
+    second = repeats(_rows_of_tasks(opened(first), _spread_rows), follow=True)
+    third = repeats(_rows_of_tasks(opened(second), _string_rows), follow=False)
+    start = F.shiftrightunsigned("place", 31).bitwiseAND((1 << 31) - 1) - MARGIN
+    found = first.unionByName(second).unionByName(third).filter(kind == COVER)
+    return found.select("_id", "_hash", start.alias("start"), (start + F.col("place").bitwiseAND((1 << 31) - 1)).alias("stop"))
 
 
 def _cut(text: bytes, start: list[int], stop: list[int]) -> tuple[bytes, int]:
@@ -326,7 +358,7 @@ def removed(docs: DataFrame) -> DataFrame:
             "n_bytes": pa.array([len(t) for t in texts], pa.int64()), "n_spans": pa.array([n for _, n in out], pa.int64()),
         }
 
-    return map_batches(joined, run, "_id bigint, _hash bigint, kept binary, n_bytes bigint, n_spans bigint")
+    return map_batches(joined, run, "_id bigint, _hash int, kept binary, n_bytes bigint, n_spans bigint")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -354,7 +386,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         F.collect_list(F.struct("start", "stop")).alias("_cut_spans")
     )
     text = F.coalesce(docs["text"], F.lit(""))
-    same = (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID)) == spans["_cut_id"]) & (F.xxhash64(text) == spans["_cut_hash"])
+    same = (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID)) == spans["_cut_id"]) & (F.hash(text) == spans["_cut_hash"])
     rows = docs.join(spans, same, "left").select(*[docs[c] for c in docs.columns], "_cut_spans")
     place = docs.columns.index("text")
 
