@@ -120,6 +120,19 @@ def with_version(df: DataFrame, songlist: DataFrame, key: str = "song_id", how:
     return df.join(tokens, F.col(key).cast("bigint") == F.col("_id"), how).drop("_id")
 
 
+def latest_payloads(charts: DataFrame) -> DataFrame:
+    """One payload per song and part: the last to land where ``landed_at`` says so, else the one with most notes.
+
+    Equal ones are told apart by a hash of the chart, so a rerun picks the same.
+    """
+    keys = ["song_id", *[c for c in ("first_note_id",) if c in charts.columns]]
+    landed = [c for c in ("landed_at",) if c in charts.columns]
+    others = [c for c in charts.columns if c not in keys]
+    order = F.struct(*landed, F.size("chart"), F.xxhash64("chart"))
+    best = charts.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in charts.columns])
+
+
 def settle_versions(songlist: DataFrame, held: DataFrame, payload_keys: DataFrame) -> DataFrame:
     """The song list to store: a version advances only once its payload has arrived.
 

@@ -259,13 +259,16 @@ def explain_density(
 def verify_density(
     lane_rows: DataFrame, stored: DataFrame, kernel: Kernel = JUDGE, tolerance: float = 1e-3,
 ) -> DataFrame:
-    """Recompute every note from its pairs and compare with the stored value."""
+    """Recompute every note from its pairs and compare with the stored value.
+
+    Rows on one side only do not match: a stored row may be missing or too many.
+    """
     key = ["song_id", "note_id", "orientation"]
     again = horizontal_density_by_pairs(lane_rows, kernel).select(
         *key, F.col("horizontal_density").alias("calculated"),
         F.col("nearby_notes_count").alias("calculated_count"),
     )
-    return again.join(stored.select(*key, "horizontal_density", "nearby_notes_count"), key, "left").withColumn(
+    return again.join(stored.select(*key, "horizontal_density", "nearby_notes_count"), key, "full_outer").withColumn(
         "matches",
         F.coalesce(F.abs(F.col("calculated") - F.col("horizontal_density")) < tolerance, F.lit(False)),
     )

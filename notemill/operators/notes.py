@@ -22,19 +22,22 @@ def explode_notes(charts: DataFrame, lanes: int = DEFAULT_LANES, carry: Sequence
     """One row per note of ``chart``; ``note_id`` counts from 1.
 
     The elements of a note are frame number, lane index, colour code and
-    milliseconds. An index outside the lanes or an unlisted colour gives NULL.
+    milliseconds, whole or decimal: the first three are cut, milliseconds are
+    rounded. An index outside the lanes or an unlisted colour gives NULL. A
+    chart may come in parts, each with the ``first_note_id`` it starts from.
     ``carry`` names song-level columns to repeat on every note.
     """
-    notes = charts.select("song_id", *carry, F.posexplode("chart").alias("position", "note"))
+    first = F.col("first_note_id") if "first_note_id" in charts.columns else F.lit(1)
+    notes = charts.select("song_id", first.cast("int").alias("_first"), *carry, F.posexplode("chart").alias("position", "note"))
     part = lambda i: F.get("note", F.lit(i))
     return with_seconds(
         notes.select(
             F.col("song_id").cast("bigint").alias("song_id"),
-            (F.col("position") + 1).alias("note_id"),
+            (F.col("position") + F.col("_first")).alias("note_id"),
             part(0).cast("int").alias("framers"),
             one_hot(part(1).cast("int"), lanes).alias("orientation"),
             decode(part(2).cast("int"), COLORS).alias("color"),
-            part(3).cast("bigint").alias("ms"),
+            F.round(part(3)).cast("bigint").alias("ms"),
             *carry,
         )
     )

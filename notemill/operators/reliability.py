@@ -60,6 +60,7 @@ def parse_new(new: Column | str, old_difficulty: Column | str) -> Column:
 def recency(year: Column, as_of_year: int) -> Column:
     """1.0 for the current year, 0.1 less for each of three years, then 0.6 (also for no year)."""
     ago = F.lit(as_of_year) - year
+    # Fixed values.
     return (
         F.when(ago <= 0, F.lit(1.0)).when(ago == 1, F.lit(0.9)).when(ago == 2, F.lit(0.8))
         .when(ago == 3, F.lit(0.7)).otherwise(F.lit(0.6))
@@ -68,12 +69,14 @@ def recency(year: Column, as_of_year: int) -> Column:
 
 def acceptance(new_difficulty: Column, current: Column) -> Column:
     """0.7 without a current level, 1.0 when the proposal equals it, else 0.5."""
+    # Fixed values.
     return F.when(current.isNull(), F.lit(0.7)).when(new_difficulty == current, F.lit(1.0)).otherwise(F.lit(0.5))
 
 
 def magnitude(change: Column) -> Column:
     """Trust in the size of a change; 0.5 when it is unknown."""
     size = F.abs(change)
+    # Fixed values.
     return F.when(size <= 2, F.lit(1.0)).when(size <= 5, F.lit(0.8)).when(size > 5, F.lit(0.6)).otherwise(F.lit(0.5))
 
 
@@ -116,12 +119,13 @@ def song_lookup(contested: DataFrame, playlist: DataFrame) -> DataFrame:
 
 def reliability_weights(
     contested: DataFrame, playlist: DataFrame, as_of_year: int, order: str = "sheet_row",
-    widths: Sequence[int] = ROW_WIDTHS,
+    widths: Sequence[int] = ROW_WIDTHS, carry: Sequence[str] = (),
 ) -> DataFrame:
     """Score every dispute: stability × recency × acceptance × magnitude + bonus.
 
     Songs are counted before any quality filter. ``as_of_year`` is explicit so
-    that the result does not move with the calendar. The song lookup is written
+    that the result does not move with the calendar. ``carry`` names columns of
+    ``contested`` to keep beside the published ones. The song lookup is written
     out, so that Spark broadcasts it by its true size or can split a hot song.
     """
     parsed = parse_disputes(contested, order, widths)
@@ -143,7 +147,7 @@ def reliability_weights(
         F.col("stability_score") * F.col("recency_score") * F.col("acceptance_score") * F.col("magnitude_confidence")
         + F.col("resolution_bonus"),
     )
-    return scored.select(*SILVER_COLUMNS)
+    return scored.select(*SILVER_COLUMNS, *carry)
 
 
 def quality_rules(max_difficulty: int = MAX_DIFFICULTY) -> dict[str, Column]:

@@ -83,6 +83,11 @@ def cut_large_keys(df: DataFrame, keys: Sequence[str], position: str, rows_per_t
     )
 
 
+def _above(widths: Sequence[int]) -> list[int]:
+    """The upper widths in slices of the lowest: summaries are placed by slice number, not by position."""
+    return [max(1, w // widths[0]) for w in widths[1:]]
+
+
 def _carried(
     sliced: DataFrame, keys: Sequence[str], position: str, runs: Mapping[str, Running],
     widths: Sequence[int], tiebreak: Sequence[str], level: int,
@@ -104,7 +109,7 @@ def carried_into_slices(
 ) -> DataFrame:
     """One row per (keys, ``_slice0``) of ``widths[0]``: the running values before that slice."""
     sliced = df.withColumn("_slice0", slice_id(df, position, widths[0]))
-    return _carried(sliced, keys, position, runs, widths[1:], (), 0)
+    return _carried(sliced, keys, position, runs, _above(widths), (), 0)
 
 
 def running(
@@ -132,7 +137,7 @@ def running(
             several = sliced.filter("_cut")
         else:
             several = sliced = df.withColumn(name, slice_id(df, position, widths[0]))
-        carried = _carried(several, keys, position, runs, widths[1:], tiebreak, level)
+        carried = _carried(several, keys, position, runs, _above(widths), tiebreak, level)
         markers = carried.select(
             *keys, name, *[F.col(out).alias(f"_in_{out}") for out in runs], F.lit(0).alias("_is_row")
         )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from notemill.functions.scalars import DEFAULT_LANES
 from notemill.operators import cdc, chart, density, gold, notes, playlist, reliability
 from notemill.operators.density import JUDGE, Kernel
-from notemill.session import scratch_path
+from notemill.session import saved
 from notemill.sources import tables
 
 # Table -> (key column, whether it is bucketed by song), in dependency order.
@@ -42,10 +42,10 @@ VERSION = ["swf_version"]
 
 @contextmanager
 def database(spark: SparkSession, name: str, location: str | None = None) -> Iterator[str]:
-    """Work in a database of that name, at ``location`` or below the shared folder."""
+    """Work in a database of that name, at ``location`` or else in the warehouse: both outlive the session."""
     before = spark.catalog.currentDatabase()
-    place = location or scratch_path(spark, name)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.quoted(name)} LOCATION '{place}'")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.quoted(name)}{place}")
     spark.catalog.setCurrentDatabase(name)
     try:
         yield name
@@ -53,6 +53,11 @@ def database(spark: SparkSession, name: str, location: str | None = None) -> Ite
         spark.catalog.setCurrentDatabase(before)
 
 
+def ledger(name: str) -> str:
+    """The table of what a note table was built from: (song_id, versions)."""
+    return f"{name}__ledger"
+
+
 def plan_mode(exists: bool, has_changes: bool) -> str:
     """``full`` for a missing table, else ``incremental`` or ``skip``."""
     if not exists:
@@ -83,7 +88,7 @@ class Medallion:
         """A note table, all of it or the given songs."""
         if keys is None:
             return self.table(name)
-        return tables.read_songs(self.spark, name, keys, tables.touched_buckets(keys, self.buckets))
+        return tables.read_songs(self.spark, name, keys)
 
     def rebuild(self, name: str, rows: DataFrame) -> None:
         tables.publish(rows, name)
@@ -95,14 +100,20 @@ class Medallion:
     ) -> None:
         """Bring one note table up to date with ``source`` (song_id, versions).
 
-        The changed keys are frozen before the table they were compared with is
-        rewritten. Songs that left the source leave the table.
+        What was processed is kept in a ledger (song_id, versions) beside the
+        table, and only that is compared: an idle run reads no notes, and a song
+        that has no rows to show is not processed again. The ledger follows the
+        table, so a run that died between the two repeats its songs. Songs that
+        left the source leave the table.
         """
-        exists = self.exists(name)
-        if not exists:
+        source = saved(source, "tokens")
+        if not self.exists(name):
             tables.create_bucketed(transform(None), name, self.buckets)
+            tables.publish(source, ledger(name))
             self.report.append((name, plan_mode(False, True)))
             return
+        if self.exists(ledger(name)):
+            held = tables.read_table(self.spark, ledger(name))
         held = self.table(name) if held is None else held
         changed, touched = self.frozen_changes(
             cdc.changed_keys(source, held, "song_id", versions, null_safe=True),
@@ -110,7 +121,9 @@ class Medallion:
         )
         mode = plan_mode(True, not touched.isEmpty())
         if mode == "incremental":
-            tables.replace_songs(self.spark, name, transform(changed), touched, self.buckets)
+            tables.replace_songs(self.spark, name, transform(changed), touched)
+        if mode == "incremental" or not self.exists(ledger(name)):
+            tables.publish(source, ledger(name))
         self.report.append((name, mode))
 
     @staticmethod
@@ -124,7 +137,7 @@ class Medallion:
 
     def charted(self) -> DataFrame:
         """(song_id, swf_version) of listed songs whose chart has notes."""
-        charts = self.table("bronze__charts").filter("notes > 0").select("song_id")
+        charts = self.table("bronze__charts").filter("notes > 0").select("song_id").distinct()
         songs = self.table("bronze__songlist").select(F.col("id").alias("song_id"), "swf_version")
         return cdc.scope(songs, charts, "song_id")
 
@@ -140,7 +153,9 @@ class Medallion:
             as_song(cdc.deleted_keys(held, songlist, "id")),
         )
         # The length is stored so that later steps need not read the nested charts for it.
-        arrived = cdc.scope(charts, changed, "song_id").withColumn("notes", F.size("chart"))
+        # A payload that landed twice counts once; one without notes has not arrived.
+        arrived = cdc.latest_payloads(cdc.scope(charts, changed, "song_id")).withColumn("notes", F.size("chart"))
+        arrived = saved(arrived.filter("notes > 0"), "arrived")
         if not self.exists("bronze__charts"):
             tables.create_bucketed(arrived, "bronze__charts", self.buckets)
             mode = "full"
@@ -149,7 +164,7 @@ class Medallion:
             touched = cdc.freeze(cdc.combine_keys(arrived.select("song_id"), deleted))
             mode = plan_mode(True, not touched.isEmpty())
             if mode == "incremental":
-                tables.replace_songs(self.spark, "bronze__charts", arrived, touched, self.buckets)
+                tables.replace_songs(self.spark, "bronze__charts", arrived, touched)
         self.report.append(("bronze__charts", mode))
         self.rebuild("bronze__songlist", cdc.settle_versions(songlist, held, arrived.select("song_id")))
 
@@ -260,4 +275,4 @@ class Medallion:
         self.refresh_gold()
 
     def reset(self) -> None:
-        tables.drop_tables(self.spark, TABLES)
+        tables.drop_tables(self.spark, [*TABLES, *[ledger(name) for name in TABLES]])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 NOTES = """
 raw_notes AS (
   SELECT user_id AS song_id, event_id, ts,
@@ -181,8 +183,11 @@ def oracles() -> dict[str, str]:
     levels = scored + "," + LEVELS
     snaps = "WITH " + SNAPSHOTS
     song = "id, name, difficulty, swf_version"
-    ranked = """FROM (SELECT song_name, new_difficulty, change_year, num_changes,
-                        max(round(reliability_weight, 9)) AS reliability_weight FROM silver GROUP BY ALL)"""
+    # The same densities on seconds: bounds are thousandths, compared as doubles.
+    in_seconds = re.sub(r"(-?\d+)(?=( AND | THEN|$))", lambda m: f"{int(m[1]) / 1000}::DOUBLE", WEIGHT.replace("t.ms - n.ms", "t.ms / 1000::DOUBLE - n.ms / 1000::DOUBLE"))
+    seconds = HORIZONTAL.replace(WEIGHT, in_seconds).replace("abs(t.ms - n.ms) <= 117", "abs(t.ms / 1000::DOUBLE - n.ms / 1000::DOUBLE) <= 0.117::DOUBLE")
+    ranked = """FROM (SELECT song_name, new_difficulty, change_year, num_changes, source_sheet, sheet_row,
+                        round(reliability_weight, 9) AS reliability_weight FROM silver)"""
     means = """(SELECT song_id, avg({c}) AS avg_density FROM {t} GROUP BY 1) a JOIN songlist ON id = song_id"""
     gold = """SELECT v.song_id, v.note_id, v.orientation, vertical_density, horizontal_density,
                 round(v.note_id / l.note_count::DOUBLE, 6) AS position_in_song,
@@ -192,8 +197,7 @@ def oracles() -> dict[str, str]:
     out = {
         # notes
         "note_1_explode_notes": f"""WITH {NOTES}
-            SELECT song_id * 1048576 + (note_id - 1) // 4096 AS song_id, (note_id - 1) % 4096 + 1 AS note_id,
-                   framers, orientation, ms, ms / 1000::DOUBLE AS "timestamp",
+            SELECT song_id, note_id, framers, orientation, ms, ms / 1000::DOUBLE AS "timestamp",
                    CASE note_id % 10 WHEN 0 THEN 'blue' WHEN 1 THEN 'red' WHEN 2 THEN 'purple'
                      WHEN 3 THEN 'yellow' WHEN 4 THEN 'pink' WHEN 5 THEN 'orange' WHEN 6 THEN 'cyan'
                      WHEN 7 THEN 'green' WHEN 8 THEN 'white' END AS color
@@ -251,6 +255,13 @@ def oracles() -> dict[str, str]:
             SELECT song_id, note_id, orientation, horizontal_density, nearby_notes_count FROM horizontal""",
         "den_3_horizontal_density_by_pairs": f"""{lanes}, {HORIZONTAL}
             SELECT song_id, note_id, ms, orientation, horizontal_density, nearby_notes_count FROM horizontal""",
+        "den_3_horizontal_density_seconds": f"""{lanes}, {seconds}
+            SELECT song_id, note_id, orientation, horizontal_density, nearby_notes_count FROM horizontal""",
+        "den_4_explain_density": f"""{lanes},
+            t AS (SELECT * FROM lanes ORDER BY song_id, note_id DESC, orientation LIMIT 1)
+            SELECT n.song_id, n.note_id, n.orientation, n.ms, t.ms - n.ms AS diff_ms, {WEIGHT} AS weight,
+                   n.note_id = t.note_id AND n.orientation = t.orientation AS is_self
+            FROM lanes n JOIN t ON t.song_id = n.song_id AND abs(t.ms - n.ms) <= 117""",
         "den_note_densities": f"""{both}
             SELECT song_id, note_id, v.ms, orientation, vertical_density, horizontal_density, nearby_notes_count
             FROM vertical v JOIN horizontal h USING (song_id, note_id, orientation)""",
@@ -295,6 +306,13 @@ def oracles() -> dict[str, str]:
             SELECT b.bin, round(lo + (hi - lo) * (b.bin - 1) / 10, 6) AS bin_low, round(lo + (hi - lo) * b.bin / 10, 6) AS bin_high,
                    coalesce(n, 0) AS n
             FROM range(1, 11) b(bin) CROSS JOIN r LEFT JOIN placed USING (bin)""",
+        "agg_14_histogram_lengths": f"""WITH {SONGS}, {COUNTED}, {LENGTHS},
+            v AS (SELECT round(song_length_log_normalized, 4) AS x FROM lengths),
+            r AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
+            placed AS (SELECT least(floor((x - lo) / (hi - lo) * 50)::BIGINT + 1, 50) AS bin, count(*) AS n FROM v, r GROUP BY 1)
+            SELECT b.bin, round(lo + (hi - lo) * (b.bin - 1) / 50, 6) AS bin_low, round(lo + (hi - lo) * b.bin / 50, 6) AS bin_high,
+                   coalesce(n, 0) AS n
+            FROM range(1, 51) b(bin) CROSS JOIN r LEFT JOIN placed USING (bin)""",
         # change detection
         "cdc_1_deleted_keys": f"{snaps} SELECT id FROM old_songs ANTI JOIN new_songs USING (id)",
         "cdc_2_new_keys": f"{snaps} SELECT id FROM new_songs ANTI JOIN old_songs USING (id)",
@@ -370,8 +388,7 @@ def oracles() -> dict[str, str]:
                    year(to_timestamp(releasedate) AT TIME ZONE 'UTC') AS release_year, CAST(NULL AS INT) AS bad_time
             FROM raw_playlist JOIN part ON p_partkey = level""",
         "fn_6_map_update": f"""WITH {NOTES}
-            SELECT song_id * 1048576 + (note_id - 1) // 4096 AS song_id,
-                   'song_' || (song_id * 1048576 + (note_id - 1) // 4096) AS name, '99999' AS note_count, 2 AS entries
+            SELECT song_id, (note_id - 1) // 4096 * 4096 + 1 AS first_note_id, 'song_' || song_id AS name, '99999' AS note_count, 2 AS entries
             FROM notes GROUP BY ALL""",
         # reliability
         "rel_2_forward_fill": f"""WITH {PARSED}
@@ -401,9 +418,11 @@ def oracles() -> dict[str, str]:
         "rel_14_difficulty_reliability": f"{levels} SELECT new_difficulty, {STATS} FROM by_level",
         "rel_15_densify": f"{levels} SELECT new_difficulty, {STATS} FROM dense",
         "rel_16_reliability_scores": f"{levels} SELECT new_difficulty, {STATS} FROM smoothed",
+        "rel_16_reliability_scores_even": f"""{levels.replace('3 PRECEDING', '2 PRECEDING')}
+            SELECT new_difficulty, {STATS} FROM smoothed""",
         "rel_17_sample_weights": f"""{levels}
             SELECT id AS song_id, difficulty, num_assessments, round(coalesce(avg_reliability, 0.2::DOUBLE), 6) AS sample_weight
-            FROM songlist LEFT JOIN smoothed ON new_difficulty = difficulty AND new_difficulty <= 100""",
+            FROM songlist LEFT JOIN smoothed ON new_difficulty = difficulty""",
         "dq_1_null_counts": f"""{scored}
             SELECT count(*) FILTER (song_name IS NULL) AS song_name, count(*) FILTER (old_difficulty IS NULL) AS old_difficulty,
                    count(*) FILTER (new_difficulty IS NULL) AS new_difficulty, count(*) FILTER (change_date IS NULL) AS change_date,
@@ -414,11 +433,15 @@ def oracles() -> dict[str, str]:
             SELECT count(d) AS "count", round(avg(d), 6) AS mean, round(stddev_samp(d), 6) AS stddev, min(d) AS "min",
                    quantile_disc(d, 0.25) AS p25, quantile_disc(d, 0.5) AS p50, quantile_disc(d, 0.75) AS p75, max(d) AS "max"
             FROM (SELECT difficulty_change AS d FROM silver WHERE is_actual_change)""",
+        "dq_2_weight_profile": f"""{scored}
+            SELECT count(d) AS "count", round(avg(d), 6) AS mean, round(stddev_samp(d), 6) AS stddev, min(d) AS "min",
+                   quantile_disc(d, 0.25) AS p25, quantile_disc(d, 0.5) AS p50, quantile_disc(d, 0.75) AS p75, max(d) AS "max"
+            FROM (SELECT round(reliability_weight, 9) AS d FROM silver)""",
         "dq_3_changes_by_year": f"{scored} SELECT change_year, count(*) AS \"count\" FROM silver GROUP BY 1",
         "dq_4_highest_weights": f"""{scored} SELECT * {ranked}
-            ORDER BY reliability_weight DESC, song_name, new_difficulty, change_year LIMIT 10""",
+            ORDER BY reliability_weight DESC, source_sheet, sheet_row LIMIT 10""",
         "dq_4_lowest_weights": f"""{scored} SELECT * {ranked}
-            ORDER BY reliability_weight, song_name, new_difficulty, change_year LIMIT 10""",
+            ORDER BY reliability_weight, source_sheet, sheet_row LIMIT 10""",
         "dq_5_resolved": f"""WITH {CONTESTED}
             SELECT song_name, old_diff, new_diff, source_sheet, sheet_row FROM contested
             WHERE contains(new_diff, '(resolved)')""",
@@ -437,7 +460,7 @@ def oracles() -> dict[str, str]:
             FROM smoothed""",
         "dq_12_weight_coverage": f"""{levels},
             w AS (SELECT avg_reliability, coalesce(avg_reliability, 0.2::DOUBLE) AS x
-                  FROM songlist LEFT JOIN smoothed ON new_difficulty = difficulty AND new_difficulty <= 100)
+                  FROM songlist LEFT JOIN smoothed ON new_difficulty = difficulty)
             SELECT count(*) AS songs, count(avg_reliability) AS with_score, count(*) - count(avg_reliability) AS with_default,
                    round(min(x), 6) AS min_weight, round(max(x), 6) AS max_weight, round(avg(x), 6) AS mean_weight,
                    round(stddev_samp(x), 6) AS stddev_weight
@@ -448,7 +471,7 @@ def oracles() -> dict[str, str]:
         "gld_3_attach_labels": f"""{levels}
             SELECT user_id AS song_id, event_id, difficulty, round(avg_reliability, 6) AS sample_weight
             FROM events LEFT JOIN songlist ON id = user_id
-            LEFT JOIN smoothed ON new_difficulty = difficulty AND new_difficulty <= 100""",
+            LEFT JOIN smoothed ON new_difficulty = difficulty""",
         "gld_features": f"""{both}, {SONGS}, {COUNTED}, {LENGTHS}, {SCORED}, {LEVELS}
             {gold.format(version='l.swf_version')}, difficulty, round(avg_reliability, 6) AS sample_weight
             {joined} JOIN songlist s ON s.id = v.song_id LEFT JOIN smoothed ON new_difficulty = s.difficulty""",
@@ -457,10 +480,11 @@ def oracles() -> dict[str, str]:
             {joined} JOIN songlist s ON s.id = v.song_id LEFT JOIN smoothed ON new_difficulty = s.difficulty""",
         # files and tables
         "src_1_songlist_json": f"WITH {SONGS} SELECT {song}, note_count FROM songlist",
+        "src_1_songlist_json_array": f"WITH {SONGS} SELECT {song}, note_count FROM songlist",
+        "src_3_playlist_json_array": f"WITH {PLAYLIST} SELECT * FROM raw_playlist",
         "src_2_charts_json": f"""WITH {NOTES}
             SELECT * FROM (
-              SELECT song_id * 1048576 + (note_id - 1) // 4096 AS song_id, (note_id - 1) % 4096 + 1 AS note_id,
-                     framers, orientation, ms,
+              SELECT song_id, note_id, framers, orientation, ms,
                      CASE note_id % 10 WHEN 0 THEN 'blue' WHEN 1 THEN 'red' WHEN 2 THEN 'purple'
                        WHEN 3 THEN 'yellow' WHEN 4 THEN 'pink' WHEN 5 THEN 'orange' WHEN 6 THEN 'cyan'
                        WHEN 7 THEN 'green' WHEN 8 THEN 'white' END AS color
@@ -489,9 +513,27 @@ def oracles() -> dict[str, str]:
             {LENGTHS},
             {SCORED.replace('LEFT JOIN songlist s', 'LEFT JOIN (SELECT * FROM songlist SEMI JOIN events ON user_id = id) s')},
             {LEVELS}
-            SELECT * REPLACE (song_id * 1048576 AS song_id) FROM (
-              {gold.format(version='l.swf_version')}, difficulty, round(avg_reliability, 6) AS sample_weight
-              {joined} JOIN songlist s ON s.id = v.song_id LEFT JOIN smoothed ON new_difficulty = s.difficulty)""",
+            {gold.format(version='l.swf_version')}, difficulty, round(avg_reliability, 6) AS sample_weight
+            {joined} JOIN songlist s ON s.id = v.song_id LEFT JOIN smoothed ON new_difficulty = s.difficulty""",
+        "run_duplicate_payloads": f"""WITH {SONGS}
+            SELECT user_id AS song_id, count(*) AS notes, count(*) AS last_note
+            FROM events JOIN songlist ON id = user_id WHERE user_id % 11 <> 0 GROUP BY 1""",
+        "run_idle": f"""WITH {SONGS},
+            s AS (SELECT count(DISTINCT user_id) AS listed, count(DISTINCT user_id) FILTER (user_id % 7 <> 0) AS laned
+                  FROM events JOIN songlist ON id = user_id WHERE user_id % 11 <> 0)
+            SELECT 'bronze__charts' AS "table", 'skip' AS mode, listed AS songs FROM s
+            UNION ALL SELECT 'silver__notes', 'skip', listed FROM s
+            UNION ALL SELECT 'silver__notes_adjusted', 'skip', listed FROM s
+            UNION ALL SELECT 'silver__vertical_density', 'skip', laned FROM s
+            UNION ALL SELECT 'silver__horizontal_density', 'skip', laned FROM s
+            UNION ALL SELECT 'gold__features', 'skip', laned FROM s""",
+        "snk_bucket_count": f"""WITH {NOTES}
+            SELECT song_id, count(*) AS notes, 4 AS buckets FROM raw_notes
+            WHERE song_id % 5 <> 0 OR event_id % 2 = 1 GROUP BY 1""",
+        "src_2_charts_decimals": f"""WITH {NOTES}
+            SELECT song_id, count(*) AS notes, sum(ms)::BIGINT AS sum_ms, sum(framers)::BIGINT AS sum_framers, max(note_id) AS last_note,
+                   (SELECT count(*) FROM part) AS rejected
+            FROM notes GROUP BY 1""",
         "aud_1_presence": f"""{snaps},
             found AS (SELECT 'bronze' AS layer, 'bronze__songlist' AS "table", id FROM new_songs
                       UNION ALL SELECT 'bronze', 'bronze__playlist', p_partkey FROM part

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from notemill.functions.scalars import (
 )
 from notemill.operators import audit, cdc, chart, density, gold, merge, notes, playlist, profile, reliability
 from notemill.operators.running import forward_fill
-from notemill.plans.medallion import Medallion, database
+from notemill.plans.medallion import TABLES, Medallion, database
 from notemill.session import saved, scratch_path
 from notemill.sources import derived, landed, tables
 
@@ -181,6 +182,20 @@ def _(spark, sf_dir):
     return rounded(density.horizontal_density_by_pairs(lane_rows(spark, sf_dir)), "horizontal_density")
 
 
+@query("den_3_horizontal_density_seconds")
+def _(spark, sf_dir):
+    dense = density.horizontal_density_by_pairs(lane_rows(spark, sf_dir), time="timestamp")
+    return rounded(dense.drop("timestamp"), "horizontal_density")
+
+
+@query("den_4_explain_density")
+def _(spark, sf_dir):
+    """Every neighbour of the last note of the first song."""
+    rows = lane_rows(spark, sf_dir)
+    song, note, lane = rows.orderBy("song_id", F.desc("note_id"), "orientation").select("song_id", "note_id", "orientation").first()
+    return density.explain_density(rows, song, note, lane)
+
+
 @query("den_note_densities")
 def _(spark, sf_dir):
     dense = density.note_densities(stored_chords(spark, sf_dir)).drop("timestamp", "prev_timestamp", "time_delta")
@@ -247,6 +262,12 @@ def _(spark, sf_dir):
     return rounded(chart.histogram(derived.counted_songlist(spark, sf_dir), "note_count", 10), "bin_low", "bin_high")
 
 
+@query("agg_14_histogram_lengths")
+def _(spark, sf_dir):
+    lengths = counted_features(spark, sf_dir).withColumn("length", F.round("song_length_log_normalized", 4))
+    return rounded(chart.histogram(lengths, "length", 50), "bin_low", "bin_high")
+
+
 # -- change detection ----------------------------------------------------------
 
 def snapshots(spark, sf_dir):
@@ -412,10 +433,10 @@ def _(spark, sf_dir):
 @query("fn_6_map_update")
 def _(spark, sf_dir):
     info = derived.charts(spark, sf_dir).select(
-        "song_id", set_map_value("info", "note_count", "99999").alias("info")
+        "song_id", "first_note_id", set_map_value("info", "note_count", "99999").alias("info")
     )
     return info.select(
-        "song_id", F.element_at("info", "name").alias("name"), F.element_at("info", "note_count").alias("note_count"),
+        "song_id", "first_note_id", F.element_at("info", "name").alias("name"), F.element_at("info", "note_count").alias("note_count"),
         F.size("info").alias("entries"),
     )
 
@@ -485,12 +506,17 @@ def _(spark, sf_dir):
     return rounded(scores(spark, sf_dir), *STATS, digits=8)
 
 
+@query("rel_16_reliability_scores_even")
+def _(spark, sf_dir):
+    """The even frame: two levels before, two after."""
+    return rounded(reliability.reliability_scores(silver_contested(spark, sf_dir), 2, 2), *STATS, digits=8)
+
+
 @query("rel_17_sample_weights")
 def _(spark, sf_dir):
     songs = silver_playlist(spark, sf_dir).select("song_id", "name", "difficulty")
-    low = scores(spark, sf_dir).filter("new_difficulty <= 100")
     return rounded(
-        reliability.sample_weights(songs, low).select("song_id", "difficulty", "num_assessments", "sample_weight"),
+        reliability.sample_weights(songs, scores(spark, sf_dir)).select("song_id", "difficulty", "num_assessments", "sample_weight"),
         "sample_weight",
     )
 
@@ -509,18 +535,27 @@ def _(spark, sf_dir):
     return rounded(profile.numeric_profile(disputed, "difficulty_change"), "mean", "stddev")
 
 
+@query("dq_2_weight_profile")
+def _(spark, sf_dir):
+    weighed = rounded(silver_contested(spark, sf_dir), "reliability_weight", digits=9)
+    spread = profile.numeric_profile(weighed, "reliability_weight", accuracy=10_000_000)
+    return rounded(spread, "mean", "stddev")
+
+
 @query("dq_3_changes_by_year")
 def _(spark, sf_dir):
     return profile.count_by(silver_contested(spark, sf_dir), "change_year").orderBy("change_year")
 
 
 def ranked(spark, sf_dir, descending):
-    rows = rounded(silver_contested(spark, sf_dir), "reliability_weight", digits=9).groupBy(
-        "song_name", "new_difficulty", "change_year", "num_changes"
-    ).agg(F.max("reliability_weight").alias("reliability_weight"))
-    return profile.top_k(
-        rows, "reliability_weight", 10, descending, ["song_name", "new_difficulty", "change_year"]
+    """Assessments, each a row of a sheet; equal weights in the order of the sheets."""
+    scored = reliability.reliability_weights(
+        stored_contested(spark, sf_dir), silver_playlist(spark, sf_dir), AS_OF_YEAR, carry=["sheet_row"]
+    )
+    rows = rounded(reliability.dq_filter(scored), "reliability_weight", digits=9).select(
+        "song_name", "new_difficulty", "change_year", "num_changes", "reliability_weight", "source_sheet", "sheet_row"
     )
+    return profile.top_k(rows, "reliability_weight", 10, descending, ["source_sheet", "sheet_row"])
 
 
 @query("dq_4_highest_weights")
@@ -567,9 +602,8 @@ def _(spark, sf_dir):
 
 @query("dq_12_weight_coverage")
 def _(spark, sf_dir):
-    low = scores(spark, sf_dir).filter("new_difficulty <= 100")
     songs = silver_playlist(spark, sf_dir).select("song_id", "name", "difficulty")
-    covered = reliability.weight_coverage(reliability.sample_weights(songs, low))
+    covered = reliability.weight_coverage(reliability.sample_weights(songs, scores(spark, sf_dir)))
     return rounded(covered, "min_weight", "max_weight", "mean_weight", "stddev_weight")
 
 
@@ -589,8 +623,7 @@ def _(spark, sf_dir):
 @query("gld_3_attach_labels")
 def _(spark, sf_dir):
     features = derived.raw_notes(spark, sf_dir).select("song_id", "event_id")
-    low = scores(spark, sf_dir).filter("new_difficulty <= 100")
-    return rounded(gold.attach_labels(features, silver_playlist(spark, sf_dir), low), "sample_weight")
+    return rounded(gold.attach_labels(features, silver_playlist(spark, sf_dir), scores(spark, sf_dir)), "sample_weight")
 
 
 @query("gld_features")
@@ -623,6 +656,28 @@ def _(spark, sf_dir):
     return landed.read_songlist(spark, path, multiline=False).select(*SONG, "note_count")
 
 
+def write_arrays(df: DataFrame, path: str, files: int = 4) -> None:
+    """JSON array files, each with a share of the rows."""
+    rows = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(files)).alias("file"), F.to_json(F.struct(*df.columns)).alias("row"))
+    arrays = rows.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]")).alias("line"))
+    arrays.write.partitionBy("file").text(path)
+
+
+@query("src_1_songlist_json_array")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "songlist-array")
+    write_arrays(derived.songlist(spark, sf_dir), path)
+    return landed.read_songlist(spark, path).select(*SONG, "note_count")
+
+
+@query("src_3_playlist_json_array")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "playlist-array")
+    raw = derived.raw_playlist(spark, sf_dir)
+    write_arrays(raw, path)
+    return landed.read_playlist(spark, path).select(*raw.columns)
+
+
 @query("src_2_charts_json")
 def _(spark, sf_dir):
     path = scratch_path(spark, "charts-json")
@@ -631,6 +686,20 @@ def _(spark, sf_dir):
     return notes.explode_notes(landed.read_charts(spark, path)).drop("timestamp")
 
 
+@query("src_2_charts_decimals")
+def _(spark, sf_dir):
+    """Charts with decimal numbers are read in full; what is no JSON is kept as a reject."""
+    path = scratch_path(spark, "charts-decimals")
+    half = F.transform("chart", lambda note: F.array(note[0] + 0.5, note[1].cast("double"), note[2].cast("double"), note[3] + 0.25))
+    lines = derived.charts(spark, sf_dir).withColumns({"chart": half, "status": F.lit(200)}).select(F.to_json(F.struct("*")).alias("line"))
+    broken = derived.songlist(spark, sf_dir).select(F.concat(F.lit('{"song_id": '), F.col("id").cast("string"), F.lit(', "chart": [[')).alias("line"))
+    lines.unionByName(broken).write.text(path)
+    told = notes.explode_notes(landed.read_charts(spark, path)).groupBy("song_id").agg(
+        F.count(F.lit(1)).alias("notes"), F.sum("ms").alias("sum_ms"), F.sum("framers").alias("sum_framers"), F.max("note_id").alias("last_note")
+    )
+    return told.withColumn("rejected", F.lit(saved(landed.rejected_charts(spark, path), "rejects").count()))
+
+
 @query("src_3_playlist_json")
 def _(spark, sf_dir):
     path = scratch_path(spark, "playlist-json")
@@ -672,8 +741,16 @@ def _(spark, sf_dir):
     ])
 
 
-def fresh_database(spark: SparkSession):
-    return database(spark, "run_" + scratch_path(spark, "run").rsplit("-", 1)[1])
+@contextmanager
+def fresh_database(spark: SparkSession) -> Iterator[None]:
+    """A database of its own for one query, dropped at the end. What is returned from it is copied first."""
+    path = scratch_path(spark, "run")
+    name = "run_" + path.rsplit("-", 1)[1]
+    with database(spark, name, path):
+        try:
+            yield
+        finally:
+            spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 @query("snk_1_overwrite_append")
@@ -683,7 +760,7 @@ def _(spark, sf_dir):
         tables.write_table(new.select(*SONG), "songs")
         tables.write_table(old.select(*SONG), "songs")
         tables.write_table(new.select(*SONG), "songs", mode="append")
-        return tables.read_table(spark, "songs")
+        return saved(tables.read_table(spark, "songs"), "result")
 
 
 @query("snk_3_recreate_add_column")
@@ -693,7 +770,7 @@ def _(spark, sf_dir):
         tables.write_table(songs.select("id", "name"), "songs")
         tables.write_table(songs.select("id", "swf_version"), "songs", on_schema_change="recreate")
         tables.ensure_column(spark, "songs", "difficulty", "int")
-        return tables.read_table(spark, "songs")
+        return saved(tables.read_table(spark, "songs"), "result")
 
 
 @query("snk_publish_upsert")
@@ -702,7 +779,7 @@ def _(spark, sf_dir):
     with fresh_database(spark):
         tables.publish(old.select(*SONG), "songs")
         tables.publish(merge.merge_upsert(tables.read_table(spark, "songs"), new.select(*SONG), ["id"]), "songs")
-        return tables.read_table(spark, "songs")
+        return saved(tables.read_table(spark, "songs"), "result")
 
 
 @query("snk_replace_songs")
@@ -712,18 +789,29 @@ def _(spark, sf_dir):
     keys = cdc.freeze(incoming.select("song_id").distinct())
     with fresh_database(spark):
         tables.create_bucketed(played, "notes", 8)
-        tables.replace_songs(spark, "notes", incoming, keys, 8)
-        return tables.read_bucketed(spark, "notes")
+        tables.replace_songs(spark, "notes", incoming, keys)
+        return saved(tables.read_bucketed(spark, "notes"), "result")
+
+
+@query("snk_bucket_count")
+def _(spark, sf_dir):
+    """The stored number of buckets holds, whatever a later run would like."""
+    played = derived.raw_notes(spark, sf_dir).select("song_id", "event_id", "ms")
+    keys = cdc.freeze(played.select("song_id").filter("song_id % 5 = 0").distinct())
+    with fresh_database(spark):
+        tables.create_bucketed(played, "notes", 4)
+        tables.replace_songs(spark, "notes", played.filter("song_id % 5 = 0 AND event_id % 2 = 1"), keys)
+        own = tables.read_bucketed(spark, "notes").groupBy("song_id").agg(F.count(F.lit(1)).alias("notes"))
+        return saved(own.withColumn("buckets", F.lit(tables.bucket_count(spark, "notes"))), "result")
 
 
 def medallion_inputs(spark, sf_dir):
     charts = saved(derived.charts(spark, sf_dir), "charts")
     songs = derived.chart_songlist(charts, derived.songlist(spark, sf_dir))
     raw = derived.chart_playlist(charts, derived.raw_playlist(spark, sf_dir))
-    user = F.expr("id div 1048576")
-    old = songs.filter(user % 10 != 0)
-    bumped = F.when(user % 5 == 0, F.col("swf_version") + 1).otherwise(F.col("swf_version"))
-    new = songs.filter(user % 11 != 0).withColumn("swf_version", bumped)
+    old = songs.filter("id % 10 <> 0")
+    bumped = F.when(F.col("id") % 5 == 0, F.col("swf_version") + 1).otherwise(F.col("swf_version"))
+    new = songs.filter("id % 11 <> 0").withColumn("swf_version", bumped)
     return old, new, charts, raw, stored_contested(spark, sf_dir)
 
 
@@ -734,7 +822,32 @@ def _(spark, sf_dir):
         runs = Medallion(spark, as_of_year=AS_OF_YEAR, buckets=8)
         runs.run(old, charts, raw, contested)
         runs.run(new, charts, raw, contested)
-        return rounded(runs.table("gold__features"), *GOLD_DOUBLES, "sample_weight")
+        return saved(rounded(runs.table("gold__features"), *GOLD_DOUBLES, "sample_weight"), "result")
+
+
+@query("run_duplicate_payloads")
+def _(spark, sf_dir):
+    """Every chart lands twice; the notes are there once."""
+    _, new, charts, raw, contested = medallion_inputs(spark, sf_dir)
+    with fresh_database(spark):
+        runs = Medallion(spark, as_of_year=AS_OF_YEAR, buckets=8)
+        runs.ingest_songs(new, charts.unionByName(charts))
+        runs.refresh_notes()
+        return saved(runs.table("silver__notes").groupBy("song_id").agg(F.count(F.lit(1)).alias("notes"), F.max("note_id").alias("last_note")), "result")
+
+
+@query("run_idle")
+def _(spark, sf_dir):
+    """What a run over unchanged input does with each note table, also for songs whose notes have no valid lane."""
+    _, new, charts, raw, contested = medallion_inputs(spark, sf_dir)
+    lost = F.transform("chart", lambda note: F.array(note[0], F.lit(9).cast(charts.schema["chart"].dataType.elementType.elementType), note[2], note[3]))
+    charts = charts.withColumn("chart", F.when(F.col("song_id") % 7 == 0, lost).otherwise(F.col("chart")))
+    with fresh_database(spark):
+        runs = Medallion(spark, as_of_year=AS_OF_YEAR, buckets=8)
+        runs.run(new, charts, raw, contested)
+        report = runs.run(new, charts, raw, contested)
+        rows = [(name, mode, runs.table(name).select("song_id").distinct().count()) for name, mode in report if TABLES[name][1]]
+        return spark.createDataFrame(rows, "table string, mode string, songs bigint")
 
 
 @query("aud_1_presence")

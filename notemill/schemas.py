@@ -1,4 +1,7 @@
-"""Table schemas. Versions are ``bigint`` everywhere."""
+"""Table schemas. Versions are ``bigint`` everywhere.
+
+Fixed values: column names, their order and their types are those of the published tables.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +12,8 @@ SONGLIST = """
     note_count bigint, max_nps int, min_nps int, stepauthor string, swf_version bigint, timestamp bigint,
     timestamp_format string
 """
-CHARTS = "song_id bigint, info map<string,string>, chart array<array<bigint>>"
-CHART_PAYLOADS = "song_id bigint, status int, info map<string,string>, chart array<array<bigint>>"
+CHARTS = "song_id bigint, info map<string,string>, chart array<array<double>>"
+CHART_PAYLOADS = "song_id bigint, first_note_id int, status int, info map<string,string>, chart array<array<double>>, _corrupt_record string"
 PLAYLIST = """
     level double, name string, difficulty double, genre double, style double, time string, arrows double,
     previewhash string, releasedate double, author string, stepauthor string, song_rating double,

@@ -24,17 +24,25 @@ def build_session(app: str = "notemill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def runs_locally(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset
-    (tests on one machine) a temporary folder takes its place.
+    ``spark.checkpoint.dir`` is read from the session. Only a session on one
+    machine may leave it unset: a temporary folder takes its place there.
+    Elsewhere executors would each write to their own disk, so it is an error.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not named:
         named = context.getCheckpointDir()
     if not named:
+        if not runs_locally(context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="notemill-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)

@@ -14,7 +14,7 @@ from notemill.operators.running import row_numbers
 
 HOUR_US = 3_600_000_000
 EPOCH_US = 1_704_067_200_000_000  # 2024-01-01 00:00 UTC
-CHUNK_NOTES = 4096
+PART_NOTES = 4096
 ROW_WIDTHS = (1 << 14, 1 << 28)
 ROWS_PER_TASK = 4_000_000
 
@@ -48,12 +48,11 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def charts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested charts of at most ``CHUNK_NOTES`` notes.
+    """Nested charts in parts of ``PART_NOTES`` notes, so that an array never grows without bound.
 
-    A longer song becomes several charts, ``song_id * 1048576 + chunk``, so an
-    array never grows without bound.
+    All parts keep the id of their song and carry ``first_note_id``.
     """
-    at = F.col("note_id") - 1
+    first = F.expr(f"(note_id - 1) div {PART_NOTES}") * PART_NOTES + 1
     lane = F.locate("1", F.col("orientation")) - 1
     note = F.array(
         F.col("framers").cast("bigint"), lane.cast("bigint"), (F.col("note_id") % 10).cast("bigint"), F.col("ms")
@@ -61,13 +60,12 @@ def charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         notes(spark, sf_dir)
         .select(
-            (F.col("song_id") * 1048576 + F.floor(at / CHUNK_NOTES)).alias("song_id"),
-            F.struct("note_id", note.alias("note")).alias("entry"),
+            "song_id", first.cast("int").alias("first_note_id"), F.struct("note_id", note.alias("note")).alias("entry"),
         )
-        .groupBy("song_id")
+        .groupBy("song_id", "first_note_id")
         .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
         .select(
-            "song_id",
+            "song_id", "first_note_id",
             F.create_map(
                 F.lit("name"), F.concat(F.lit("song_"), F.col("song_id").cast("string")),
                 F.lit("note_count"), F.size("entries").cast("string"),
@@ -153,20 +151,11 @@ def contested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chart_songlist(charts_df: DataFrame, songs: DataFrame) -> DataFrame:
-    """One song list row per derived chart, from the row of its base song."""
-    base = songs.withColumnRenamed("id", "_base").drop("note_count")
-    keyed = charts_df.select(
-        F.col("song_id").alias("id"), F.expr("song_id div 1048576").alias("_user"),
-        F.size("chart").cast("bigint").alias("note_count"),
-    )
-    return keyed.join(base, F.col("_user") == F.col("_base")).select(
-        "id", "name", "difficulty", "note_count", "swf_version"
-    )
+    """The song list of the charts' songs, with the notes of all their parts."""
+    counts = charts_df.groupBy(F.col("song_id").alias("id")).agg(F.sum(F.size("chart")).cast("bigint").alias("note_count"))
+    return songs.drop("note_count").join(counts, "id").select("id", "name", "difficulty", "note_count", "swf_version")
 
 
 def chart_playlist(charts_df: DataFrame, raw: DataFrame) -> DataFrame:
-    """The raw playlist with a row (level) per derived chart."""
-    keyed = charts_df.select(
-        F.col("song_id").cast("double").alias("_level"), F.expr("song_id div 1048576").cast("double").alias("_user")
-    )
-    return keyed.join(raw, F.col("_user") == F.col("level")).withColumn("level", F.col("_level")).select(*raw.columns)
+    """The raw playlist of the charts' songs."""
+    return raw.join(charts_df.select(F.col("song_id").cast("double").alias("level")), "level", "left_semi").select(*raw.columns)

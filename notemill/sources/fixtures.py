@@ -1,67 +1,62 @@
-"""A synthetic song in every layer, and stale values to be repaired.
+"""A made-up song in every layer, and stale values to be repaired.
 
 Both exist to exercise change detection on live tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill import schemas
 from notemill.functions.scalars import set_map_value
+from notemill.operators import cdc, density, gold, notes, playlist
 from notemill.operators.merge import merge_update, update_where
-from notemill.plans.medallion import TABLES, Medallion
+from notemill.plans.medallion import TABLES, VERSION, Medallion, ledger
 from notemill.sources import tables
 
-# Sentinels no real row holds.
-FAKE_VERSION = 999_999
-FAKE_LEVEL = 999
-FAKE_NOTE_COUNT = "99999"
-TIME_SHIFT_SECONDS = 999_999
+# Values no real row holds.
+FAKE_VERSION = 7_700_077
+FAKE_LEVEL = 555
+FAKE_NOTE_COUNT = "-1"
+TIME_SHIFT_SECONDS = 4_000_000
 
 
-def synthetic_song(spark: SparkSession, song_id: int = 99_999, name: str = "synthetic song") -> dict[str, DataFrame]:
-    """Rows of one five-chord song for every table that is keyed by song.
+def synthetic_song(runs: Medallion, song_id: int = 99_999, name: str = "made-up song") -> dict[str, DataFrame]:
+    """Rows of one short song for every table that is keyed by song.
 
-    Four single notes half a second apart, then a chord of the outer lanes.
+    Only its landed rows are made up: a climb over the lanes, a tie, and a
+    chord. All later layers come from running the operators on them.
     """
-    version = FAKE_VERSION
-    lanes = [(1, 0, "0001"), (2, 500, "0010"), (3, 1000, "0100"), (4, 1500, "1000"), (5, 2000, "1000"), (5, 2000, "0001")]
-    gaps = {(5, "1000"): (1.5, 0.5, 2.0), (5, "0001"): (0.0, 2.0, 0.5)}
-    chart = [[0, 3, 0, 0], [15, 2, 0, 500], [30, 1, 0, 1000], [45, 0, 0, 1500], [60, 0, 0, 2000], [60, 3, 0, 2000]]
-    index = lambda lane: lane.index("1")
-    row = {
-        "bronze__songlist": (schemas.SONGLIST, [(
-            song_id, name, "author", "http://example.invalid", 1, 10, "180", 6, 50, 10, "stepper", version, 0, "none")]),
-        "bronze__charts": (schemas.CHARTS, [(song_id, {"name": name, "note_count": "6"}, chart)]),
-        "bronze__playlist": (schemas.PLAYLIST, [(
-            float(song_id), name, 10.0, 1.0, 1.0, "3:00", 6.0, "hash", 0.0, "author", "stepper", 0.0, 0.0, 0.0, 0.0,
-            None, None)]),
-        "silver__playlist": (schemas.SILVER_PLAYLIST, [(
-            "Dance", name, 10, 1, 180, song_id, 6, "hash", None, "author", ["stepper"], 0.0, False, False, False, 0, 0,
-            version)]),
-        "silver__notes": (schemas.NOTES, [
-            (song_id, i + 1, c[0], "".join("1" if k == c[1] else "0" for k in range(4)), "blue", c[3], c[3] / 1000, version)
-            for i, c in enumerate(chart)]),
-        "silver__notes_adjusted": (schemas.NOTES_ADJUSTED, [
-            (song_id, n, ms * 30 // 1000, o, ms, ms / 1000, version)
-            for n, ms, o in lanes[:4] + [(5, 2000, "1001")]]),
-        "silver__vertical_density": (schemas.VERTICAL_DENSITY, [
-            (song_id, n, ms, ms / 1000, o, *gaps.get((n, o), (None, None, 0.0)), version) for n, ms, o in lanes]),
-        "silver__horizontal_density": (schemas.HORIZONTAL_DENSITY, [
-            (song_id, n, ms, ms / 1000, o, 2.0 if n == 5 else 1.0, int(n == 5), version) for n, ms, o in lanes]),
-        "silver__chart_features": (schemas.CHART_FEATURES, [(song_id, 6, 0.55, version)]),
-        "gold__features": (schemas.GOLD_FEATURES, [
-            (song_id, n, o, gaps.get((n, o), (0, 0, 0.0))[2], 2.0 if n == 5 else 1.0, n / 6, 0.55, 0, 1, version, 10, 0.85)
-            for n, ms, o in sorted(lanes, key=lambda r: (r[0], index(r[2])))]),
+    spark = runs.spark
+    chart = [[float(3 * k), float(k % runs.lanes), float(k), 97.0 * k] for k in range(7)]
+    chart += [[21.0, 1.0, 2.0, 800.0], [21.0, 1.0, 3.0, 800.0], [30.0, 0.0, 1.0, 1040.5], [30.0, 2.0, 1.0, 1040.5]]
+    listed = spark.createDataFrame(
+        [(song_id, name, "nobody", None, 5, 21, "1:05", len(chart), 8, 1, "someone", FAKE_VERSION, 0, None)], schemas.SONGLIST
+    )
+    landed = spark.createDataFrame([(song_id, {"name": name, "note_count": str(len(chart))}, chart)], schemas.CHARTS)
+    played = spark.createDataFrame([(
+        float(song_id), name, 21.0, 5.0, 2.0, "1:05", float(len(chart)), "none", 1.0e9, "nobody", "someone", 2.5, 1.0, 0.0, None, None, None
+    )], schemas.PLAYLIST)
+    told = notes.explode_notes(cdc.with_version(landed, listed), runs.lanes, VERSION)
+    merged = notes.merge_chords(notes.separate_ties(told), runs.lanes, carry=VERSION)
+    vertical = density.vertical_density(notes.split_chords(merged, runs.lanes), carry=VERSION)
+    horizontal = density.horizontal_density(merged, runs.kernel, runs.lanes, carry=VERSION)
+    # A single song has no percentile to be measured by: its length counts as half.
+    length = listed.select(F.col("id").alias("song_id"), "note_count", F.lit(0.5).alias("song_length_log_normalized"), "swf_version")
+    silver = playlist.clean_playlist(played, listed)
+    facts = gold.song_facts(length, silver, runs.table("silver__reliability_scores"))
+    return {
+        "bronze__songlist": listed, "bronze__charts": landed.withColumn("notes", F.size("chart")), "bronze__playlist": played,
+        "silver__playlist": silver, "silver__notes": told, "silver__notes_adjusted": merged, "silver__vertical_density": vertical,
+        "silver__horizontal_density": horizontal, "silver__chart_features": length,
+        "gold__features": gold.label_features(gold.join_densities(vertical, horizontal), facts),
     }
-    return {table: spark.createDataFrame(rows, ddl) for table, (ddl, rows) in row.items()}
 
 
 def insert_synthetic_song(runs: Medallion, song_id: int = 99_999) -> None:
     """Put the synthetic song into every table that exists."""
-    for name, rows in synthetic_song(runs.spark, song_id).items():
+    for name, rows in synthetic_song(runs, song_id).items():
         if runs.exists(name):
             _store(runs, name, runs.table(name).unionByName(
                 rows.select(*[c for c in rows.columns if c in runs.table(name).columns]), allowMissingColumns=True
@@ -74,7 +69,12 @@ def _store(runs: Medallion, name: str, changed: DataFrame, song_id: int | None =
         tables.publish(changed, name)
         return
     keys = runs.spark.createDataFrame([(song_id,)], f"{key} bigint")
-    tables.replace_songs(runs.spark, name, changed.filter(F.col(key) == song_id), keys, runs.buckets)
+    rows = changed.filter(F.col(key) == song_id)
+    if runs.exists(ledger(name)) and "swf_version" in rows.columns:
+        held = tables.read_table(runs.spark, ledger(name))
+        own = rows.select("song_id", *[c for c in held.columns if c in rows.columns and c != "song_id"]).distinct()
+        tables.publish(held.filter(F.col("song_id") != song_id).unionByName(own, allowMissingColumns=True), ledger(name))
+    tables.replace_songs(runs.spark, name, rows, keys)
 
 
 def inject_stale(runs: Medallion, song_id: int, song_name: str) -> list[str]:

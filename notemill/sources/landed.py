@@ -23,10 +23,25 @@ def read_songlist(spark: SparkSession, path: str, multiline: bool = True, schema
     return spark.read.schema(schema).json(path, multiLine=multiline)
 
 
+def _chart_payloads(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    rows = spark.read.schema(schemas.CHART_PAYLOADS).json(path, multiLine=multiline)
+    return rows.withColumn("first_note_id", F.coalesce("first_note_id", F.lit(1)))
+
+
 def read_charts(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Chart payloads ``{song_id, status, info, chart}``; failed responses are dropped."""
-    payloads = spark.read.schema(schemas.CHART_PAYLOADS).json(path, multiLine=multiline)
-    return payloads.filter("status = 200").select("song_id", "info", "chart")
+    """Chart payloads ``{song_id, status, info, chart}``, numbers whole or decimal.
+
+    A long chart may come in parts, each with its ``first_note_id``. Failed responses are dropped, and so is what can't be read; see
+    :func:`rejected_charts` for the latter.
+    """
+    good = F.col("_corrupt_record").isNull() & (F.col("status") == 200)
+    return _chart_payloads(spark, path, multiline).filter(good).select("song_id", "first_note_id", "info", "chart")
+
+
+def rejected_charts(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """(song_id, status, payload) of payloads that can't be read in full, to be stored or counted by the caller."""
+    rows = _chart_payloads(spark, path, multiline).filter(F.col("_corrupt_record").isNotNull())
+    return rows.select("song_id", "status", F.col("_corrupt_record").alias("payload"))
 
 
 def read_playlist(

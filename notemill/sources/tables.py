@@ -14,12 +14,13 @@ import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notemill.operators.cdc import scope
 
 BUCKET = "song_bucket"
+BUCKET_COUNT = "song.buckets"  # table property
 
 
 def quoted(name: str) -> str:
@@ -87,18 +88,34 @@ def bucket_of(key: Column | str, buckets: int) -> Column:
 
 
 def create_bucketed(df: DataFrame, name: str, buckets: int, key: str = "song_id") -> None:
-    """First write of a note table. The rebalance hint splits hot buckets into several files."""
+    """First write of a note table. The rebalance hint splits hot buckets into several files.
+
+    The number of buckets becomes a property of the table. It is set before
+    rows are written, so a table never holds rows without it.
+    """
     rows = df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
-    rows.write.format("parquet").partitionBy(BUCKET).saveAsTable(quoted(name))
+    rows.limit(0).write.format("parquet").partitionBy(BUCKET).saveAsTable(quoted(name))
+    df.sparkSession.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{BUCKET_COUNT}' = '{int(buckets)}')")
+    with dynamic_overwrite(df.sparkSession):
+        rows.select(*read_table(df.sparkSession, name).columns).write.insertInto(quoted(name), overwrite=True)
+
+
+def bucket_count(spark: SparkSession, name: str) -> int:
+    """The number of buckets a table was made with."""
+    found = [r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect() if r.key == BUCKET_COUNT]
+    if not found:
+        raise ValueError(f"{name} has no property {BUCKET_COUNT}: it is no bucketed table")
+    return int(found[0])
 
 
 def read_bucketed(spark: SparkSession, name: str) -> DataFrame:
     return read_table(spark, name).drop(BUCKET)
 
 
-def read_songs(spark: SparkSession, name: str, keys: DataFrame, buckets: list[int], key: str = "song_id") -> DataFrame:
-    """Rows of ``keys`` from a note table, reading only their ``buckets`` (see :func:`touched_buckets`)."""
-    rows = read_table(spark, name).filter(F.col(BUCKET).isin(buckets)).drop(BUCKET)
+def read_songs(spark: SparkSession, name: str, keys: DataFrame, key: str = "song_id") -> DataFrame:
+    """Rows of ``keys`` from a note table, reading only their buckets."""
+    touched = touched_buckets(keys, bucket_count(spark, name), key)
+    rows = read_table(spark, name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
     return scope(rows, keys, key)
 
 
@@ -120,29 +137,27 @@ def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def replace_songs(
-    spark: SparkSession, name: str, rows: DataFrame, keys: DataFrame, buckets: int, key: str = "song_id",
+    spark: SparkSession, name: str, rows: DataFrame, keys: DataFrame, key: str = "song_id",
 ) -> None:
     """Replace all rows of ``keys`` by ``rows`` (which hold only such keys).
 
     Only the buckets of the keys are read and written, by dynamic partition
     overwrite: their other songs are carried over. A bucket left without rows
-    is not overwritten by Spark, so it is dropped explicitly. The step is
-    idempotent, hence a run that died between buckets is repaired by running
+    is not overwritten by Spark, so it is dropped explicitly; which ones those
+    are is read from the keys of what will be written, before it is. The step
+    is idempotent, hence a run that died between buckets is repaired by running
     the same batch again.
     """
+    buckets = bucket_count(spark, name)
     touched = touched_buckets(keys, buckets, key)
     if not touched:
         return
     current = read_table(spark, name)
     kept = current.filter(F.col(BUCKET).isin(touched)).join(keys.select(key), key, "left_anti")
     fresh = rows.withColumn(BUCKET, bucket_of(key, buckets))
-    written = Observation()
-    out = (
-        kept.select(*current.columns).unionByName(fresh.select(*current.columns))
-        .hint("rebalance", BUCKET)
-        .observe(written, F.collect_set(BUCKET).alias("buckets"))
-    )
+    filled = {r[0] for r in kept.select(BUCKET).unionByName(fresh.select(BUCKET)).distinct().collect()}
+    out = kept.select(*current.columns).unionByName(fresh.select(*current.columns)).hint("rebalance", BUCKET)
     with dynamic_overwrite(spark):
         out.write.insertInto(quoted(name), overwrite=True)
-    for bucket in sorted(set(touched) - set(written.get["buckets"] or [])):
+    for bucket in sorted(set(touched) - filled):
         spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS PARTITION ({BUCKET} = {bucket})")

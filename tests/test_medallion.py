@@ -18,7 +18,7 @@ def landed(spark, versions, seed=0, notes=12, difficulty=None):
     songs, charts, plays, disputes = [], [], [], []
     for song, version in versions.items():
         pick = random.Random(song * 1000 + version + seed)
-        chart = [[i, pick.randrange(4), pick.randrange(10), ms] for i, ms in
+        chart = [[float(i), float(pick.randrange(4)), float(pick.randrange(10)), float(ms)] for i, ms in
                  enumerate(sorted(pick.randrange(400) for _ in range(notes + song % 5)))]
         songs.append((song, f"song {song}", len(chart), version))
         charts.append((song, {"name": f"song {song}", "note_count": str(len(chart))}, chart))
@@ -80,6 +80,61 @@ def test_missing_chart_stays_pending(spark):
         assert {r[0] for r in runs.table("gold__features").select("song_id").distinct().collect()} == {1, 2}
 
 
+def test_idle_run_skips_songs_without_rows(spark):
+    """Notes outside all lanes leave no density rows, but the song was processed."""
+    songs, charts, plays, disputes = landed(spark, {1: 1, 2: 1})
+    outside = F.transform("chart", lambda note: F.array(note[0], F.lit(9.0), note[2], note[3]))
+    charts = charts.withColumn("chart", F.when(F.col("song_id") == 2, outside).otherwise(F.col("chart")))
+    with database(spark, "idle"):
+        runs = Medallion(spark, as_of_year=2021, buckets=4)
+        runs.run(songs, charts, plays, disputes)
+        assert set(modes(runs.run(songs, charts, plays, disputes)).values()) == {"skip"}
+
+
+def test_chart_landed_twice_counts_once(spark):
+    songs, charts, plays, disputes = landed(spark, {1: 1, 2: 1})
+    with database(spark, "twice"):
+        runs = Medallion(spark, as_of_year=2021, buckets=4)
+        runs.run(songs, charts.unionByName(charts), plays, disputes)
+        notes = runs.table("silver__notes")
+        assert notes.count() == notes.select("song_id", "note_id").distinct().count() > 20
+
+
+def test_chart_without_notes_stays_pending(spark):
+    songs, charts, plays, disputes = landed(spark, {1: 1, 2: 1})
+    empty = charts.withColumn("chart", F.when(F.col("song_id") == 1, F.col("chart")))
+    with database(spark, "noteless"):
+        runs = Medallion(spark, as_of_year=2021, buckets=4)
+        runs.run(songs, empty, plays, disputes)
+        assert {r.id: r.swf_version for r in runs.table("bronze__songlist").collect()} == {1: 1, 2: None}
+        runs.run(songs, charts, plays, disputes)
+        assert {r[0] for r in runs.table("gold__features").select("song_id").distinct().collect()} == {1, 2}
+
+
+def test_bucket_count_is_the_tables_own(spark):
+    inputs = landed(spark, {i: 1 for i in range(1, 9)})
+    changed = landed(spark, {i: 1 + (i == 3) for i in range(1, 9)})
+    with database(spark, "counts"):
+        Medallion(spark, as_of_year=2021, buckets=4).run(*inputs)
+        other = Medallion(spark, as_of_year=2021, buckets=8)
+        assert set(modes(other.run(*changed)).values()) == {"incremental"}
+        notes = other.table("silver__notes")
+        assert notes.count() == notes.select("song_id", "note_id").distinct().count()
+        assert {r[0] for r in notes.select("song_id").distinct().collect()} == set(range(1, 9))
+
+
+def test_clearing_scratch_keeps_tables(spark):
+    from notemill.session import clear_scratch
+
+    with database(spark, "kept"):
+        runs = Medallion(spark, as_of_year=2021, buckets=4)
+        runs.run(*landed(spark, {1: 1, 2: 1}))
+        before = runs.table("gold__features").count()
+        clear_scratch(spark)
+        spark.catalog.refreshTable("gold__features")
+        assert runs.table("gold__features").count() == before > 0
+
+
 @pytest.fixture(scope="module")
 def live(spark):
     """A database with ten songs, shared by the three scenarios."""
