@@ -409,10 +409,10 @@ def oracles() -> dict[str, str]:
                    count(*) FILTER (new_difficulty > 0 AND new_difficulty <= 120) AS rows_after
             FROM weighed""",
         "rel_13_song_consensus": f"""{scored}
-            SELECT song_name, CAST(sum(new_difficulty * reliability_weight) / sum(reliability_weight) AS FLOAT)::DOUBLE AS weighted_difficulty,
-                   CAST(avg(reliability_weight) AS FLOAT)::DOUBLE AS avg_reliability, CAST(sum(reliability_weight) AS FLOAT)::DOUBLE AS total_reliability,
+            SELECT song_name, round(sum(new_difficulty * reliability_weight) / sum(reliability_weight) + 1e-11::DOUBLE, 9) AS weighted_difficulty,
+                   round(avg(reliability_weight) + 1e-11::DOUBLE, 9) AS avg_reliability, round(sum(reliability_weight) + 1e-11::DOUBLE, 9) AS total_reliability,
                    count(*) AS num_assessments, strftime(max(change_date), '%Y-%m-%d') AS latest_change,
-                   CAST(stddev_samp(new_difficulty) AS FLOAT)::DOUBLE AS difficulty_stddev,
+                   round(stddev_samp(new_difficulty) + 1e-11::DOUBLE, 9) AS difficulty_stddev,
                    min(new_difficulty) AS min_contested_difficulty, max(new_difficulty) AS max_contested_difficulty
             FROM silver GROUP BY 1""",
         "rel_14_difficulty_reliability": f"{levels} SELECT new_difficulty, {STATS} FROM by_level",

@@ -36,9 +36,9 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
 
 
-def single(df: DataFrame, *columns: str) -> DataFrame:
-    """Single precision, for short decimals that would tie when rounded to digits."""
-    return df.withColumns({c: F.col(c).cast("float").cast("double") for c in columns})
+def nudged(df: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
+    """Rounded after a nudge of a hundredth of the last digit, so that short decimals which would tie all go up."""
+    return df.withColumns({c: F.round(F.col(c) + 10.0 ** -(digits + 2), digits) for c in columns})
 
 
 # -- shared inputs. Tables that several branches of a plan read are written once.
@@ -480,7 +480,7 @@ def _(spark, sf_dir):
 @query("rel_13_song_consensus")
 def _(spark, sf_dir):
     songs = reliability.song_consensus(silver_contested(spark, sf_dir))
-    return single(
+    return nudged(
         songs.withColumn("latest_change", F.col("latest_change").cast("string")),
         "weighted_difficulty", "avg_reliability", "total_reliability", "difficulty_stddev",
     )
