@@ -32,9 +32,10 @@ from notemill.llm.common import NULL_ID, real_id, texts_of
 from notemill.session import saved
 
 K1, B = 1.2, 0.75
-SHARD_DOCS = 8192     # documents of a shard, about
+SHARD_DOCS = 16_384   # documents of a shard, about
 RANGE_DOCS = 64       # documents of a range
 QUERY_BLOCK = 4096    # queries of a block, about
+QUERY_TERM = np.dtype([("term", "<u8"), ("weight", "<u4"), ("df", "<u8")])
 GROUP = 1 << 19       # bytes worked on at a time
 FLUSH = 1 << 21       # terms a task holds before it sums up frequencies
 
@@ -219,14 +220,13 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     """
     packed = saved(vectors(docs, id_col), "bm25-docs")
     asked = saved(vectors(queries, query_col).filter("length > 0").withColumn("_query", F.monotonically_increasing_id()), "bm25-queries")
-    count, length, most = packed.agg(F.count(F.lit(1)), F.sum("length"), F.lit(0)).first()
+    count, length = packed.agg(F.count(F.lit(1)), F.sum("length")).first()
     count, mean = count or 0, (length or 0) / max(count or 1, 1)
     shards = max(1, -(-count // SHARD_DOCS))
     query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
 
     wanted = term_rows(asked, "uses").select("term").distinct()
     df = term_rows(packed).join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
-    idf = F.log(1 + (F.lit(float(count)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     spread = asked.withColumn("_block", F.pmod(F.xxhash64("_query"), F.lit(query_blocks)).cast("int"))
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,14 +238,14 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
                 "term": pa.array(np.frombuffer(b"".join(blobs), "<i8")), "weight": pa.array(np.frombuffer(b"".join(times), "<u4").astype(np.int32)),
             })
 
-    # A row for each query term with its global weight, gathered by query.
+    # A row for each query term with its global frequency, gathered by query.
     terms = spread.select("_block", "_query", "terms", "counts").mapInArrow(exploded, "_block int, _query bigint, term bigint, weight int")
-    weighed = terms.join(df.select("term", idf.alias("idf")), "term").groupBy("_block", "_query").agg(F.collect_list(F.struct("term", "weight", "idf")).alias("own"))
+    weighed = terms.join(df, "term").groupBy("_block", "_query").agg(F.collect_list(F.struct("term", "weight", "df")).alias("own"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[(t["term"], t["weight"], t["idf"]) for t in own] for own in batch.column(2).to_pylist()]
-            blob = [np.array(sorted((t & (2 ** 64 - 1), w, i) for t, w, i in own), dtype="<u8,<u4,<f8").tobytes() for own in rows]
+            rows = [[(t["term"] & (2 ** 64 - 1), t["weight"], t["df"]) for t in own] for own in batch.column(2).to_pylist()]
+            blob = [np.array(sorted(own), dtype=QUERY_TERM).tobytes() for own in rows]
             yield pa.RecordBatch.from_pydict({"_block": batch.column(0), "_query": batch.column(1), "own": pa.array(blob, pa.binary())})
 
     ready = saved(weighed.mapInArrow(pack, "_block int, _query bigint, own binary"), "bm25-weights")
@@ -259,14 +259,15 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     def best(docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"_query": [], "_id": [], "score": []}
         if len(docs) and len(asked):
-            own = [np.frombuffer(b, "<u8,<u4,<f8") for b in asked["own"]]
-            terms, at = np.unique(np.concatenate([o["f0"] for o in own]), return_index=True)
+            own = [np.frombuffer(b, QUERY_TERM) for b in asked["own"]]
+            terms, at = np.unique(np.concatenate([o["term"] for o in own]), return_index=True)
+            df = np.concatenate([o["df"] for o in own])[at].astype(np.float64)
             index = Shard(
                 docs["_id"].to_numpy(np.int64), docs["length"].to_numpy(np.float64), docs["terms"].tolist(), docs["counts"].tolist(),
-                terms, np.concatenate([o["f2"] for o in own])[at], mean,
+                terms, np.log(1 + (count - df + 0.5) / (df + 0.5)), mean,
             )
             for query, o in zip(asked["_query"].tolist(), own, strict=True):
-                found, scores = index.top(np.searchsorted(terms, o["f0"]), o["f1"].astype(np.float64), k)
+                found, scores = index.top(np.searchsorted(terms, o["term"]), o["weight"].astype(np.float64), k)
                 out["_query"] += [query] * len(found)
                 out["_id"] += index.ids[found].tolist()
                 out["score"] += scores.tolist()
