@@ -36,6 +36,7 @@ HEADLINE = (
     "rel_16_reliability_scores",
     "gld_2_assemble_features",
     "gld_features",
+    "run_incremental_gold",
 )
 
 

@@ -15,17 +15,28 @@ def layer_of(table: str) -> str:
     return table.split("__")[0]
 
 
+def _key_type(df: DataFrame, key: str) -> str:
+    return df.schema[key].dataType.simpleString()
+
+
+def _of_keys(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of the wanted keys. The keys are cast, not the table's column, so bucket and partition pruning hold."""
+    own = wanted.select(F.col("key").try_cast(_key_type(df, key)).alias("_wanted"))
+    return df.join(own, F.col(key) == F.col("_wanted"), "left_semi")
+
+
 def presence(tables: Mapping[str, tuple[DataFrame, str]], keys: DataFrame) -> DataFrame:
     """(layer, table, key, rows) for every given key and table, 0 where absent.
 
     ``tables`` maps a name such as ``silver__notes`` to its rows and key
-    column. Each table is counted once, by key, on the map side.
+    column. Each table is first reduced to the given keys, which are cast to
+    the type of its key column, then counted by key on the map side.
     """
     name = keys.columns[0]
     wanted = keys.select(F.col(name).cast("bigint").alias("key")).distinct()
 
     def tally(table: str, df: DataFrame, key: str) -> DataFrame:
-        counts = df.groupBy(F.col(key).cast("bigint").alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+        counts = _of_keys(df, key, wanted).groupBy(F.col(key).cast("bigint").alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
         return wanted.join(counts, F.col("key") == F.col("_key"), "left").select(
             F.lit(layer_of(table)).alias("layer"), F.lit(table).alias("table"), "key",
             F.coalesce("_n", F.lit(0)).alias("rows"),
@@ -82,11 +93,12 @@ def staleness(
             stale = value.isin(list(sentinels))
             if floor is not None:
                 stale = stale | (value >= floor)
-        counts = df.groupBy(F.col(key).cast("string").alias("_key")).agg(
+        counts = _of_keys(df, key, wanted).groupBy(F.col(key).try_cast(_key_type(df, key)).alias("_key")).agg(
             F.count(F.lit(1)).alias("_n"), F.count_if(F.coalesce(stale, F.lit(False))).alias("_stale")
         )
         waiting = F.lit("failed" if layer_of(table) == "bronze" else "pending")
-        return wanted.join(counts, F.col("key") == F.col("_key"), "left").select(
+        same = F.col("key").try_cast(_key_type(df, key)) == F.col("_key")
+        return wanted.join(counts, same, "left").select(
             F.lit(layer_of(table)).alias("layer"), F.lit(table).alias("table"), "key",
             F.coalesce("_n", F.lit(0)).alias("rows"), F.coalesce("_stale", F.lit(0)).alias("stale_rows"),
             F.when(F.coalesce("_n", F.lit(0)) == 0, waiting).when(F.col("_stale") > 0, waiting)

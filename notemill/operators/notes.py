@@ -128,8 +128,11 @@ def trace_ties(notes: DataFrame, ties: DataFrame, horizon: int = 10, eps: int =
     """Before, after separation and after merging, around each given tie.
 
     ``ties`` holds (song_id, ms), few rows such as :func:`largest_ties` gives.
-    The stages after the move show ``[ms, ms + horizon)``.
+    The stages after the move show ``[ms, ms + horizon)``. Only the songs of the
+    ties are processed.
     """
+    songs = ties.select(F.col("song_id").alias("_song")).distinct()
+    notes = notes.join(songs, F.col("song_id") == F.col("_song"), "left_semi")
     at = ties.select(F.col("song_id").alias("_song"), F.col("ms").alias("tie_ms")).distinct()
 
     def around(stage: str, df: DataFrame, width: int) -> DataFrame:
