@@ -144,26 +144,30 @@ class Shard:
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, terms: list[bytes], counts: list[bytes], wanted: np.ndarray, idf: np.ndarray, mean: float) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids = ids[order]
-        own = [np.frombuffer(terms[i], "<u8") for i in order]
-        sizes = np.array([len(t) for t in own])
-        flat = np.concatenate(own) if len(own) else np.empty(0, np.uint64)
-        doc = np.repeat(np.arange(len(own)), sizes)
-        times = np.concatenate([np.frombuffer(counts[i], "<u4") for i in order]) if len(own) else np.empty(0, np.uint32)
-        at = np.searchsorted(wanted, flat)
-        hit = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == flat)
-        term, doc, times = at[hit], doc[hit], times[hit].astype(np.float64)
         scale = K1 * (1 - B + B * lengths[order] / max(mean, 1e-9))
-        score = idf[term] * times * (K1 + 1) / (times + scale[doc])
-        by = np.argsort(term, kind="stable")
+        held = [(np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0))]
+        for first in range(0, len(order), 512):  # only postings of query terms are kept
+            some = order[first:first + 512]
+            own = [np.frombuffer(terms[i], "<u8") for i in some]
+            flat = np.concatenate(own)
+            doc = np.repeat(np.arange(first, first + len(some), dtype=np.int32), [len(t) for t in own])
+            at = np.searchsorted(wanted, flat)
+            hit = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == flat)
+            times = np.concatenate([np.frombuffer(counts[i], "<u4") for i in some])[hit].astype(np.float64)
+            term, doc = at[hit].astype(np.int32), doc[hit]
+            held.append((term, doc, idf[term] * times * (K1 + 1) / (times + scale[doc])))
+        term, doc, score = (np.concatenate(x) for x in zip(*held, strict=True))
+        del held
+        by = np.argsort(term, kind="stable").astype(np.int32)
         self.term, self.doc, self.score = term[by], doc[by], score[by]
         # Cells are runs of postings of one term in one range.
-        cell = self.term * (len(own) // RANGE_DOCS + 1) + self.doc // RANGE_DOCS
+        cell = self.term.astype(np.int64) * (len(order) // RANGE_DOCS + 1) + self.doc // RANGE_DOCS
         self.cell_at = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.empty(0, np.int64)
         self.cell_end = np.concatenate((self.cell_at[1:], [len(cell)])) if len(cell) else self.cell_at
         self.cell_range = self.doc[self.cell_at] // RANGE_DOCS
         self.cell_most = np.maximum.reduceat(self.score, self.cell_at) if len(cell) else np.empty(0)
         self.term_cells = np.searchsorted(self.term[self.cell_at], np.arange(len(wanted) + 1))
-        self.ranges = len(own) // RANGE_DOCS + 1
+        self.ranges = len(order) // RANGE_DOCS + 1
 
     def top(self, terms: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(document numbers, scores) of the k best documents with a score over 0; ties go to the smaller id."""
