@@ -91,7 +91,11 @@ def features_from_chords(
     kernel: Kernel = JUDGE, lanes: int = DEFAULT_LANES,
 ) -> DataFrame:
     """Gold straight from the chords: one shuffle of the notes, no join of note tables."""
-    facts = with_version(song_facts(chart, playlist, rel), songlist)
+    return features_of_songs(chords, with_version(song_facts(chart, playlist, rel), songlist), kernel, lanes)
+
+
+def features_of_songs(chords: DataFrame, facts: DataFrame, kernel: Kernel = JUDGE, lanes: int = DEFAULT_LANES) -> DataFrame:
+    """Gold from chords and one row of :func:`song_facts` with a version per song; songs without one are dropped."""
     return _labelled(note_densities(chords, kernel, lanes, songs=facts))
 
 

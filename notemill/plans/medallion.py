@@ -225,6 +225,9 @@ class Medallion:
     def refresh_gold(self) -> None:
         """Songs whose version, label, weight or length feature changed.
 
+        Both densities come from the chords in one pass, so no two tables of
+        notes are joined.
+
         Derived doubles are compared rounded: their last bits depend on the
         order of a sum. A gold table from before versions were kept counts as
         changed throughout.
@@ -244,10 +247,12 @@ class Medallion:
             held = held.select("song_id", *[v for v in versions if v in held.columns])
 
         def build(keys: DataFrame | None) -> DataFrame:
-            dense = gold.join_densities(
-                self.songs("silver__vertical_density", keys), self.songs("silver__horizontal_density", keys)
+            wanted = self.charted().join(facts, "song_id")
+            if keys is not None:
+                wanted = cdc.scope(wanted, keys, "song_id")
+            return gold.features_of_songs(
+                self.songs("silver__notes_adjusted", keys), saved(wanted, "song-facts"), self.kernel, self.lanes
             )
-            return gold.label_features(dense, facts)
 
         self.refresh("gold__features", source, versions, build, held)
 
