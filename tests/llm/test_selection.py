@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from notemill.llm import bm25, language, mixing, queries, toxicity, warc
-from notemill.session import scratch_path
+from notemill.session import saved, scratch_path
 from tests.llm.brute import ODD, SCHEMA, generated, odd_documents
 
 SF = "/root/testdata/sf0.001"
@@ -221,14 +221,51 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert bm25.search(docs, none).collect() == [] == bm25.search(docs.limit(0), spark.createDataFrame(asked, "query_id long, text string")).collect()
 
 
-def test_pipeline_keeps_its_rules(spark):
+def test_pipeline_equals_plain_stages(spark):
+    """Each stage against its plain form, on what the stage before it really gave."""
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
     import corpus_pipeline
+    from tests.llm.brute import components, fingerprint, repeats
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     seen = [docs]
     for _, stage in corpus_pipeline.STAGES:
-        seen.append(stage(spark, seen[-1], SF))
+        seen.append(saved(stage(spark, seen[-1], SF), "test-stage"))
     assert all(s.columns == docs.columns for s in seen[:-1])
-    counts = [s.count() for s in seen]
-    assert counts[0] >= counts[1] >= counts[2] == counts[3] and counts[4] == counts[5]
-    assert corpus_pipeline.run(spark, SF).count() == counts[5]
+    rows = [{r.doc_id: r for r in s.collect()} for s in seen[:-1]]
+
+    # Toxicity: rows go or stay as they are, and what goes is what the model says.
+    assert all(rows[1][i] == rows[0][i] for i in rows[1])
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), ~toxicity.held_out())
+    for i, row in rows[0].items():
+        assert (i in rows[1]) == (model.probability(model.evidence(*model.segments(row.text, {}))) < 0.3)
+
+    # One document, the smallest, of each component of near fingerprints.
+    ids = sorted(rows[1])
+    prints = np.array([fingerprint(rows[1][i].text) for i in ids], np.uint64)
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 4
+    assert sorted(rows[2]) == sorted(set(components(ids, near)))
+
+    # Repeated strings are cut; characters that lose a byte go.
+    want = repeats([(i, r.text) for i, r in rows[2].items()])
+    assert sorted(rows[3]) == sorted(rows[2])
+    for i, row in rows[3].items():
+        size, removed, _, _ = want[i]
+        assert row.n_chars == len(row.text) and size - removed - 6 * want[i][2] <= len(row.text.encode()) <= size - removed
+        assert removed or row.text == rows[2][i].text
+
+    # The mix, by its SQL.
+    columns, mixed = in_duckdb(mixing.MIX_SQL, documents=seen[3])
+    taken = {r[columns.index("doc_id")]: (r[columns.index("taken")], r[columns.index("size")]) for r in mixed}
+    count = collections.Counter(r.doc_id for r in seen[4].select("doc_id").collect())
+    assert all(n * count.get(i, 0) == t for i, (t, n) in taken.items())
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for row in seen[5].dropDuplicates(["doc_id"]).collect():
+        ids = library.encode(rows[3][row.doc_id].text, add_special_tokens=False).ids
+        assert row.n_tokens == len(ids) and row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(rows[3][row.doc_id].text.encode()).hexdigest()
+    assert seen[5].count() == sum(count.values()) == corpus_pipeline.run(spark, SF).count()
