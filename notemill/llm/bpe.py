@@ -30,7 +30,10 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 NEVER = 1 << 60
 START = 1 << 23  # stands before the first byte; above every token id
-KEPT_WORDS = 400_000  # cached encodings in a worker
+# What a worker keeps at most: encodings of parts (twice) and of words, and pairs of tokens. About 120 MB.
+KEPT_PARTS = 100_000
+KEPT_WORDS = 100_000
+KEPT_PAIRS = 400_000
 
 # A place where no word of PATTERN can lie across: it ends in no space and goes on with one space.
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -89,6 +92,7 @@ class Coder:
         self.cut_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.table = {b: letter for b, letter in enumerate(self.letters)}
         self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.older: dict[str, tuple[str, int, bytes]] = {}
         self.known_words: dict[str, list[int]] = {}
 
     def _first_crossing(self, left: int, right: int) -> tuple[int, int] | None:
@@ -116,7 +120,7 @@ class Coder:
     def fits(self, left: int, right: int) -> bool:
         """Whether ``right`` can follow ``left`` in an encoding; any token can follow :data:`START`."""
         key = left << 24 | right
-        if len(self.good) + len(self.bad) > 4_000_000:
+        if len(self.good) + len(self.bad) > KEPT_PAIRS:
             self.good.clear()
             self.bad.clear()
         fits = left == START or self._first_crossing(left, right) is None
@@ -147,6 +151,16 @@ class Coder:
 
     def _piece(self, part: str) -> tuple[str, int, bytes]:
         """Decimal ids, their number and the decoded bytes of a part of a text between safe cuts."""
+        out = self.older.get(part)
+        if out is None:
+            out = self._encoded(part)
+        if len(part) < 64:
+            if len(self.known) >= KEPT_PARTS:  # what is still in use moves on from the older half
+                self.known, self.older = {}, self.known
+            self.known[part] = out
+        return out
+
+    def _encoded(self, part: str) -> tuple[str, int, bytes]:
         ids = []
         for word in self.words.findall(part):
             own = self.known_words.get(word)
@@ -157,12 +171,7 @@ class Coder:
                         self.known_words.clear()
                     self.known_words[word] = own
             ids += own
-        out = (",".join(map(str, ids)), len(ids), b"".join(map(self.piece.__getitem__, ids)))
-        if len(part) < 64:
-            if len(self.known) >= KEPT_WORDS:
-                self.known.clear()
-            self.known[part] = out
-        return out
+        return ",".join(map(str, ids)), len(ids), b"".join(map(self.piece.__getitem__, ids))
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -184,8 +193,8 @@ class Coder:
         return self.coded_plain(text)
 
     def coded_plain(self, text: str) -> list[tuple[str, int, bytes]]:
-        known, piece = self.known.get, self._piece
-        return [known(p) or piece(p) for p in self.parts(text) if p]
+        piece = self._piece
+        return [self.known.get(p) or piece(p) for p in self.parts(text) if p]
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for ids, n, _ in self.coded(text) if n for i in ids.split(",")]

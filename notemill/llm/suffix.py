@@ -46,7 +46,7 @@ GROUP = 1 << 18              # bytes worked on at a time
 PIECE = 1 << 22              # longer texts are worked on in pieces that overlap
 MARGIN = 2 * SPAN
 STEP = 12                    # strings that start this close go through the second round together
-FLUSH = 1_500_000            # rows a task holds before it settles its own repeats
+FLUSH = 600_000              # rows a task holds before it settles its own repeats
 
 _MIX = np.random.default_rng(20240229)
 _TABLES = _MIX.integers(1, 1 << 63, (2, 256), dtype=np.uint64)

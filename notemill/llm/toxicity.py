@@ -42,7 +42,7 @@ MIN_TOXIC_DOCS = 3
 MIN_Z = 3.0
 PRIOR_DOCS = 10.0       # weight of the prior, in documents
 DRIFT = 0.1           # cost of a neutral word inside a passage
-KEPT_WORDS = 300_000  # cached word scores in a worker
+KEPT_WORDS = 100_000  # cached word scores in a worker
 
 
 def units(word: str) -> list[str]:
@@ -139,7 +139,7 @@ def _unit_counts(train: DataFrame) -> DataFrame:
         for batch in batches:
             for text, toxic in zip(texts_of(batch, "text"), batch.column("toxic").to_pylist(), strict=True):
                 seen[toxic].update({u for w in set(WORD.findall(text.lower())) for u in units(w)})
-                if len(seen[0]) + len(seen[1]) > 500_000:
+                if len(seen[0]) + len(seen[1]) > 200_000:
                     yield flush()
         yield flush()
 
