@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from notemill.llm.common import components, forest, map_batches, real_id, texts_of
+from notemill.llm.common import components, forest, map_batches, real_id, released, texts_of
 from notemill.session import saved
 
 BITS = 64
@@ -175,7 +175,7 @@ def meetings(distinct: DataFrame, parts: Parts) -> DataFrame:
                         "fp": pa.array(np.repeat(some, len(reach[i])).view(np.int64)),
                     })
 
-    return distinct.select("fp").mapInArrow(run, "part int, key bigint, fp bigint")
+    return distinct.select("fp").mapInArrow(released(run), "part int, key bigint, fp bigint")
 
 
 def _close_pairs(left: np.ndarray, right: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -247,7 +247,7 @@ def links(distinct: DataFrame, parts: Parts, distance: int, chunk: int = CHUNK)
             if len(left):
                 yield pa.RecordBatch.from_pydict({"a": pa.array(left), "b": pa.array(right)})
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(released(run), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, sample: int = SAMPLE) -> DataFrame:

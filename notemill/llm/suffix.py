@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notemill.llm.common import NULL_ID, map_batches, real_id, row_key
+from notemill.llm.common import NULL_ID, map_batches, real_id, released, row_key
 from notemill.session import saved
 
 SPAN = 100
@@ -217,7 +217,7 @@ def _rows_of_tasks(docs: DataFrame, read) -> DataFrame:
         if found:
             yield from _settled(np.concatenate(ids), np.concatenate(hashes), *map(np.concatenate, zip(*found, strict=True)))
 
-    return docs.mapInArrow(run, ROWS)
+    return docs.mapInArrow(released(run), ROWS)
 
 
 def repeats(rows: DataFrame, follow: bool) -> DataFrame:
@@ -262,7 +262,7 @@ def repeats(rows: DataFrame, follow: bool) -> DataFrame:
                 waiting = [c[at[-1]:at[-1] + 1] for c in columns] if not going[-1] else None
             last = (name[-1], more[-1], *[c[-1] for c in lead_of])
 
-    return ordered.mapInArrow(run, ROWS)
+    return ordered.mapInArrow(released(run), ROWS)
 
 
 def _opened(batch: pa.RecordBatch, seeds: tuple[int, ...]) -> Iterator[tuple[int, int, int, list[np.ndarray], np.ndarray, np.ndarray]]:
@@ -401,7 +401,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             columns[place] = pa.array(cut, batch.column(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    left = rows.mapInArrow(run, docs.schema)
+    left = rows.mapInArrow(released(run), docs.schema)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return left

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notemill.llm.common import map_batches, texts_of
+from notemill.llm.common import map_batches, released, texts_of
 from notemill.session import saved
 
 WORD = re.compile(r"\w+")
@@ -143,7 +143,7 @@ def _unit_counts(train: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    counted = train.select("text", "toxic").mapInArrow(run, "unit string, toxic bigint, clean bigint")
+    counted = train.select("text", "toxic").mapInArrow(released(run), "unit string, toxic bigint, clean bigint")
     return counted.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -281,7 +281,7 @@ def clean_documents(docs: DataFrame, model: Model, threshold: float = 0.3) -> Da
             found = [model.segments(t or "", cache) for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([model.probability(model.evidence(*f)) < threshold for f in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
