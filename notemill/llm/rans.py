@@ -19,6 +19,7 @@ segment as uint32), ``stream`` uint32.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,13 +32,14 @@ from pyspark.sql import functions as F
 from notemill.llm.common import NULL_ID, map_batches, real_id, texts_of
 from notemill.session import saved, scratch_path
 
+MARKS = {".", ","}
 SCALE_BITS = 20
 SCALE = 1 << SCALE_BITS
 LOW = 1 << 32            # states stay in [2**32, 2**64); 32 bits move at once
 BLOCK_TOKENS = 1 << 20   # a block closes with the document that reaches this
 MAX_LANES = 2048
 STEPS = 256              # steps of all lanes between checkpoints
-KEPT_PARTS = 400_000     # cached encodings in a worker
+KEPT_PARTS = 250_000     # cached encodings in a worker, twice
 
 FILE_SCHEMA = (
     "part int, block int, tokens bigint, lanes int, doc_ids binary, doc_tokens binary, states binary, places binary, "
@@ -50,51 +52,95 @@ FILE_SCHEMA = (
 
 @lru_cache(maxsize=2)
 def _library(spec: str):
+    # Spark runs as many workers as there are cores; threads of the library would only wait for each other.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_str(spec), {}
+    return Tokenizer.from_str(spec), [{}, {}]
 
 
-def token_bytes(text: str, spec: str) -> bytes:
-    """Ids of a text as little-endian uint32.
+def id_type(spec: str) -> str:
+    """How ids are kept on the way to the file: as 16 bits where they fit."""
+    return "<u2" if max(_library(spec)[0].get_vocab().values()) < 1 << 16 else "<u4"
+
+
+def token_bytes(text: str, spec: str, kind: str = "<u4") -> bytes:
+    """Ids of a text as little-endian numbers.
 
     The tokenizers library encodes each part between plain spaces and line
-    breaks once and the result is kept. That is exact for tokenizers whose
-    words never reach across white space (see :func:`splits_at_spaces`).
+    breaks once and the result is kept; of a full cache, what is still in use
+    moves on to the next. That is exact for tokenizers whose words never reach
+    across white space (see :func:`splits_at_spaces`).
     """
-    library, known = _library(spec)
-    parts = [p for p in text.replace("\n", " ").split(" ") if p]
-    missing = list(set(parts).difference(known))
-    if missing:
-        if len(known) + len(missing) > KEPT_PARTS:
-            known.clear()
-            missing = list(set(parts))
-        for part, coded in zip(missing, library.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            known[part] = np.array(coded.ids, "<u4").tobytes()
-    return b"".join(map(known.__getitem__, parts))
+    library, caches = _library(spec)
+    parts = text.replace("\n", " ").split(" ")
+    found = list(map(caches[0].get, parts))
+    if None in found:
+        missing = {p for p, f in zip(parts, found, strict=True) if f is None}
+        if len(caches[0]) + len(missing) > KEPT_PARTS:
+            caches[:] = {}, caches[0]
+            missing = set(parts)
+        known, older = caches
+        known.update([(part, older[part]) for part in missing if part in older])
+        # A mark after a letter is a word of its own, so the letters before it are encoded once for all marks.
+        marked = {p: p[:-1] for p in missing.difference(older) if p[-1:] in MARKS and p[-2:-1].isalpha()}
+        fresh = list(missing.difference(older, marked).union(marked.values(), MARKS).difference(known))
+        known.update(_encoded(library, fresh, kind))
+        known.update([(part, known[letters] + known[part[-1]]) for part, letters in marked.items()])
+        found = map(known.__getitem__, parts)
+    return b"".join(found)
+
+
+def _encoded(library, parts: list[str], kind: str) -> Iterator[tuple[str, bytes]]:
+    """(part, ids). Parts of letters alone are one word each, so they are encoded as one text and cut after each word."""
+    ends = _word_ends(library)
+    words = [p for p in parts if p.isalpha() and p.lower().isalpha()] if len(ends) else []
+    ids = np.array(library.encode(" ".join(words), add_special_tokens=False).ids, kind) if words else np.empty(0, kind)
+    cut = np.flatnonzero(ends[ids]) + 1 if len(ids) else np.empty(0, np.int64)
+    if len(cut) == len(words):
+        blob, width = ids.tobytes(), int(kind[-1])
+        yield from zip(words, [blob[a * width:b * width] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=True)] if words else [], strict=True)
+        parts = list(set(parts).difference(words))
+    for part, coded in zip(parts, library.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+        yield part, np.array(coded.ids, kind).tobytes()
+
+
+_ends: dict[int, np.ndarray] = {}
+
+
+def _word_ends(library) -> np.ndarray:
+    """Which ids end a word, for vocabularies that mark it; else empty."""
+    if id(library) not in _ends:
+        vocab = library.get_vocab()
+        marked = [i for token, i in vocab.items() if token.endswith("</w>")]
+        ends = np.zeros(max(vocab.values()) + 1 if marked else 0, bool)
+        ends[marked] = True
+        _ends.clear()
+        _ends[id(library)] = ends
+    return _ends[id(library)]
 
 
 def splits_at_spaces(spec: str) -> bool:
-    """Whether the tokenizer drops white space, so that parts between spaces can be encoded alone."""
+    """Whether the tokenizer drops white space and cuts marks off words, so that both can be encoded alone."""
     library, _ = _library(spec)
     plain = lambda text: library.encode(text, add_special_tokens=False).ids
-    return plain("ab c \n d") == plain("ab") + plain("c") + plain("d")
+    return plain("ab c. \n d") == plain("ab") + plain("c") + plain(".") + plain("d")
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(_id, ids binary, tokens) of every row, ``end_id`` after each document; NULL texts have only that."""
+    """(_id, ids binary, width) of every row, ``end_id`` after each document; NULL texts have only that. ``width`` is bytes per id."""
     with open(path, encoding="utf-8") as file:
         spec = file.read()
-    by_part = splits_at_spaces(spec)
-    end = np.array([end_id], "<u4").tobytes()
+    by_part, kind = splits_at_spaces(spec), id_type(spec) if end_id < 1 << 16 else "<u4"
+    end = np.array([end_id], kind).tobytes()
 
     def run(batch: pa.RecordBatch) -> dict:
-        whole = lambda text: np.array(_library(spec)[0].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        out = [(token_bytes(t, spec) if by_part else whole(t)) + end for t in texts_of(batch, "_text")]
-        return {"_id": batch.column(0), "ids": pa.array(out, pa.binary()), "tokens": pa.array([len(o) // 4 for o in out], pa.int64())}
+        whole = lambda text: np.array(_library(spec)[0].encode(text, add_special_tokens=False).ids, kind).tobytes()
+        out = [(token_bytes(t, spec, kind) if by_part else whole(t)) + end for t in texts_of(batch, "_text")]
+        return {"_id": batch.column(0), "ids": pa.array(out, pa.binary()), "width": pa.array(np.full(len(out), int(kind[-1]), np.int32))}
 
     source = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("_id"), F.col("text").alias("_text"))
-    return map_batches(source, run, "_id bigint, ids binary, tokens bigint")
+    return map_batches(source, run, "_id bigint, ids binary, width int")
 
 
 # -- frequency table ---------------------------------------------------------------
@@ -105,16 +151,15 @@ def counted(tokens: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(blob, "<u4"))
-                if len(own) > len(total):
-                    total = np.pad(total, (0, len(own) - len(total)))
-                total[: len(own)] += own
+        for batch in (b for b in batches if b.num_rows):
+            own = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), f"<u{batch.column(1)[0].as_py()}"))
+            if len(own) > len(total):
+                total = np.pad(total, (0, len(own) - len(total)))
+            total[: len(own)] += own
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": pa.array(used.astype(np.int64)), "n": pa.array(total[used])})
 
-    return tokens.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("ids", "width").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def frequencies(counts: dict[int, int]) -> np.ndarray:
@@ -221,7 +266,7 @@ def decode_block(block: dict, table: Table) -> np.ndarray:
 
 
 def write_ids(tokens: DataFrame, path: str, freq: np.ndarray, partitions: int | None = None) -> None:
-    """Write (_id, ids) in ascending order of ``_id`` (repeated ids by their tokens) as blocks below ``path``.
+    """Write (_id, ids, width) in ascending order of ``_id`` (repeated ids by their tokens) as blocks below ``path``.
 
     Parts are ranges of ids, so their numbers and the block numbers inside give
     the order. A document longer than a block makes a block of its own size. The
@@ -232,35 +277,35 @@ def write_ids(tokens: DataFrame, path: str, freq: np.ndarray, partitions: int |
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block, doc_ids, blobs, size = None, 0, [], [], 0
+        part, block, doc_ids, blobs, size, width = None, 0, [], [], 0, 4
 
         def close() -> pa.RecordBatch:
             nonlocal block, size
-            out = encode_block(np.frombuffer(b"".join(blobs), "<u4"), _table(table))
+            out = encode_block(np.frombuffer(b"".join(blobs), f"<u{width}"), _table(table))
             row = {
-                "part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "tokens": pa.array([size // 4], pa.int64()),
+                "part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "tokens": pa.array([size // width], pa.int64()),
                 "lanes": pa.array([out["lanes"]], pa.int32()), "doc_ids": [np.array(doc_ids, "<i8").tobytes()],
-                "doc_tokens": [np.array([len(b) // 4 for b in blobs], "<u4").tobytes()],
+                "doc_tokens": [np.array([len(b) // width for b in blobs], "<u4").tobytes()],
             } | {k: [out[k]] for k in ("states", "places", "sums", "stream")}
             block, size = block + 1, 0
             doc_ids.clear()
             blobs.clear()
             return pa.RecordBatch.from_pydict(row)
 
-        for batch in batches:
-            own = batch.column(2).to_pylist()
+        for batch in (b for b in batches if b.num_rows):
+            width, own = batch.column(2)[0].as_py(), batch.column(3).to_pylist()
             for doc_id, ids, number in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), own, strict=True):
                 part = number
                 doc_ids.append(doc_id)
                 blobs.append(ids)
                 size += len(ids)
-                if size >= 4 * BLOCK_TOKENS:
+                if size >= width * BLOCK_TOKENS:
                     yield close()
         if blobs:
             yield close()
 
     ranged = (
-        tokens.select("_id", "ids").repartitionByRange(count, "_id").sortWithinPartitions("_id", "ids")
+        tokens.select("_id", "ids", "width").repartitionByRange(count, "_id").sortWithinPartitions("_id", "ids")
         .withColumn("part", F.spark_partition_id())
     )
     ranged.mapInArrow(run, FILE_SCHEMA).write.parquet(f"{path}/blocks")
