@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from notemill.llm.common import NULL_ID, real_id, texts_of
+from notemill.llm.common import NULL_ID, real_id, released, texts_of
 from notemill.session import saved
 
 K1, B = 1.2, 0.75
-SHARD_DOCS = 16_384   # documents of a shard, about
+SHARD_DOCS = 6144     # documents of a shard, about
 RANGE_DOCS = 64       # documents of a range
 QUERY_BLOCK = 4096    # queries of a block, about
 QUERY_TERM = np.dtype([("term", "<u8"), ("weight", "<u4"), ("df", "<u8")])
@@ -100,7 +100,7 @@ def vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             })
 
     source = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("_id"), F.col(text_col).alias("_text"))
-    return source.mapInArrow(run, "_id bigint, length bigint, terms binary, counts binary")
+    return source.mapInArrow(released(run), "_id bigint, length bigint, terms binary, counts binary")
 
 
 def _groups(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -135,7 +135,7 @@ def term_rows(packed: DataFrame, name: str = "df") -> DataFrame:
         if size:
             yield summed()
 
-    return packed.select("terms").mapInArrow(run, f"term bigint, {name} bigint")
+    return packed.select("terms").mapInArrow(released(run), f"term bigint, {name} bigint")
 
 
 class Shard:
@@ -243,7 +243,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
             })
 
     # A row for each query term with its global frequency, gathered by query.
-    terms = spread.select("_block", "_query", "terms", "counts").mapInArrow(exploded, "_block int, _query bigint, term bigint, weight int")
+    terms = spread.select("_block", "_query", "terms", "counts").mapInArrow(released(exploded), "_block int, _query bigint, term bigint, weight int")
     weighed = terms.join(df, "term").groupBy("_block", "_query").agg(F.collect_list(F.struct("term", "weight", "df")).alias("own"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +252,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
             blob = [np.array(sorted(own), dtype=QUERY_TERM).tobytes() for own in rows]
             yield pa.RecordBatch.from_pydict({"_block": batch.column(0), "_query": batch.column(1), "own": pa.array(blob, pa.binary())})
 
-    ready = saved(weighed.mapInArrow(pack, "_block int, _query bigint, own binary"), "bm25-weights")
+    ready = saved(weighed.mapInArrow(released(pack), "_block int, _query bigint, own binary"), "bm25-weights")
     shard = F.pmod(F.xxhash64("_id", "terms"), F.lit(shards)).cast("int")
     # Every shard meets every block of queries, one pair per group.
     left = packed.withColumn("_shard", shard).select(
