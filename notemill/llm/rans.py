@@ -83,7 +83,7 @@ def token_bytes(text: str, spec: str, kind: str = "<u4") -> bytes:
         known, older = caches
         known.update([(part, older[part]) for part in missing if part in older])
         # A mark after a letter is a word of its own, so the letters before it are encoded once for all marks.
-        marked = {p: p[:-1] for p in missing.difference(older) if p[-1:] in MARKS and p[-2:-1].isalpha()}
+        marked = {p: p[:-1] for p in missing.difference(older) if p[-1:] in MARKS and _cut_before_marks(library, p[-2:-1])}
         fresh = list(missing.difference(older, marked).union(marked.values(), MARKS).difference(known))
         known.update(_encoded(library, fresh, kind))
         known.update([(part, known[letters] + known[part[-1]]) for part, letters in marked.items()])
@@ -105,6 +105,28 @@ def _encoded(library, parts: list[str], kind: str) -> Iterator[tuple[str, bytes]
         yield part, np.array(coded.ids, kind).tobytes()
 
 
+_cuts: dict[int, tuple[object, dict[str, bool]]] = {}  # the library is kept, so its number stays its own
+
+
+def _cut_before_marks(library, letter: str) -> bool:
+    """Whether the tokenizer itself cuts marks off after ``letter``.
+
+    Its normaliser may turn a letter into one with a combining mark (U+0130 into
+    i and U+0307), which then makes a single word with the mark that follows.
+    """
+    if id(library) not in _cuts:
+        _cuts.clear()
+        _cuts[id(library)] = library, {}
+    known = _cuts[id(library)][1]
+    if letter not in known:
+        normal = library.normalizer.normalize_str if library.normalizer else str
+        split = library.pre_tokenizer.pre_tokenize_str if library.pre_tokenizer else lambda text: [(text, None)]
+        known[letter] = letter.isalpha() and normal(letter)[-1:].isalpha() and all(
+            [w for w, _ in split(normal(letter + mark))] == [w for text in (letter, mark) for w, _ in split(normal(text))] for mark in MARKS
+        )
+    return known[letter]
+
+
 _ends: dict[int, np.ndarray] = {}
 
 

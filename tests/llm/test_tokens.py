@@ -88,6 +88,14 @@ def test_parts_encode_as_the_whole():
         assert np.frombuffer(rans.token_bytes(text, spec), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text[:60]
 
 
+def test_marks_after_letters_with_combining_marks():
+    """Letters that the normaliser ends in a combining mark, which takes the mark after it into its word."""
+    spec = bpe.read_spec(WORDS)
+    library = Tokenizer.from_file(WORDS)
+    for text in ["BELEDİYESİ,", "হয়,", "BELEDİYESİ, হয়. x, İ. é, é."] + [f"a{chr(c)}, {chr(c)}." for c in range(0x10000) if chr(c).isalpha()]:
+        assert np.frombuffer(rans.token_bytes(text, spec), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_token_file_cases(spark, monkeypatch):
     monkeypatch.setattr(rans, "BLOCK_TOKENS", 50)
     library = Tokenizer.from_file(WORDS)
