@@ -30,7 +30,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill.llm.common import components, forest, map_batches, real_id, released, texts_of
@@ -71,15 +71,18 @@ def fingerprint(text: str, words: int) -> int:
     return int(np.packbits(2 * set_in > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, fp) of every row, the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, words: int, more: str = "", *carried: Column) -> DataFrame:
+    """(doc_id, fp) of every row, the fingerprint as a signed 64-bit number; with the ``carried`` columns, named and typed by ``more``."""
+    names = [field.split()[0] for field in more.split(",")] if more else []
 
     def run(batch: pa.RecordBatch) -> dict:
         own = np.array([fingerprint(t, words) for t in texts_of(batch, "text")], dtype=np.uint64)
-        return {"doc_id": batch.column(0), "fp": pa.array(own.view(np.int64))}
+        return {"doc_id": batch.column(0), "fp": pa.array(own.view(np.int64)), **{n: batch.column(2 + i) for i, n in enumerate(names)}}
 
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
-    return map_batches(source, run, "doc_id bigint, fp bigint")
+    source = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"), *[c.alias(n) for n, c in zip(names, carried, strict=True)]
+    )
+    return map_batches(source, run, ", ".join(["doc_id bigint, fp bigint", *filter(None, [more])]))
 
 
 @dataclass(frozen=True)
@@ -250,6 +253,16 @@ def links(distinct: DataFrame, parts: Parts, distance: int, chunk: int = CHUNK)
     return dealt.mapInArrow(released(run), "a bigint, b bigint").distinct()
 
 
+def rooted(distinct: DataFrame, distance: int, sample: int) -> DataFrame:
+    """The rows of ``distinct``, one per ``fp``, with ``root``: the same number for all fingerprints that are linked."""
+    total = distinct.count()
+    # A bounded sample in hash order; only the plan depends on it, never the result.
+    some = [r["fp"] for r in distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
+    parts = plan_parts(np.array(some, np.int64).view(np.uint64), total, distance)
+    roots = components(links(distinct, parts, distance), "simhash-links")
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, fp, component_id) of every row: the smallest doc_id reachable over links of ``distance`` bits or fewer.
 
@@ -259,27 +272,36 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, sample:
     """
     printed = saved(fingerprints(docs, words), "simhash-fp")
     distinct = saved(printed.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
-    total = distinct.count()
-    # A bounded sample in hash order; only the plan depends on it, never the result.
-    some = [r["fp"] for r in distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
-    parts = plan_parts(np.array(some, np.int64).view(np.uint64), total, distance)
-    roots = components(links(distinct, parts, distance), "simhash-links")
-    placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    placed = rooted(distinct, distance, sample)
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     members = placed.join(lowest, "root").select("fp", "component_id")
     return printed.join(members, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """The row of smallest doc_id of every group of near duplicates, with all columns of ``docs``.
+def _document_key(doc_id: Column, text: Column) -> Column:
+    """One text of its own for each document, that is for each id and text; never NULL."""
+    return F.concat_ws("|", doc_id.cast("bigint").cast("string"), F.md5(F.coalesce(text, F.lit(""))))
+
 
-    Of rows that share that id the one of smallest text hash stays, so exactly
-    one row of a group is left.
+def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4, sample: int = SAMPLE) -> DataFrame:
+    """One row of every group of near duplicates, with all columns of ``docs``: that of smallest (doc_id, text hash).
+
+    NULL ids come after all others. Rows are told apart by id and text, so ids
+    may be NULL or repeat within groups and across them; of rows equal in both
+    one stays. Exactly one row of a group is left.
     """
-    kept = near_duplicates(docs, words, distance).groupBy(F.col("component_id").alias("_kept_id")).agg(F.lit(1).alias("_kept"))
-    rows = docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["_kept_id"]), "left_semi")
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    return rows.withColumn("_kept_turn", turn).filter("_kept_turn = 1").select(*docs.columns)
+    keyed = docs.select("doc_id", "text", _document_key(docs["doc_id"], docs["text"]).alias("key"))
+    printed = fingerprints(keyed, words, "key string, hash bigint", F.col("key"), F.xxhash64("text"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash", "key")
+    distinct = saved(printed.groupBy("fp").agg(F.min(order).alias("least")), "simhash-least")
+    least = rooted(distinct, distance, sample).groupBy("root").agg(F.min("least").alias("least"))
+    kept = saved(least.select(F.col("least.key").alias("_kept_key")), "simhash-kept")
+    # Equal rows become one inside each task first, so no key brings many rows to one task.
+    rows = (
+        docs.select(_document_key(docs["doc_id"], docs["text"]).alias("_kept_key"), F.struct(*[docs[c] for c in docs.columns]).alias("_kept_row"))
+        .groupBy("_kept_key").agg(F.first("_kept_row").alias("_kept_row"))
+    )
+    return rows.join(kept, "_kept_key", "left_semi").select("_kept_row.*")
 
 
 def hex_digits(column: str = "fp"):

@@ -111,6 +111,21 @@ def test_simhash_table_cases(spark):
     assert simhash.near_duplicates(docs.limit(0)).collect() == [] == simhash.one_per_group(docs.limit(0)).collect()
 
 
+def test_one_row_of_each_group_with_null_and_repeated_ids(spark):
+    """Ids tell no rows apart: a third is NULL, others repeat within groups and across them."""
+    rows = [(None if i % 3 == 0 else i % 40, *r[1:]) for i, r in enumerate(generated(200, 6))]
+    rows += [(None, None, "en", "a"), (None, "", "en", "a"), (7, None, "en", "a"), *rows[:9]]
+    prints = np.array([fingerprint(r[1]) for r in rows], np.uint64)
+    group = components(range(len(rows)), np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 4)
+    of_row = {(r[0], r[1]): g for r, g in zip(rows, group, strict=True)}
+    least = {g: min((r[0] is None, r[0] or 0) for r, own in zip(rows, group, strict=True) if own == g) for g in set(group)}
+    left = simhash.one_per_group(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    assert sorted(of_row[r.doc_id, r.text] for r in left) == sorted(set(group))
+    assert all((r.doc_id is None, r.doc_id or 0) == least[of_row[r.doc_id, r.text]] for r in left)
+    assert {tuple(r) for r in left} <= set(rows)
+    assert sum(r.doc_id is None for r in simhash.one_per_group(odd_documents(spark)).collect()) == 1
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in common.components(chain).collect()}
