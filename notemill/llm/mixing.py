@@ -107,12 +107,28 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
 def taken_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as ``mixed`` takes it.
 
-    Rows are matched by doc_id; ids that repeat are taken as often as their
-    largest count, and NULL ids match each other.
+    Rows are matched by (doc_id, source, size), NULLs with each other. The mix
+    can't tell rows equal in all three apart: together they are taken as often
+    as ``mixed`` takes them together, and dealt out evenly in order of text hash,
+    which gives the same copies per row as the mix, for one or the other of them.
     """
-    wanted = mixed.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("copies").cast("int").alias("_mix_copies")).filter("_mix_copies > 0")
-    rows = docs.join(wanted, docs["doc_id"].cast("bigint").eqNullSafe(wanted["_mix_id"]))
-    return rows.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy")).drop("_mix_copy")
+    key = ("_mix_id", "_mix_source", "_mix_size")
+    wanted = saved(
+        mixed.groupBy(*[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "size"), key, strict=True)])
+        .agg(F.count(F.lit(1)).alias("_mix_rows"), F.sum("copies").alias("_mix_copies")).filter("_mix_copies > 0"), "mix-wanted",
+    )
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("id"), F.col("source").cast("string").alias("source"), size_in_words().alias("size"),
+        F.xxhash64("text").alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    )
+    met = lambda some: rows.join(some, rows["id"].eqNullSafe(some[key[0]]) & rows["source"].eqNullSafe(some[key[1]]) & (rows["size"] == some[key[2]]))
+    # Only rows that share their key are numbered; the others do not move for it.
+    alone = met(wanted.filter("_mix_rows = 1")).select("row", F.col("_mix_copies").alias("copies"))
+    turn = F.row_number().over(Window.partitionBy(*key).orderBy("hash"))
+    before = lambda n: F.floor(n * F.col("_mix_copies") / F.col("_mix_rows"))
+    shared = met(wanted.filter("_mix_rows > 1")).withColumn("turn", turn).select("row", (before(F.col("turn")) - before(F.col("turn") - 1)).alias("copies"))
+    every = alone.unionByName(shared)
+    return every.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 #: The same mix in DuckDB.

@@ -105,6 +105,20 @@ def test_mix_takes_near_target_and_repeats(spark):
     assert taken.columns == docs.columns and taken.count() == mixed.agg(F.sum("copies")).first()[0]
 
 
+def test_mix_takes_rows_of_null_and_repeated_ids_by_their_own_copies(spark):
+    rows = [(None if i % 3 == 0 else i % 50, *r[1:]) for i, r in enumerate(generated(300, 5))]
+    rows += [(None, "one two three", "en", "a")] * 9 + [(3, "one two three", "en", "b")] * 5
+    docs = spark.createDataFrame(rows, SCHEMA)
+    mixed = mixing.mix(docs)
+    taken = mixing.taken_documents(docs, mixed)
+    assert taken.columns == docs.columns
+    words = taken.select("doc_id", "source", mixing.size_in_words().alias("size"))
+    got = {tuple(r)[:3]: r.n for r in words.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    want = {tuple(r)[:3]: r.n for r in mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("n")).filter("n > 0").collect()}
+    assert got == want
+    assert {tuple(r) for r in taken.collect()} <= set(rows)
+
+
 def test_mix_table_cases(spark):
     docs = odd_documents(spark)
     columns, want = in_duckdb(mixing.MIX_SQL, documents=spark.createDataFrame([(10 ** 6 + i, *r[1:]) for i, r in enumerate(ODD)], SCHEMA))
