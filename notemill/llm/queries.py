@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notemill.llm import bm25, bpe, ego, language, mixing, rans, simhash, suffix, toxicity, warc
+from notemill.llm import bm25, bpe, centroids, ego, extraction, language, manifest, mixing, rans, simhash, suffix, toxicity, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,24 @@ def op10_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centres, _ = centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=8, rounds=10, seed=3)
+    return centroids.with_inertia(found, centres)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row proved against the root; where 2 divides the CRC-32 of the id, against a text that lost its line feeds."""
+    docs = documents(spark, sf_dir)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    found = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    proved = manifest.proofs(manifest.manifest(manifest.leaves(docs, found)))
+    return proved.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_density_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rans_tokens": op1_rans_tokens,
     "op2_warc_revisits": op2_warc_revisits,
@@ -81,9 +99,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxic_segments": op8_toxic_segments,
     "op9_simhash_components": op9_simhash_components,
     "op10_bpe_digests": op10_bpe_digests,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_density_extraction": op13_density_extraction,
 }
 
 ORACLES: dict[str, str] = {
     "op2_warc_revisits": warc.REVISIT_SQL,
     "op3_systematic_mix": mixing.MIX_SQL,
+    "op11_centroid_clusters": centroids.lloyd_sql(k=8, rounds=10, seed=3),
+    "op12_merkle_manifest": manifest.MANIFEST_SQL,
 }
