@@ -61,22 +61,55 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash, first byte) of every word of a lower-cased byte array.
 
-    A word's hash is that of the polynomial of its bytes, read off running sums
-    over the whole array. The array is worked on in groups that end at a space.
+    A word's hash is that of the polynomial of its bytes, read off running sums.
+    The array is worked on in groups that end at a space; a word longer than a
+    group is one word too, its polynomial summed up over its pieces.
     """
-    if len(data) > GROUP:
-        cut = np.flatnonzero(_SPACE[data[:GROUP]])
-        # A word longer than a group is cut there; its parts are words of their own.
-        at = int(cut[-1]) + 1 if len(cut) else GROUP
-        first, second = word_hashes(data[:at]), word_hashes(data[at:])
-        return np.concatenate((first[0], second[0])), np.concatenate((first[1], second[1] + at))
+    hashes, starts, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    while at < len(data):
+        stop = min(at + GROUP, len(data))
+        if stop < len(data):
+            spaces = np.flatnonzero(_SPACE[data[at:stop]])
+            if not len(spaces):
+                hashed, at_end = _long_word(data, at)
+                hashes.append(hashed)
+                starts.append(np.array([at]))
+                at = at_end
+                continue
+            stop = at + int(spaces[-1]) + 1
+        own, start = _words_of_group(data[at:stop])
+        hashes.append(own)
+        starts.append(start + at)
+        at = stop
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def _weighed(data: np.ndarray) -> np.ndarray:
+    return (_LOWER[data].astype(np.uint64) + np.uint64(1)) * _UP[: len(data)]
+
+
+def _words_of_group(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     letter = ~_SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], letter, [False]))))
     start, end = edge[::2], edge[1::2]
-    total = np.concatenate(([np.uint64(0)], np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _UP[: len(data)], dtype=np.uint64)))
+    total = np.concatenate(([np.uint64(0)], np.cumsum(_weighed(data), dtype=np.uint64)))
     return _mixed((total[end] - total[start]) * _DOWN[start] ^ (end - start).astype(np.uint64)), start
 
 
+def _long_word(data: np.ndarray, start: int) -> tuple[np.ndarray, int]:
+    """(hash, end) of the word that starts at ``start``, however long."""
+    total, at = 0, start
+    while at < len(data):
+        piece = data[at:at + GROUP]
+        spaces = np.flatnonzero(_SPACE[piece])
+        piece = piece[: spaces[0]] if len(spaces) else piece
+        total += int(_weighed(piece).sum(dtype=np.uint64)) * pow(int(_RADIX), at - start, 1 << 64)
+        at += len(piece)
+        if len(spaces):
+            break
+    return _mixed(np.array([total % (1 << 64)], np.uint64) ^ np.uint64(at - start)), at
+
+
 def vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, length, terms binary uint64, counts binary uint32) of every row; terms ascend."""
 

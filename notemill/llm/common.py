@@ -17,16 +17,25 @@ NULL_ID = -(1 << 63)
 
 
 def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``_id``, ``_text``, ``_hash``) of each row; rows equal in the first two are the same document.
+    """(``_id``, ``_text``, ``_turn``, ``_row``) of each row; rows equal in ``_id`` and ``_text`` are the same document.
 
-    NULL ids get :data:`NULL_ID`, NULL texts become empty. Other columns are
-    left out, so whatever an input calls them, they cannot clash.
+    NULL ids get :data:`NULL_ID`, NULL texts become empty; ``_row`` is the row as it
+    came. ``_turn`` tells the texts of one id apart: 0 where an id has only one text,
+    else a number that rises with the text's MD5. It is given out after a sort by
+    (id, MD5), never derived from a short hash, so two texts can't share one.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("_id"), text.alias("_text"),
-        F.hash(text).alias("_hash"),
+    text = F.coalesce(docs[text_col], F.lit(""))
+    keyed = docs.select(
+        F.coalesce(docs[id_col].cast("bigint"), F.lit(NULL_ID)).alias("_id"), text.alias("_text"), F.unhex(F.md5(text.cast("binary"))).alias("_md5"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
     )
+    several = keyed.groupBy("_id").agg(F.min("_md5").alias("_low"), F.max("_md5").alias("_high")).filter("_low <> _high").select("_id")
+    several = saved(several, "row-ids")
+    texts = keyed.select("_id", "_md5").join(several, "_id", "left_semi").distinct()
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    turns = texts.repartitionByRange(tasks, "_id", "_md5").sortWithinPartitions("_id", "_md5").withColumn("_turn", F.monotonically_increasing_id() + 1)
+    # Usually this table is empty or small, and the texts do not move for it.
+    return keyed.join(saved(turns, "row-turns"), ["_id", "_md5"], "left").select("_id", "_text", F.coalesce("_turn", F.lit(0).cast("bigint")).alias("_turn"), "_row")
 
 
 def real_id(column: str = "_id"):

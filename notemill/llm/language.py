@@ -29,7 +29,6 @@ from notemill.llm.common import texts_of
 from notemill.session import saved
 
 MIN_SHARE = 2e-5      # at most 50,000 n-grams per language
-MIN_COUNT = 2
 PROBES = 3
 BITS_PER_GRAM = 16
 GROUP = 1 << 19       # characters worked on at a time
@@ -188,7 +187,7 @@ def fit(docs: DataFrame, usable: Column, min_share: float = MIN_SHARE) -> Filter
     counted = gram_counts(train).filter(F.col("n") > 0)
     counted = saved(counted, "language-grams")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    kept = counted.join(totals, "lang").filter((F.col("n") >= F.col("total") * min_share) & ((F.col("n") >= MIN_COUNT) | (F.col("total") < 1000)))
+    kept = counted.join(totals, "lang").filter(F.col("n") >= F.col("total") * min_share)
     rows = kept.groupBy("lang").agg(F.collect_list("gram").alias("grams")).collect()
     return Filters.of({r["lang"]: np.array(r["grams"], np.int64).view(np.uint64) for r in rows})
 

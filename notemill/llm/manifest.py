@@ -236,7 +236,7 @@ def proofs(made: Manifest) -> DataFrame:
     Rows that repeat an id, or come as often as you like, are leaves of their own.
     An empty table has no root and gives an empty table.
     """
-    start = made.tops.select(F.lit("").alias("tree"), F.array().cast("array<string>").alias("before"), F.array().cast("array<string>").alias("after"), F.lit("").alias("subroot")).limit(1)
+    start = made.tops.sparkSession.createDataFrame([("", [], [], "")], f"tree string, {PATHS}")
     named = descend(made.over, start, _source_paths, f"name string, {PATHS}")
     paths = saved(named.withColumnRenamed("name", "tree"), "manifest-sources")
     found = descend(

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notemill.llm.common import NULL_ID, map_batches, real_id, released, row_key
+from notemill.llm.common import map_batches, real_id, released, row_key
 from notemill.session import saved
 
 SPAN = 100
@@ -154,7 +154,7 @@ def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return doc[fresh], start[fresh], (reached - shift)[last]
 
 
-ROWS = "name bigint, more bigint, _id bigint, _hash int, place bigint"
+ROWS = "name bigint, more bigint, _id bigint, _turn bigint, place bigint"
 NAMED, COVER, OPEN = 0, 1, 2
 
 
@@ -163,7 +163,7 @@ def _batch(kind: int, name: np.ndarray, more: np.ndarray, doc: np.ndarray, text:
     place = (np.uint64(kind) << np.uint64(62)) | ((start + MARGIN).astype(np.uint64) << np.uint64(31)) | (stop - start).astype(np.uint64)
     return pa.RecordBatch.from_pydict({
         "name": pa.array(np.asarray(name).view(np.int64)), "more": pa.array(np.asarray(more).view(np.int64)), "_id": pa.array(doc),
-        "_hash": pa.array(text.astype(np.int32)), "place": pa.array(place.view(np.int64)),
+        "_turn": pa.array(text.astype(np.int64)), "place": pa.array(place.view(np.int64)),
     })
 
 
@@ -175,30 +175,30 @@ def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _settled(
-    doc_id: np.ndarray, doc_hash: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: np.ndarray, name: np.ndarray, more: np.ndarray,
+    doc_id: np.ndarray, doc_turn: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: np.ndarray, name: np.ndarray, more: np.ndarray,
 ) -> Iterator[pa.RecordBatch]:
     """What a task sends on: the earliest row of each name, and the repeats among its own rows as merged covers."""
     rank = np.empty(len(doc_id), np.int64)
-    rank[np.lexsort((doc_hash, doc_id))] = np.arange(len(doc_id))
+    rank[np.lexsort((doc_turn, doc_id))] = np.arange(len(doc_id))
     order = np.lexsort((start, rank[doc], more, name))
     doc, start, stop, name, more = doc[order], start[order], stop[order], name[order], more[order]
     same = np.concatenate(([False], (name[1:] == name[:-1]) & (more[1:] == more[:-1])))
     lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(doc))))
     # The same place of a document given twice is no repeat of itself.
-    twin = same & (doc_id[doc] == doc_id[doc[lead]]) & (doc_hash[doc] == doc_hash[doc[lead]]) & (start == start[lead])
+    twin = same & (doc_id[doc] == doc_id[doc[lead]]) & (doc_turn[doc] == doc_turn[doc[lead]]) & (start == start[lead])
     sent = ~same | twin
-    yield _batch(NAMED, name[sent], more[sent], doc_id[doc[sent]], doc_hash[doc[sent]], start[sent], stop[sent])
+    yield _batch(NAMED, name[sent], more[sent], doc_id[doc[sent]], doc_turn[doc[sent]], start[sent], stop[sent])
     again = same & ~twin
     if again.any():
         own, low, high = doc[again], np.maximum(0, start[again]), stop[again]
         by = np.lexsort((low, own))
         own, low, high = _merged(own[by], low[by], high[by])
         # Covers only pass through the next sort; a mixed name spreads them.
-        yield _batch(COVER, (doc_id[own] ^ low) * int(_ODD[0, 0, 0] >> np.uint64(2)), np.zeros(len(own), np.int64), doc_id[own], doc_hash[own], low, high)
+        yield _batch(COVER, (doc_id[own] ^ low) * int(_ODD[0, 0, 0] >> np.uint64(2)), np.zeros(len(own), np.int64), doc_id[own], doc_turn[own], low, high)
 
 
 def _rows_of_tasks(docs: DataFrame, read) -> DataFrame:
-    """ROWS from (_id, _hash, ...) batches: ``read(batch)`` yields (row number, start, stop, name, more)."""
+    """ROWS from (_id, _turn, ...) batches: ``read(batch)`` yields (row number, start, stop, name, more)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, found, size, docs_held = [], [], [], 0, 0
@@ -225,7 +225,7 @@ def repeats(rows: DataFrame, follow: bool) -> DataFrame:
 
     The sorted rows are read as a stream: what is kept between batches is one row.
     """
-    ordered = rows.repartition("name").sortWithinPartitions("name", "more", "_id", "_hash", "place")
+    ordered = rows.repartition("name").sortWithinPartitions("name", "more", "_id", "_turn", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, waiting = None, None
@@ -306,20 +306,20 @@ def _string_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 
 def covers(docs: DataFrame) -> DataFrame:
-    """(_id, _hash, start, stop) of byte intervals to remove, of ``row_key`` documents; they may overlap and reach past the end.
+    """(_id, _turn, start, stop) of byte intervals to remove, of ``row_key`` documents; they may overlap and reach past the end.
 
     The rounds after the first all join the same texts by the same key, so
     Spark shuffles the texts once for them and for what is done with the covers.
     """
-    keyed = docs.select("_id", "_hash", "_text")
+    keyed = docs.select("_id", "_turn", "_text")
 
     def first_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
         for number, at, name, around in anchor_rows([t.encode() for t in batch.column(2).to_pylist()]):
             yield number, at - REACH, at + SPAN, name, around
 
     def opened(rows: DataFrame) -> DataFrame:
-        still = rows.filter(kind == OPEN).groupBy("_id", "_hash").agg(F.collect_list("place").alias("_places"))
-        return keyed.join(still, ["_id", "_hash"]).select("_id", "_hash", "_text", "_places")
+        still = rows.filter(kind == OPEN).groupBy("_id", "_turn").agg(F.collect_list("place").alias("_places"))
+        return keyed.join(still, ["_id", "_turn"]).select("_id", "_turn", "_text", "_places")
 
     kind = F.shiftrightunsigned("place", 62)
     first = saved(repeats(_rows_of_tasks(keyed, first_rows), follow=True), "suffix-anchors")
@@ -327,7 +327,7 @@ def covers(docs: DataFrame) -> DataFrame:
     third = repeats(_rows_of_tasks(opened(second), _string_rows), follow=False)
     start = F.shiftrightunsigned("place", 31).bitwiseAND((1 << 31) - 1) - MARGIN
     found = first.unionByName(second).unionByName(third).filter(kind == COVER)
-    return found.select("_id", "_hash", start.alias("start"), (start + F.col("place").bitwiseAND((1 << 31) - 1)).alias("stop"))
+    return found.select("_id", "_turn", start.alias("start"), (start + F.col("place").bitwiseAND((1 << 31) - 1)).alias("stop"))
 
 
 def _cut(text: bytes, start: list[int], stop: list[int]) -> tuple[bytes, int]:
@@ -345,20 +345,20 @@ def _cut(text: bytes, start: list[int], stop: list[int]) -> tuple[bytes, int]:
 
 
 def removed(docs: DataFrame) -> DataFrame:
-    """(_id, _hash, kept binary, n_bytes, n_spans) of every row of a ``row_key`` table."""
-    spans = covers(docs).groupBy("_id", "_hash").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
-    joined = docs.select("_id", "_hash", "_text").join(spans, ["_id", "_hash"], "left")
+    """(_id, _turn, kept binary, n_bytes, n_spans) of every row of a ``row_key`` table."""
+    spans = covers(docs).groupBy("_id", "_turn").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    joined = docs.select("_id", "_turn", "_text").join(spans, ["_id", "_turn"], "left")
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = [t.encode() for t in batch.column(2).to_pylist()]
         spans = [s or [] for s in batch.column(3).to_pylist()]
         out = [_cut(t, [x["start"] for x in s], [x["stop"] for x in s]) for t, s in zip(texts, spans, strict=True)]
         return {
-            "_id": batch.column(0), "_hash": batch.column(1), "kept": pa.array([k for k, _ in out], pa.binary()),
+            "_id": batch.column(0), "_turn": batch.column(1), "kept": pa.array([k for k, _ in out], pa.binary()),
             "n_bytes": pa.array([len(t) for t in texts], pa.int64()), "n_spans": pa.array([n for _, n in out], pa.int64()),
         }
 
-    return map_batches(joined, run, "_id bigint, _hash int, kept binary, n_bytes bigint, n_spans bigint")
+    return map_batches(joined, run, "_id bigint, _turn bigint, kept binary, n_bytes bigint, n_spans bigint")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -382,13 +382,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     as before: equal rows share one result. Texts move once more, to meet their
     intervals.
     """
-    spans = covers(row_key(docs)).groupBy(F.col("_id").alias("_cut_id"), F.col("_hash").alias("_cut_hash")).agg(
-        F.collect_list(F.struct("start", "stop")).alias("_cut_spans")
-    )
-    text = F.coalesce(docs["text"], F.lit(""))
-    same = (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID)) == spans["_cut_id"]) & (F.hash(text) == spans["_cut_hash"])
-    rows = docs.join(spans, same, "left").select(*[docs[c] for c in docs.columns], "_cut_spans")
-    place = docs.columns.index("text")
+    keyed = row_key(docs)
+    spans = covers(keyed.drop("_row")).groupBy("_id", "_turn").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    met = keyed.select("_id", "_turn", "_row").join(spans, ["_id", "_turn"], "left")
+    # By place: names of the input may be anything, and may come twice in upper and lower case.
+    rows = met.select(*[F.col("_row").getField(c).alias(f"_{i}") for i, c in enumerate(docs.columns)], F.col("_spans"))
+    names, place = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -399,7 +398,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             ]
             columns = batch.columns[:-1]
             columns[place] = pa.array(cut, batch.column(place).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     left = rows.mapInArrow(released(run), docs.schema)
     if "n_chars" in docs.columns:

@@ -1,7 +1,10 @@
 """Repeated strings, SimHash and embedding joins against brute force."""
 
+import hashlib
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from notemill.llm import common, ego, simhash, suffix
 from tests.llm.brute import ODD, SCHEMA, components, fingerprint, generated, odd_documents, repeats
@@ -35,6 +38,30 @@ def test_repeats_table_cases(spark):
     assert suffix.without_repeats(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("shared_id", [2, None])
+def test_texts_of_one_id_are_told_apart_whatever_their_hashes(spark, shared_id):
+    texts = spark.range(250_000).select(F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(s)), 256) for s in "xyz"]).alias("text"))
+    a, b = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("t")).filter(F.size("t") > 1).first()["t"][:2]
+    rows = [(1, a, "en", "s"), (shared_id, a, "en", "s"), (shared_id, b, "en", "s"), (shared_id, b, "en", "s"), (7, None, "en", "s")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    earlier = shared_id is None  # NULL comes before all others
+    got = sorted(((r.doc_id, r.kept_sha256 == hashlib.sha256(b.encode()).hexdigest(), r.n_removed) for r in suffix.digests(docs).collect()), key=repr)
+    want = [(1, False, 192 if earlier else 0), (shared_id, False, 0 if earlier else 192), (shared_id, True, 0), (shared_id, True, 0), (7, False, 0)]
+    assert got == sorted(want, key=repr)
+    left = [(r.doc_id, r.text) for r in suffix.without_repeats(docs).collect()]
+    assert sorted(left, key=repr) == sorted([(1, "" if earlier else a), (shared_id, a if earlier else ""), (shared_id, b), (shared_id, b), (7, None)], key=repr)
+
+
+def test_turns_are_zero_for_single_texts(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (2, "c"), (None, None), (None, "d"), (4, None)], "doc_id long, text string")
+    keys = {}
+    for r in common.row_key(docs).collect():
+        keys.setdefault((r._id, r._text), set()).add(r._turn)
+        assert (r._row.doc_id, r._row.text or "") == (None if r._id == common.NULL_ID else r._id, r._text)
+    assert keys[1, "a"] == keys[4, ""] == {0} and all(len(v) == 1 for v in keys.values())
+    assert len({(i, min(t)) for (i, _), t in keys.items()}) == len(keys)
+
+
 def test_cut_keeps_whole_characters(spark):
     shared = "".join(chr(0x400 + i) for i in range(60))
     rows = [(1, "a" + shared, "en", "a"), (2, "b" + shared + "c", "en", "a")]

@@ -7,6 +7,7 @@ import os
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +151,57 @@ def test_languages(spark):
     assert {r.lang_pred for r in language.predict(docs, empty).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("words", [20, 180, 200, 2000])
+def test_more_text_of_a_rare_language_never_costs_its_documents(spark, words):
+    import random
+
+    r = random.Random(words)
+    make = lambda letters, n: " ".join("".join(r.choice(letters) for _ in range(r.randint(3, 7))) for _ in range(n))
+    rows = [(i, make("abcdefgh", 60), "en", "s") for i in range(60)] + [(100, make("ijklmnop", words), "xx", "s"), (101, make("ijklmnop", 60), "xx", "s")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    filters = language.fit(docs, F.col("doc_id") != 101)
+    got = {x.doc_id: (x.lang_pred, x.score) for x in language.predict(docs, filters).collect()}
+    assert got[100][0] == "xx" and got[100][1] > 0.9
+    if words >= 200:
+        assert got[101][0] == "xx"
+
+
+def filters_of(rows):
+    """Exact n-gram sets by language."""
+    out = {}
+    for _, text, lang, _ in rows:
+        out.setdefault(lang, set()).update(language.grams([text])[0].tolist())
+    return out
+
+
+def test_filters_answer_as_exact_sets_do_but_for_false_positives(spark):
+    """Every n-gram of a language is found; the share of others found is that of the filter's bits."""
+    rows = [(i, t, ["en", "fr"][i % 2], "s") for i, (_, t, _, _) in enumerate(generated(80, 6))]
+    filters = language.fit(spark.createDataFrame(rows, SCHEMA), F.lit(True))
+    sets = filters_of(rows)
+    totals = {lang: sum(len(language.grams([t])[0]) for _, t, own, _ in rows if own == lang) for lang in sets}
+    assert max(totals.values()) * language.MIN_SHARE <= 1  # so nothing is left out here
+    for k, lang in enumerate(filters.languages):
+        masks = filters.masks(np.array(sorted(sets[lang]), np.uint64))
+        assert ((masks[k // 64] >> np.uint64(k % 64)) & np.uint64(1)).all()
+        other = np.array(sorted(set().union(*sets.values()) - sets[lang]), np.uint64)
+        found = ((filters.masks(other)[k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean()
+        assert found < 0.05
+
+
+def test_words_of_any_length_are_one_word():
+    base = "z" * (bm25.GROUP + 5)
+    texts = [base, "z" * bm25.GROUP + "QQ", base.upper(), f"a {base} b {base}", "z" * bm25.GROUP, "y" * (2 * bm25.GROUP + 1)]
+    got = [bm25.word_hashes(np.frombuffer(t.encode(), np.uint8)) for t in texts]
+    assert [len(h) for h, _ in got] == [1, 1, 1, 4, 1, 1]
+    assert got[0][0][0] == got[2][0][0] == got[3][0][1] == got[3][0][3]
+    assert len({int(g[0][0]) for g in (got[0], got[1], got[4], got[5])}) == 4
+    assert got[3][1].tolist() == [0, 2, 3 + len(base), 5 + len(base)]
+    short = np.frombuffer(b"the cat  sat", np.uint8)
+    at = [int(_hash) for _hash in bm25.word_hashes(short)[0]]
+    assert at == [int(bm25.word_hashes(np.frombuffer(w, np.uint8))[0][0]) for w in (b"the", b"cat", b"sat")]
+
+
 def test_filters_hold_every_gram():
     own, _, _ = language.grams(["the quick brown fox", "über größe"])
     many = language.Filters.of({f"l{i:03d}": own for i in range(70)} | {"zz": own[:3]})
