@@ -15,8 +15,9 @@ needed. Slices are cut in one of two ways:
 * by fixed ``widths``, where positions are dense integers: a slice is then
   bounded by its width, and most keys fit in a few slices. Summaries are cut
   again by the next width, so they cannot pile up either;
-* by ``rows_per_task``, where positions are sparse: only keys with more rows
-  than that are cut, as finely as their size asks for.
+* by ``rows_per_task``, where positions are sparse or clustered: only keys with
+  more rows than that are cut, at quantiles of their rows, so that slices hold
+  about as many rows each, however the positions lie.
 """
 
 from __future__ import annotations
@@ -59,27 +60,66 @@ def slice_id(df: DataFrame, position: str, width: int) -> Column:
     return F.floor(F.col(position) / F.lit(float(width)))
 
 
-def cut_large_keys(df: DataFrame, keys: Sequence[str], position: str, rows_per_task: int) -> DataFrame:
-    """``df`` plus ``_slice0`` and ``_cut``: keys above ``rows_per_task`` rows fall into slices.
+#: Sampled rows per slice: a slice of twice the wanted rows would need half as many in its place, which is beyond 10 deviations.
+POINTS = 100
 
-    The table of large keys is broadcast. Each of its rows stands for more than
-    ``rows_per_task`` input rows, so it has fewer than ``input / rows_per_task``.
+
+def _place(position: str, tiebreak: Sequence[str], columns: Sequence[str]) -> Column:
+    """The order of rows within a key; rows that tie are told apart by a hash of all their columns."""
+    return F.struct(position, *tiebreak, F.xxhash64(*columns).alias("_tie"))
+
+
+def splitters(
+    df: DataFrame, keys: Sequence[str], position: str, rows_per_task: int, tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """(_key_<key>..., ``_splits``): for keys above ``rows_per_task`` rows, the places where slices start, in order.
+
+    They are every ``POINTS``-th row of a sample, taken by a hash of the rows, so that a
+    plan that is run again finds the same. There is one per ``rows_per_task`` rows.
     """
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(position).alias("_low"), F.max(position).alias("_high"))
-        .filter(F.col("_n") > rows_per_task)
-        .select(
-            *[F.col(k).alias(f"_key_{k}") for k in keys], "_low",
-            F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / F.col("_n") * rows_per_task), F.lit(1))
-            .cast("bigint").alias("_step"),
-        )
-    )
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    large = large.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    names = [f"_key_{k}" for k in keys]
+    every = max(1, rows_per_task // POINTS)
+    # Fewer than ``input / rows_per_task`` keys are large.
+    rows = df.join(F.broadcast(large), same).select(*names, _place(position, tiebreak, df.columns).alias("_place"))
+    sample = rows.filter(F.pmod(F.xxhash64(F.lit(7), "_place"), F.lit(every)) == 0)
+    nth = F.row_number().over(Window.partitionBy(*names).orderBy("_place"))
+    chosen = sample.withColumn("_nth", nth).filter(F.col("_nth") % -(-rows_per_task // every) == 0)
+    return chosen.groupBy(*names).agg(F.array_sort(F.collect_set("_place")).alias("_splits"))
+
+
+def _slice_of(place: Column, splits: Column) -> Column:
+    """How many splitters lie at or before a place, by binary search."""
+    pair = lambda low, high: F.struct(low.cast("bigint").alias("low"), high.cast("bigint").alias("high"))
+
+    def halve(found: Column, _: Column) -> Column:
+        middle = F.floor((found["low"] + found["high"]) / 2)
+        passed = F.get(splits, middle.cast("int")) <= place
+        closer = F.when(passed, pair(middle + 1, found["high"])).otherwise(pair(found["low"], middle))
+        return F.when(found["low"] < found["high"], closer).otherwise(found)
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(splits) + 1)).cast("int"))
+    return F.aggregate(steps, pair(F.lit(0), F.size(splits)), halve, lambda found: found["low"])
+
+
+def cut_large_keys(
+    df: DataFrame, keys: Sequence[str], position: str, rows_per_task: int, tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """``df`` plus ``_slice0`` and ``_cut``: keys above ``rows_per_task`` rows fall into slices of about as many rows.
+
+    Slices follow the order of (position, tiebreak), also where positions are
+    equal. Only rows equal in all columns can't be parted. The splitters are
+    broadcast: there are at most ``input / rows_per_task`` of them.
+    """
+    found = splitters(df, keys, position, rows_per_task, tiebreak)
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return df.join(F.broadcast(large), same, "left").select(
+    cut = F.col("_splits").isNotNull()
+    return df.join(F.broadcast(found), same, "left").select(
         *df.columns,
-        F.coalesce(F.expr(f"(`{position}` - _low) div _step"), F.lit(0).cast("bigint")).alias("_slice0"),
-        F.col("_step").isNotNull().alias("_cut"),
+        F.when(cut, _slice_of(_place(position, tiebreak, df.columns), F.col("_splits"))).otherwise(F.lit(0).cast("bigint")).alias("_slice0"),
+        cut.alias("_cut"),
     )
 
 
@@ -133,7 +173,7 @@ def running(
     else:
         name = f"_slice{level}"
         if rows_per_task is not None:
-            sliced = cut_large_keys(df, keys, position, rows_per_task)
+            sliced = cut_large_keys(df, keys, position, rows_per_task, tiebreak)
             several = sliced.filter("_cut")
         else:
             several = sliced = df.withColumn(name, slice_id(df, position, widths[0]))

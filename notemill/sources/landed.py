@@ -14,17 +14,18 @@ from pyspark.sql import types as T
 from notemill import schemas
 from notemill.operators.playlist import widen_numbers
 from notemill.operators.running import Running, running
+from notemill.sources.ranges import read_arrays, sheet_records
 
 SHEET_MARK = "Difficulty Changes"
 
 
 def read_songlist(spark: SparkSession, path: str, multiline: bool = True, schema: str = schemas.SONGLIST) -> DataFrame:
     """Song list files: a JSON array each, or one object per line with ``multiline=False``."""
-    return spark.read.schema(schema).json(path, multiLine=multiline)
+    return read_arrays(spark, path, schema) if multiline else spark.read.schema(schema).json(path)
 
 
 def _chart_payloads(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
-    rows = spark.read.schema(schemas.CHART_PAYLOADS).json(path, multiLine=multiline)
+    rows = read_arrays(spark, path, schemas.CHART_PAYLOADS) if multiline else spark.read.schema(schemas.CHART_PAYLOADS).json(path)
     return rows.withColumn("first_note_id", F.coalesce("first_note_id", F.lit(1)))
 
 
@@ -48,7 +49,7 @@ def read_playlist(
     spark: SparkSession, path: str, multiline: bool = True, schema: str = schemas.PLAYLIST,
 ) -> DataFrame:
     """Playlist JSON; numbers, whole or decimal, become doubles."""
-    return widen_numbers(spark.read.schema(schema).json(path, multiLine=multiline))
+    return widen_numbers(read_arrays(spark, path, schema) if multiline else spark.read.schema(schema).json(path))
 
 
 def standard_name(name: str) -> str:
@@ -85,19 +86,24 @@ def read_sheet(spark: SparkSession, folder: str, title: str, multiline: bool = T
     """One exported sheet: an empty row, the header row, then data.
 
     Columns with an empty header are dropped. ``sheet_row`` numbers the data
-    rows from 1 in file order. Quoted cells may hold line breaks, which makes a
-    file unsplittable; ``multiline=False`` lets large exports without such
-    cells be read by many tasks. An export may also be a folder of part files
-    in name order whose first part starts with the two heading rows.
+    rows from 1 in file order. Quoted cells may hold line breaks, and doubled
+    quotes; one file is read by many tasks all the same. ``multiline=False`` saves
+    the search for such cells where there are none. An export may also be a
+    folder of part files in name order whose first part starts with the two
+    heading rows.
     """
     path = f"{folder.rstrip('/')}/{title}.csv"
     first_file = unquote(sorted(spark.read.text(path).inputFiles())[0])
-    headings = spark.read.csv(first_file, header=False, multiLine=multiline).take(2)
+    headings = spark.read.csv(first_file, header=False, multiLine=multiline, escape='"').take(2)
     if len(headings) < 2:
         raise ValueError(f"{path} has no header row")
     cells = list(headings[1].asDict())
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cells])
-    placed = spark.read.schema(schema).csv(path, header=False, multiLine=multiline).select(
+    kept = [c for c in cells if headings[1][c]]
+    if multiline:
+        parsed = sheet_records(spark, path).select(F.from_csv("text", ", ".join(f"`{c}` string" for c in cells), {"escape": '"'}).alias("row"), (F.col("_record") - 2).alias("sheet_row"))
+        return parsed.filter("sheet_row > 0").select(*[F.col(f"row.{c}").alias(headings[1][c]) for c in kept], "sheet_row")
+    placed = spark.read.schema(schema).csv(path, header=False, escape='"').select(
         *cells,
         F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start")).alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
@@ -112,7 +118,6 @@ def read_sheet(spark: SparkSession, folder: str, title: str, multiline: bool = T
     ordered = local.join(offsets, F.col("_block") == F.col("_b")).withColumn(
         "sheet_row", F.col("_before") + F.col("_local") - 2
     )
-    kept = [c for c in cells if headings[1][c]]
     return ordered.filter("sheet_row > 0").select(*[F.col(c).alias(headings[1][c]) for c in kept], "sheet_row")
 
 

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from notemill.operators.running import Running, cut_large_keys, forward_fill, row_numbers, running
@@ -50,6 +51,30 @@ def test_forward_fill(spark):
     assert {(r.k, r.p): r.f for r in filled.collect()} == {k: w[1] for k, w in brute(rows).items()}
 
 
+@pytest.mark.parametrize("positions", ["one", "few", "clustered", "far"])
+def test_slices_hold_about_equal_rows_however_positions_lie(spark, positions):
+    """99,991 of 100,000 rows on few positions, cut by their tiebreak."""
+    of = {"one": F.lit(5), "few": F.col("id") % 3, "clustered": F.when(F.col("id") % 11_111 == 0, F.col("id") * 1000).otherwise(F.lit(7)), "far": F.col("id") * F.col("id")}
+    df = spark.range(100_000).select(F.lit("hot").alias("k"), of[positions].cast("bigint").alias("p"), "id")
+    df = df.unionByName(spark.range(50).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("p"), "id"))
+    cut = cut_large_keys(df, ["k"], "p", 1000, ["id"])
+    sizes = {(r.k, r["_slice0"]): r["count"] for r in cut.groupBy("k", "_slice0").count().collect()}
+    assert len(sizes) > 60 and max(sizes.values()) <= 2000 and sizes[None, 0] == 50
+    edges = cut.filter("k = 'hot'").groupBy("_slice0").agg(F.min(F.struct("p", "id")).alias("low"), F.max(F.struct("p", "id")).alias("high")).orderBy("_slice0").collect()
+    assert all(tuple(a.high) < tuple(b.low) for a, b in zip(edges, edges[1:]))
+    numbered = row_numbers(df, ["k"], "p", tiebreak=["id"], name="n", rows_per_task=1000)
+    want = F.row_number().over(Window.partitionBy("k").orderBy("p", "id"))
+    assert numbered.withColumn("w", want).filter("n <> w").count() == 0 and numbered.count() == 100_050
+
+
+def test_rows_that_tie_in_all_but_other_columns_are_cut_too(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.lit(1).cast("bigint").alias("p"), "id")
+    sizes = [r["count"] for r in cut_large_keys(df, ["k"], "p", 1000).groupBy("_slice0").count().collect()]
+    assert max(sizes) <= 2000
+    numbers = [r.n for r in row_numbers(df, ["k"], "p", name="n", rows_per_task=1000).collect()]
+    assert sorted(numbers) == list(range(1, 20_001))
+
+
 def test_only_large_keys_are_cut(spark):
     df = spark.createDataFrame(data(), "k string, p bigint, v bigint")
     cut = cut_large_keys(df, ["k"], "p", 100)
