@@ -257,7 +257,7 @@ def oracles() -> dict[str, str]:
             SELECT song_id, note_id, ms, orientation, horizontal_density, nearby_notes_count FROM horizontal""",
         "den_3_horizontal_density_seconds": f"""{lanes}, {seconds}
             SELECT song_id, note_id, orientation, horizontal_density, nearby_notes_count FROM horizontal""",
-        "den_4_explain_density": f"""{lanes},
+        "den_4_explain_density": f"""{lanes.replace("FROM events)", "FROM events WHERE user_id = (SELECT min(user_id) FROM events))")},
             t AS (SELECT * FROM lanes ORDER BY song_id, note_id DESC, orientation LIMIT 1)
             SELECT n.song_id, n.note_id, n.orientation, n.ms, t.ms - n.ms AS diff_ms, {WEIGHT} AS weight,
                    n.note_id = t.note_id AND n.orientation = t.orientation AS is_self
@@ -290,6 +290,14 @@ def oracles() -> dict[str, str]:
                      AS song_length_log_normalized
             FROM songlist""",
         "agg_4_percentile": f"WITH {SONGS}, {COUNTED} SELECT quantile_cont(note_count, 0.95) AS p95 FROM counted",
+        "agg_4_percentile_of_many_values": " UNION ALL ".join(
+            f"SELECT {s}::DOUBLE AS share, round(quantile_cont(l_extendedprice, {s}), 6) AS value FROM lineitem" for s in (0.05, 0.5, 0.95)
+        ),
+        "cht_1_percentile_after_changes": f"{snaps} SELECT quantile_cont(note_count, 0.95) AS p, count(*) AS songs FROM new_songs",
+        "win_3_row_numbers_sliced": """SELECT l_returnflag, year(l_shipdate) AS year, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                   row_number() OVER (PARTITION BY l_returnflag ORDER BY year(l_shipdate), l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS nth
+            FROM lineitem""",
+        "win_3_slice_sizes": "SELECT l_returnflag, count(*) AS \"rows\", true AS bounded, true AS fine FROM lineitem GROUP BY 1",
         "dq_10_length_check": f"""WITH {SONGS}, {COUNTED}, {LENGTHS}
             SELECT count(*) AS total_songs, min(note_count) AS min_notes, max(note_count) AS max_notes,
                    round(avg(note_count), 6) AS avg_notes, round(min(x), 6) AS min_normalized,
@@ -492,6 +500,9 @@ def oracles() -> dict[str, str]:
         "src_3_playlist_json": f"WITH {PLAYLIST} SELECT * FROM raw_playlist",
         "src_4_read_sheets": f"""WITH {CONTESTED}
             SELECT song_name, old_diff, new_diff, "date", source_sheet, sheet_row FROM contested""",
+        "src_4_read_sheets_multiline": f"""WITH {CONTESTED}
+            SELECT CASE WHEN sheet_row % 3 = 0 THEN song_name || chr(10) || chr(10) || '"live", ' || old_diff || '"' || chr(10) ELSE song_name END AS song_name,
+                   old_diff, new_diff, "date", source_sheet, sheet_row FROM contested""",
         "snk_1_overwrite_append": f"{snaps} SELECT {song} FROM old_songs UNION ALL SELECT {song} FROM new_songs",
         "snk_3_recreate_add_column": f"WITH {SONGS} SELECT id, swf_version, CAST(NULL AS INT) AS difficulty FROM songlist",
         "snk_publish_upsert": f"""{snaps}
@@ -563,4 +574,6 @@ def oracles() -> dict[str, str]:
             FROM songlist LEFT JOIN n ON user_id = id
             UNION ALL SELECT 'gold', 'gold__features', id::VARCHAR, 1, 0, 'updated' FROM songlist""",
     }
+    for name in ("den_1_vertical_density", "den_3_horizontal_density", "den_note_densities", "rel_2_forward_fill"):
+        out[f"{name}_sliced"] = out[name]
     return out

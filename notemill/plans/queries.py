@@ -13,7 +13,7 @@ from notemill.functions.scalars import (
     set_map_value, split_names,
 )
 from notemill.operators import audit, cdc, chart, density, gold, merge, notes, playlist, profile, reliability
-from notemill.operators.running import forward_fill
+from notemill.operators.running import cut_large_keys, forward_fill, row_numbers
 from notemill.plans.medallion import TABLES, Medallion, database
 from notemill.session import saved, scratch_path
 from notemill.sources import derived, landed, tables
@@ -164,6 +164,12 @@ def _(spark, sf_dir):
     return density.vertical_density(lane_rows(spark, sf_dir)).drop("timestamp")
 
 
+@query("den_1_vertical_density_sliced")
+def _(spark, sf_dir):
+    """Slices of 64 ms, so that most songs cross many edges."""
+    return density.vertical_density(lane_rows(spark, sf_dir), widths=(64, 256)).drop("timestamp")
+
+
 @query("den_1_vertical_density_seconds")
 def _(spark, sf_dir):
     played = notes.separate_ties(stored_notes(spark, sf_dir), 1e-3, "timestamp").drop("ms")
@@ -177,6 +183,12 @@ def _(spark, sf_dir):
     return rounded(dense, "horizontal_density")
 
 
+@query("den_3_horizontal_density_sliced")
+def _(spark, sf_dir):
+    dense = density.horizontal_density(chords(spark, sf_dir), slice_ms=64).drop("ms", "timestamp")
+    return rounded(dense, "horizontal_density")
+
+
 @query("den_3_horizontal_density_by_pairs")
 def _(spark, sf_dir):
     return rounded(density.horizontal_density_by_pairs(lane_rows(spark, sf_dir)), "horizontal_density")
@@ -202,6 +214,12 @@ def _(spark, sf_dir):
     return rounded(dense, "horizontal_density")
 
 
+@query("den_note_densities_sliced")
+def _(spark, sf_dir):
+    dense = density.note_densities(stored_chords(spark, sf_dir), widths=(64, 256)).drop("timestamp", "prev_timestamp", "time_delta")
+    return rounded(dense, "horizontal_density")
+
+
 @query("jn_5_band_pairs")
 def _(spark, sf_dir):
     return density.band_pairs(lane_rows(spark, sf_dir), density.JUDGE.reach).groupBy(
@@ -246,7 +264,28 @@ def _(spark, sf_dir):
 @query("agg_4_percentile")
 def _(spark, sf_dir):
     counts = derived.counted_songlist(spark, sf_dir)
-    return counts.agg(F.percentile("note_count", F.lit(0.95)).alias("p95"))
+    return spark.range(1).select(F.lit(chart.exact_percentile(counts, "note_count", 0.95)).alias("p95"))
+
+
+@query("agg_4_percentile_of_many_values")
+def _(spark, sf_dir):
+    """A column of mostly different doubles, of which no task sorts more than a thousand."""
+    prices = derived.table(spark, sf_dir, "lineitem")
+    found = [(s, chart.exact_percentile(prices, "l_extendedprice", s, most=1000)) for s in (0.05, 0.5, 0.95)]
+    return rounded(spark.createDataFrame(found, "share double, value double"), "value")
+
+
+@query("cht_1_percentile_after_changes")
+def _(spark, sf_dir):
+    """p95 of the note counts after a run, from the counts before it and the changed songs alone."""
+    old, new = snapshots(spark, sf_dir)
+    updated = cdc.updated_keys(old, new, "id", "swf_version").select("id")
+    gone = cdc.deleted_keys(old, new, "id").unionByName(updated)
+    come = cdc.new_keys(old, new, "id").unionByName(updated)
+    stored = saved(chart.value_counts(old, "note_count"), "note-counts")
+    counts = [chart.value_counts(cdc.scope(songs.withColumn("id", F.col("id").cast("bigint")), keys, "id"), "note_count") for songs, keys in ((old, gone), (new, come))]
+    after = saved(chart.merged_counts(stored, *counts), "note-counts")
+    return chart.percentile_of_counts(after, 0.95).withColumn("songs", after.agg(F.sum("n").alias("n")).scalar())
 
 
 @query("dq_10_length_check")
@@ -451,6 +490,41 @@ def _(spark, sf_dir):
     ).select("source_sheet", "sheet_row", F.col("change_date").cast("string").alias("change_date"))
 
 
+@query("rel_2_forward_fill_sliced")
+def _(spark, sf_dir):
+    sheets = stored_contested(spark, sf_dir).withColumn("_date", reliability.clean_date("date"))
+    return forward_fill(sheets, ["source_sheet"], "sheet_row", "_date", (1000, 8000), "change_date").select(
+        "source_sheet", "sheet_row", F.col("change_date").cast("string").alias("change_date")
+    )
+
+
+def year_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose position, the year, takes a handful of values."""
+    return derived.table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.year("l_shipdate").alias("year"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
+    )
+
+
+YEAR_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+@query("win_3_row_numbers_sliced")
+def _(spark, sf_dir):
+    """Numbers within a flag by year, a thousand rows a slice."""
+    numbered = row_numbers(year_rows(spark, sf_dir), ["l_returnflag"], "year", tiebreak=YEAR_ORDER, name="nth", rows_per_task=1000)
+    return numbered.drop("l_extendedprice")
+
+
+@query("win_3_slice_sizes")
+def _(spark, sf_dir):
+    """Whether a flag is cut as finely as its rows ask for: no slice above twice the wanted rows."""
+    cut = cut_large_keys(year_rows(spark, sf_dir), ["l_returnflag"], "year", 1000, YEAR_ORDER)
+    slices = cut.groupBy("l_returnflag", "_slice0").agg(F.count(F.lit(1)).alias("n"))
+    return slices.groupBy("l_returnflag").agg(
+        F.sum("n").alias("rows"), (F.max("n") <= 2000).alias("bounded"), (F.count(F.lit(1)) >= F.sum("n") / 2000).alias("fine"),
+    )
+
+
 @query("rel_4_parse_disputes")
 def _(spark, sf_dir):
     return reliability.parse_disputes(stored_contested(spark, sf_dir)).select(
@@ -656,8 +730,26 @@ def _(spark, sf_dir):
     return landed.read_songlist(spark, path, multiline=False).select(*SONG, "note_count")
 
 
-def write_arrays(df: DataFrame, path: str, files: int = 4) -> None:
-    """JSON array files, each with a share of the rows."""
+RANGE_BYTES = 16_384
+
+
+@contextmanager
+def small_ranges(spark: SparkSession, size: int = RANGE_BYTES) -> Iterator[None]:
+    """Files are read in ranges of ``size`` bytes, so that small ones too have borders inside records."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for name, value in zip(names, (size, size), strict=True):
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+
+
+def write_arrays(df: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
+    """JSON array files of about ``rows_per_file`` rows each."""
+    files = max(1, -(-df.count() // rows_per_file))
     rows = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(files)).alias("file"), F.to_json(F.struct(*df.columns)).alias("row"))
     arrays = rows.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]")).alias("line"))
     arrays.write.partitionBy("file").text(path)
@@ -667,7 +759,8 @@ def write_arrays(df: DataFrame, path: str, files: int = 4) -> None:
 def _(spark, sf_dir):
     path = scratch_path(spark, "songlist-array")
     write_arrays(derived.songlist(spark, sf_dir), path)
-    return landed.read_songlist(spark, path).select(*SONG, "note_count")
+    with small_ranges(spark):
+        return saved(landed.read_songlist(spark, path).select(*SONG, "note_count"), "songlist")
 
 
 @query("src_3_playlist_json_array")
@@ -675,7 +768,8 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "playlist-array")
     raw = derived.raw_playlist(spark, sf_dir)
     write_arrays(raw, path)
-    return landed.read_playlist(spark, path).select(*raw.columns)
+    with small_ranges(spark):
+        return saved(landed.read_playlist(spark, path).select(*raw.columns), "playlist")
 
 
 @query("src_2_charts_json")
@@ -709,7 +803,7 @@ def _(spark, sf_dir):
 
 def write_sheets(contested: DataFrame, path: str) -> None:
     """Exports as ``<title>.csv`` folders: empty row, header row, then the rows in order."""
-    cell = lambda c: F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"'))
+    cell = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
     line = F.concat_ws(",", cell("song_name"), F.lit(""), cell("old_diff"), cell("new_diff"), cell("date"))
     rows = contested.select("source_sheet", "sheet_row", line.alias("line"))
     head = rows.groupBy("source_sheet").agg(F.min("sheet_row").alias("first"))
@@ -733,6 +827,16 @@ def _(spark, sf_dir):
     return landed.read_sheets(spark, path, multiline=False).drop("ingestion_timestamp")
 
 
+@query("src_4_read_sheets_multiline")
+def _(spark, sf_dir):
+    """Cells with line breaks, empty lines, commas and quotes, in ranges that begin anywhere."""
+    path = scratch_path(spark, "sheets")
+    odd = F.when(F.col("sheet_row") % 3 == 0, F.concat("song_name", F.lit('\n\n"live", '), F.col("old_diff"), F.lit('"\n'))).otherwise(F.col("song_name"))
+    write_sheets(derived.contested(spark, sf_dir).withColumn("song_name", odd), path)
+    with small_ranges(spark):
+        return saved(landed.read_sheets(spark, path).drop("ingestion_timestamp"), "sheets")
+
+
 @query("set_2_union_by_name")
 def _(spark, sf_dir):
     old, new = snapshots(spark, sf_dir)
