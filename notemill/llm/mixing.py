@@ -75,17 +75,15 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) of every row.
+def _placed(docs: DataFrame, weights: tuple[int, ...], share: float, most: float, seed: str, *carry: Column) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, *carry) of every row.
 
-    ``copies`` is how often the mix takes the document. NULL texts have size 0,
-    a NULL source is a source of its own, empty documents are counted like any
-    other. Repeated rows are rows of their own: they take different places, so
-    their copies may differ, but as a group they are the same in each run. An
-    empty table gives an empty table.
+    Sizes are counted on a copy without texts; then each row moves once, to its
+    (source, size, lot), with what it carries along.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), size_in_words().alias("size"))
-    sized = saved(rows.withColumns({"lot": lot(), "key": source_key("source")}), "mix-sizes")
+    keys = {"doc_id": F.col("doc_id").cast("bigint"), "source": F.col("source").cast("string"), "size": size_in_words(), "lot": lot(), "key": source_key("source")}
+    named = lambda *some: [keys[c].alias(c) for c in some]
+    sized = saved(docs.select(*named(*keys)), "mix-sizes")
     by_lot = sized.groupBy("key", "size", "lot").agg(F.count(F.lit(1)).alias("n"))
     before = lambda group, order: F.sum("n").over(Window.partitionBy(*group).orderBy(order)) - F.col("n")
     before_size = by_lot.groupBy("key", "size").agg(F.sum("n").alias("n")).select("key", "size", before(["key"], "size").alias("smaller"))
@@ -93,42 +91,41 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
         by_lot.select("key", "size", "lot", before(["key", "size"], "lot").alias("same")).join(before_size, ["key", "size"])
         .select("key", "size", "lot", (F.col("same") + F.col("smaller")).alias("start"))
     )
+    rows, order = sized.drop("source"), ["doc_id"]
+    if carry:
+        rows, order = docs.select(*named("doc_id", "size", "lot", "key"), F.xxhash64("text").alias("hash"), *carry), ["doc_id", "hash"]
     # Rows move once: the join and the window share the distribution by lot.
-    within = F.row_number().over(Window.partitionBy("key", "size", "lot").orderBy("doc_id")) - 1
-    placed = sized.join(starts, ["key", "size", "lot"]).select("doc_id", "key", "size", (F.col("start") + within).alias("place"))
+    within = F.row_number().over(Window.partitionBy("key", "size", "lot").orderBy(*order)) - 1
+    placed = rows.join(starts, ["key", "size", "lot"]).withColumn("place", F.col("start") + within)
     per_doc = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     known = source_targets(sized, weights, share, most).select(
         source_key("source").alias("key"), "source", "source_size", "target", per_doc.alias("each"), offset("source", seed).alias("shift")
     )
     crossed = F.floor((F.col("place") + 1) * F.col("each") + F.col("shift")) - F.floor(F.col("place") * F.col("each") + F.col("shift"))
-    return placed.join(known, "key").select("doc_id", "source", "size", "source_size", "target", crossed.cast("bigint").alias("copies"))
+    return placed.join(known, "key").withColumn("copies", crossed.cast("bigint"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = SEED) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) of every row.
+
+    ``copies`` is how often the mix takes the document. NULL texts have size 0,
+    a NULL source is a source of its own, empty documents are counted like any
+    other. Repeated rows are rows of their own: they take different places, so
+    their copies may differ, but as a group they are the same in each run. An
+    empty table gives an empty table.
+    """
+    return _placed(docs, weights, share, most, seed).select("doc_id", "source", "size", "source_size", "target", "copies")
 
 
-def taken_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixed`` takes it.
+def taken_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = SEED) -> DataFrame:
+    """The rows of ``docs``, each as often as :func:`mix` takes it: every row by its own copies, whatever its id.
 
-    Rows are matched by (doc_id, source, size), NULLs with each other. The mix
-    can't tell rows equal in all three apart: together they are taken as often
-    as ``mixed`` takes them together, and dealt out evenly in order of text hash,
-    which gives the same copies per row as the mix, for one or the other of them.
+    Texts move once. Rows equal in all columns can't be told apart; together they
+    come as often as the mix takes them together.
     """
-    key = ("_mix_id", "_mix_source", "_mix_size")
-    wanted = saved(
-        mixed.groupBy(*[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "size"), key, strict=True)])
-        .agg(F.count(F.lit(1)).alias("_mix_rows"), F.sum("copies").alias("_mix_copies")).filter("_mix_copies > 0"), "mix-wanted",
-    )
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("id"), F.col("source").cast("string").alias("source"), size_in_words().alias("size"),
-        F.xxhash64("text").alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-    )
-    met = lambda some: rows.join(some, rows["id"].eqNullSafe(some[key[0]]) & rows["source"].eqNullSafe(some[key[1]]) & (rows["size"] == some[key[2]]))
-    # Only rows that share their key are numbered; the others do not move for it.
-    alone = met(wanted.filter("_mix_rows = 1")).select("row", F.col("_mix_copies").alias("copies"))
-    turn = F.row_number().over(Window.partitionBy(*key).orderBy("hash"))
-    before = lambda n: F.floor(n * F.col("_mix_copies") / F.col("_mix_rows"))
-    shared = met(wanted.filter("_mix_rows > 1")).withColumn("turn", turn).select("row", (before(F.col("turn")) - before(F.col("turn") - 1)).alias("copies"))
-    every = alone.unionByName(shared)
-    return every.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_mix_row")
+    taken = _placed(docs, weights, share, most, seed, row).filter("copies > 0")
+    return taken.select("_mix_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("_mix_row.*")
 
 
 #: The same mix in DuckDB.

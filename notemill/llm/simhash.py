@@ -291,17 +291,21 @@ def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4, sample: in
     one stays. Exactly one row of a group is left.
     """
     keyed = docs.select("doc_id", "text", _document_key(docs["doc_id"], docs["text"]).alias("key"))
-    printed = fingerprints(keyed, words, "key string, hash bigint", F.col("key"), F.xxhash64("text"))
+    printed = saved(fingerprints(keyed, words, "key string, hash bigint", F.col("key"), F.xxhash64("text")), "simhash-fp")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash", "key")
     distinct = saved(printed.groupBy("fp").agg(F.min(order).alias("least")), "simhash-least")
     least = rooted(distinct, distance, sample).groupBy("root").agg(F.min("least").alias("least"))
-    kept = saved(least.select(F.col("least.key").alias("_kept_key")), "simhash-kept")
+    kept = saved(least.select(F.col("least.key").alias("key")), "simhash-kept")
+    # All is settled on keys, without texts: rows that go, and the few kept keys that several equal rows have.
+    times = printed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    told = saved(times.join(kept.withColumn("stays", F.lit(True)), "key", "left"), "simhash-keys")
+    others = told.filter("stays IS NULL OR n > 1").select(F.col("key").alias("_kept_key"))
+    repeated = told.filter("stays AND n > 1").select(F.col("key").alias("_kept_key"))
+    rows = docs.select(_document_key(docs["doc_id"], docs["text"]).alias("_kept_key"), F.struct(*[docs[c] for c in docs.columns]).alias("_kept_row"))
+    single = rows.join(others, "_kept_key", "left_anti").select("_kept_row.*")
     # Equal rows become one inside each task first, so no key brings many rows to one task.
-    rows = (
-        docs.select(_document_key(docs["doc_id"], docs["text"]).alias("_kept_key"), F.struct(*[docs[c] for c in docs.columns]).alias("_kept_row"))
-        .groupBy("_kept_key").agg(F.first("_kept_row").alias("_kept_row"))
-    )
-    return rows.join(kept, "_kept_key", "left_semi").select("_kept_row.*")
+    one = rows.join(repeated, "_kept_key", "left_semi").groupBy("_kept_key").agg(F.first("_kept_row").alias("_kept_row")).select("_kept_row.*")
+    return single.unionAll(one)
 
 
 def hex_digits(column: str = "fp"):

@@ -102,7 +102,7 @@ def test_mix_takes_near_target_and_repeats(spark):
     for r in mixed.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("t"), F.first("target").alias("w"), F.max("size").alias("m")).collect():
         assert abs(r.t - r.w) <= 2 * r.m
     assert mixed.filter("copies > 2 OR copies < 0").count() == 0
-    taken = mixing.taken_documents(docs, mixed)
+    taken = mixing.taken_documents(docs)
     assert taken.columns == docs.columns and taken.count() == mixed.agg(F.sum("copies")).first()[0]
 
 
@@ -111,7 +111,7 @@ def test_mix_takes_rows_of_null_and_repeated_ids_by_their_own_copies(spark):
     rows += [(None, "one two three", "en", "a")] * 9 + [(3, "one two three", "en", "b")] * 5
     docs = spark.createDataFrame(rows, SCHEMA)
     mixed = mixing.mix(docs)
-    taken = mixing.taken_documents(docs, mixed)
+    taken = mixing.taken_documents(docs)
     assert taken.columns == docs.columns
     words = taken.select("doc_id", "source", mixing.size_in_words().alias("size"))
     got = {tuple(r)[:3]: r.n for r in words.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -127,7 +127,7 @@ def test_mix_table_cases(spark):
     assert sorted(tuple(r) for r in got.select(*columns).collect()) == sorted(want)
     mixed = mixing.mix(docs)
     assert mixed.count() == len(ODD)
-    assert mixing.taken_documents(docs, mixed).columns == docs.columns
+    assert mixing.taken_documents(docs).columns == docs.columns
     assert mixing.mix(docs.limit(0)).collect() == []
     none = spark.createDataFrame([(1, None, None, "a"), (2, "", None, None)], SCHEMA)
     assert {r.copies for r in mixing.mix(none).collect()} == {0}
