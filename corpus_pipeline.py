@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from notemill.llm import bpe, mixing, simhash, suffix, toxicity
-from notemill.session import saved
+from notemill.session import drop_scratch, saved_alone
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: up to twice, or not at all."""
-    return mixing.taken_documents(docs, mixing.mix(docs))
+    return mixing.taken_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; what each returns is written as Parquet and read again."""
+    """The stages over ``documents``; what each returns is written as Parquet and read again.
+
+    Once a stage's rows are written, its input and the copies it made go.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = saved_alone(spark, lambda docs=docs, stage=stage: stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            drop_scratch(spark, before)
+        before = path
     return docs

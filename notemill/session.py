@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,11 +60,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one scratch path, once nothing reads it any more."""
+    _scratch.remove(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch paths of this process, once nothing reads them any more."""
     while _scratch:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        drop_scratch(spark, _scratch[-1])
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -76,3 +83,13 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def saved_alone(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> tuple[DataFrame, str]:
+    """(rows, path): what ``build`` returns, written once; the copies made on the way to it are deleted."""
+    first = len(_scratch)
+    out = saved(build(), label)
+    path = _scratch[-1]
+    for other in _scratch[first:-1]:
+        drop_scratch(spark, other)
+    return out, path
