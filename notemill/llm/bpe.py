@@ -264,4 +264,4 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         }
 
     source = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].alias(text_col))
-    return map_batches(source, run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_batches(source, run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", rows=1024)

@@ -64,11 +64,18 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     return wrapped
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """``function`` over each Arrow batch; it returns columns by name, in the order of ``schema``."""
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a worker holds fewer texts as Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str, rows: int | None = None) -> DataFrame:
+    """``function`` over each Arrow batch, or over slices of ``rows``; it returns columns by name, in the order of ``schema``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, rows) if rows else batches:
             if batch.num_rows and (out := function(batch)) is not None:
                 yield pa.RecordBatch.from_pydict(out)
 

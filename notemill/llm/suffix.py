@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notemill.llm.common import map_batches, real_id, released, row_key
+from notemill.llm.common import map_batches, real_id, released, row_key, sliced
 from notemill.session import saved
 
 SPAN = 100
@@ -390,7 +390,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     names, place = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts, spans = batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             cut = [
                 t if not s else _cut(t.encode(), [x["start"] for x in s], [x["stop"] for x in s])[0].decode("utf-8", "ignore")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notemill.llm.common import map_batches, released, texts_of
+from notemill.llm.common import map_batches, released, sliced, texts_of
 from notemill.session import saved
 
 WORD = re.compile(r"\w+")
@@ -277,7 +277,7 @@ def clean_documents(docs: DataFrame, model: Model, threshold: float = 0.3) -> Da
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [model.segments(t or "", cache) for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([model.probability(model.evidence(*f)) < threshold for f in found], pa.bool_()))
 
