@@ -30,14 +30,11 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 NEVER = 1 << 60
 START = 1 << 23  # stands before the first byte; above every token id
-# What a worker keeps at most: encodings of parts (twice) and of words, and pairs of tokens. About 120 MB.
-KEPT_PARTS = 100_000
-KEPT_WORDS = 100_000
+# What a worker keeps at most: encoded words (twice), and pairs of tokens. About 120 MB.
+KEPT_WORDS = 150_000
 KEPT_PAIRS = 400_000
-
-# A place where no word of PATTERN can lie across: it ends in no space and goes on with one space.
-SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
-ODD_SPACE = re.compile(r" \s|\s ")
+LONG_WORD = 64      # words from this length on are not kept
+WORDS_AT_ONCE = 20_000
 
 
 def byte_letters() -> list[str]:
@@ -84,16 +81,14 @@ class Coder:
                 self.right_edge[i] = ([*ends, i], [*when[:-1], at, NEVER])
                 ends, when = self.left_edge[left]
                 self.left_edge[i] = ([*ends, i], [*when[:-1], at, NEVER])
-            matcher.add_word(token, (i, len(token)))
+            matcher.add_word(self.piece[i].decode("latin-1"), (i, len(token)))
             self.size[i] = len(token)
         matcher.make_automaton()
         self.matcher = matcher
         self.words = regex.compile(PATTERN)
         self.cut_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.table = {b: letter for b, letter in enumerate(self.letters)}
-        self.known: dict[str, tuple[str, int, bytes]] = {}
-        self.older: dict[str, tuple[str, int, bytes]] = {}
-        self.known_words: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[bytes, int, bytes]] = {}
+        self.older: dict[str, tuple[bytes, int, bytes]] = {}
 
     def _first_crossing(self, left: int, right: int) -> tuple[int, int] | None:
         """The first pair of tokens that merges across the border, or None.
@@ -129,7 +124,7 @@ class Coder:
 
     def word_ids(self, word: str) -> list[int]:
         """Ids of one word of the pattern."""
-        mapped = word.encode("utf-8", "replace").decode("latin-1").translate(self.table)
+        mapped = word.encode("utf-8", "replace").decode("latin-1")  # a letter for each byte
         last = [-1] * len(mapped)
         last.append(START)  # where index -1 looks: before the first byte
         good, bad = self.good, self.bad
@@ -149,55 +144,40 @@ class Coder:
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.piece.__getitem__, ids)).decode("utf-8", "replace")
 
-    def _piece(self, part: str) -> tuple[str, int, bytes]:
-        """Decimal ids, their number and the decoded bytes of a part of a text between safe cuts."""
-        out = self.older.get(part)
-        if out is None:
-            out = self._encoded(part)
-        if len(part) < 64:
-            if len(self.known) >= KEPT_PARTS:  # what is still in use moves on from the older half
-                self.known, self.older = {}, self.known
-            self.known[part] = out
-        return out
+    def _coded_word(self, word: str) -> tuple[bytes, int, bytes]:
+        """Decimal ids, their number and the decoded bytes of a word of the pattern."""
+        ids = self.word_ids(word)
+        return ",".join(map(str, ids)).encode(), len(ids), b"".join(map(self.piece.__getitem__, ids))
 
-    def _encoded(self, part: str) -> tuple[str, int, bytes]:
-        ids = []
-        for word in self.words.findall(part):
-            own = self.known_words.get(word)
-            if own is None:
-                own = self.word_ids(word)
-                if len(word) < 64:
-                    if len(self.known_words) >= KEPT_WORDS:
-                        self.known_words.clear()
-                    self.known_words[word] = own
-            ids += own
-        return ",".join(map(str, ids)), len(ids), b"".join(map(self.piece.__getitem__, ids))
-
-    @staticmethod
-    def parts(text: str) -> list[str]:
-        """``text`` cut where no word lies across."""
-        if ODD_SPACE.search(text):
-            return SAFE_CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + r for r in rest]]
-
-    def coded(self, text: str) -> list[tuple[str, int, bytes]]:
-        """(decimal ids, number, decoded bytes) of the parts of a text; special tokens are cut out first."""
+    def coded(self, text: str) -> list[tuple[bytes, int, bytes]]:
+        """(decimal ids, number, decoded bytes) of the words of a text; special tokens are cut out first."""
         if self.cut_special and (found := list(self.cut_special.finditer(text))):
             out, at = [], 0
             for m in found:
                 token = self.special[m.group()]
-                out += [*self.coded_plain(text[at:m.start()]), (str(token), 1, self.piece[token])]
+                out += [*self.coded_plain(text[at:m.start()]), (b"%d" % token, 1, self.piece[token])]
                 at = m.end()
             return out + self.coded_plain(text[at:])
         return self.coded_plain(text)
 
-    def coded_plain(self, text: str) -> list[tuple[str, int, bytes]]:
-        piece = self._piece
-        return [self.known.get(p) or piece(p) for p in self.parts(text) if p]
+    def coded_plain(self, text: str) -> list[tuple[bytes, int, bytes]]:
+        out, words = [], self.words.findall(text)
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at:at + WORDS_AT_ONCE]
+            if len(self.known) >= KEPT_WORDS:  # what is still in use moves on from the older half
+                self.known, self.older = {}, self.known
+            known, older, long = self.known, self.older, []
+            for word in set(some).difference(known):
+                known[word] = older.get(word) or self._coded_word(word)
+                if len(word) >= LONG_WORD:
+                    long.append(word)
+            out += map(known.__getitem__, some)
+            for word in long:
+                del known[word]
+        return out
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, n, _ in self.coded(text) if n for i in ids.split(",")]
+        return [int(i) for ids, _, _ in self.coded(text) for i in ids.split(b",")]
 
 
 @lru_cache(maxsize=2)
@@ -253,10 +233,10 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         own = coder(spec)
         counts, ids_hash, text_hash = [], [], []
         for text in texts_of(batch, text_col):
-            parts = own.coded(text)
-            counts.append(sum(p[1] for p in parts))
-            ids_hash.append(hashlib.sha256(",".join([p[0] for p in parts if p[1]]).encode()).hexdigest())
-            whole = b"".join([p[2] for p in parts]).decode("utf-8", "replace")
+            ids, sizes, pieces = zip(*own.coded(text), strict=True) if text else ((), (), ())
+            counts.append(sum(sizes))
+            ids_hash.append(hashlib.sha256(b",".join(ids)).hexdigest())
+            whole = b"".join(pieces).decode("utf-8", "replace")
             text_hash.append(hashlib.sha256(whole.encode()).hexdigest())
         return {
             "doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": ids_hash,
