@@ -2,13 +2,15 @@
 
 1. Token units (a word and its prefixes, so that inflected forms share
    evidence) get log-odds between toxic and clean labelled documents under an
-   informative Dirichlet prior; units that are not significant count as neutral.
+   informative Dirichlet prior; units that are not significant (``MIN_Z``), or
+   whose log-odds stay below ``MIN_SCORE``, count as neutral.
 2. A text becomes a sequence of scores: the log-odds of toxic words, minus a
-   small drift for every other word. One linear scan (Ruzzo and Tompa) finds
-   all maximal-scoring segments: the toxic passages.
+   drift for every other word, ``DRIFT`` and twice what words of clean text gain
+   by chance, so that clean text always loses. One linear scan (Ruzzo and Tompa)
+   finds all maximal-scoring segments: the toxic passages.
 3. Segment scores are calibrated by the extreme-value law of such maxima:
    in ``n`` words of clean text, ``E = n K exp(-lambda S)`` segments of score ``S``
-   or more are expected, with ``lambda`` from the clean score distribution. A
+   or more are expected, with ``lambda`` from the scores of all words of clean training texts. A
    document adds up ``-ln E`` over its significant segments; a one-variable
    logistic fit turns the sum into a probability.
 
@@ -40,8 +42,9 @@ SAMPLE = 20_000       # labelled documents the classifier is fitted on, at most
 MIN_TOXIC_SHARE = 1 / 500  # a unit in fewer toxic documents is not looked at: bounds the vocabulary
 MIN_TOXIC_DOCS = 3
 MIN_Z = 3.0
+MIN_SCORE = 1.0       # log-odds below which a unit counts as neutral, however significant: e to one
 PRIOR_DOCS = 10.0       # weight of the prior, in documents
-DRIFT = 0.1           # cost of a neutral word inside a passage
+DRIFT = 0.1           # least cost of a neutral word inside a passage
 KEPT_WORDS = 100_000  # cached word scores in a worker
 
 
@@ -147,10 +150,28 @@ def _unit_counts(train: DataFrame) -> DataFrame:
     return counted.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _rate(scores: list[tuple[float, float]], drift: float) -> float:
-    """The positive root of ``sum p exp(x s) = 1`` over (p, s) of clean words, neutral ones at ``-drift``."""
-    rest = 1 - sum(p for p, _ in scores)
-    value = lambda x: sum(p * math.exp(min(600.0, x * s)) for p, s in scores) + rest * math.exp(-x * drift) - 1
+def _clean_scores(train: DataFrame, model: Model) -> dict[float, int]:
+    """How many words of the clean training texts have which score (to two digits); 0 stands for neutral words."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        seen, cache = Counter(), {}
+        for text in texts_of(batch, "text"):
+            for word, n in Counter(WORD.findall(text.lower())).items():
+                if len(cache) > KEPT_WORDS:
+                    cache.clear()
+                if word not in cache:
+                    cache[word] = round(model.word_score(word), 2)
+                seen[cache[word]] += n
+        return {"score": pa.array(seen.keys(), pa.float64()), "words": pa.array(seen.values(), pa.int64())}
+
+    counted = map_batches(train.filter("toxic = 0").select("text"), run, "score double, words bigint")
+    return {r[0]: r[1] for r in counted.groupBy("score").agg(F.sum("words")).collect()}
+
+
+def _rate(scores: dict[float, int], drift: float) -> float:
+    """The positive root of ``sum p exp(x s) = 1`` over scores of clean words and their counts, neutral ones at ``-drift``."""
+    total = max(1, sum(scores.values()))
+    value = lambda x: sum(n / total * math.exp(min(600.0, x * (s or -drift))) for s, n in scores.items()) - 1
     low, high = 1e-6, 1.0
     while value(high) < 0 and high < 64:
         high *= 2
@@ -193,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE
 
     The driver gets units found in at least ``MIN_TOXIC_SHARE`` of the toxic
     training documents, so at most 500 times the distinct units of a document,
-    and one number pair per training document. With no toxic or no clean
+    a count for each score of two digits, and the segment scores of the training
+    documents (at most ``sample`` of them). With no toxic or no clean
     document the model finds nothing and scores every text alike.
     """
     train = saved(training_rows(docs, labels, usable, sample), "toxic-train")
@@ -204,16 +226,19 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE
     least = max(MIN_TOXIC_DOCS, math.ceil(n1 * MIN_TOXIC_SHARE))
     counted = _unit_counts(train).filter(F.col("toxic") >= least).collect()
     model = Model()
-    clean = {}
     for unit, y1, y0 in counted:
         # The prior spreads PRIOR_DOCS documents as the pooled frequency of the unit does.
         prior = PRIOR_DOCS * (y1 + y0) / (n1 + n0)
         odds = [math.log((y + prior) / (max(n + PRIOR_DOCS - y - prior, 0.5))) for y, n in ((y1, n1), (y0, n0))]
         z = (odds[0] - odds[1]) / math.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
-        if z >= MIN_Z:
-            model.scores[unit] = math.log((y1 + 0.5) / (n1 + 1)) - math.log((y0 + 0.5) / (n0 + 1))
-            clean[unit] = (y0 + 0.5) / (n0 + 1)
-    model.scores = {u: s for u, s in model.scores.items() if s > 1.0}
+        if z >= MIN_Z and odds[0] - odds[1] >= MIN_SCORE:
+            model.scores[unit] = odds[0] - odds[1]
+    # Clean text must lose score on average, or its maxima have no extreme-value law: neutral words
+    # cost twice what all words of clean text gain by chance, and ``DRIFT`` more.
+    calm_words = _clean_scores(train, model)
+    words = max(1, sum(calm_words.values()))
+    gained = sum(s * n for s, n in calm_words.items())
+    model.drift = DRIFT + 2 * gained / max(1, calm_words.get(0.0, 0))
 
     def profile(batch: pa.RecordBatch) -> dict:
         cache: dict[str, float] = {}
@@ -225,9 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE
         }
 
     rows = map_batches(train.select("text", "toxic"), profile, "toxic int, words bigint, top double, scores array<double>").collect()
-    words = max(1, sum(r["words"] for r in rows if not r["toxic"]))
-    per_word = n0 / words
-    model.rate = _rate([(clean[u] * per_word, s) for u, s in model.scores.items()], model.drift) if model.scores else 1.0
+    model.rate = _rate(calm_words, model.drift) if model.scores else 1.0
     # K so that over the clean training texts as many segments reach their median score as the law expects.
     calm = sorted(s for r in rows if not r["toxic"] for s in r["scores"])
     middle = calm[len(calm) // 2] if calm else 0.0

@@ -216,7 +216,7 @@ def test_segments_are_maximal():
 
     r = random.Random(1)
     for _ in range(300):
-        scores = [r.choice([-1.0, -1.0, -1.0, 1.5, 3.0]) for _ in range(r.randint(0, 14))]
+        scores = [r.choice([-1.0, -1.0, -1.0, r.uniform(0.5, 3), r.uniform(0.5, 3)]) for _ in range(r.randint(0, 14))]  # no ties
 
         def split(low, high):
             spans = [(sum(scores[a:b]), -(b - a), a, b) for a in range(low, high) for b in range(a + 1, high + 1)]
@@ -226,7 +226,7 @@ def test_segments_are_maximal():
             return [*split(low, a), (a, b), *split(b, high)]
 
         got = toxicity.maximal_segments([(i, s) for i, s in enumerate(scores) if s > 0], 1.0)
-        assert math.isclose(sum(s.score for s in got), sum(sum(scores[a:b]) for a, b in split(0, len(scores))), abs_tol=1e-9)
+        assert [(s.start, s.end) for s in got] == split(0, len(scores))
         assert all(math.isclose(s.score, sum(scores[s.start:s.end])) for s in got)
 
 
@@ -257,6 +257,35 @@ def test_toxicity(spark):
     assert len({r.score for r in toxicity.score(docs, silent).collect()}) == 1
 
 
+def test_toxic_scores_equal_brute_force(spark):
+    import random
+
+    r = random.Random(5)
+    rows, marks = [], []
+    for i in range(240):
+        toxic = int(i % 5 == 0)
+        words = r.choices([f"calm{j}" for j in range(40)], k=30) + (r.choices(["vilely", "vileness", "nasty"], k=4) if toxic or i % 37 == 0 else [])
+        rows.append((i, " ".join(words), "en", "s"))
+        marks.append((i, toxic))
+    docs, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    sets = [set().union(*[toxicity.units(w) for w in row[1].split()]) for row in rows]
+    n = [sum(t == c for _, t in marks) for c in (0, 1)]
+    want = {}
+    for unit in set().union(*sets):
+        y = [sum(unit in s and t == c for s, (_, t) in zip(sets, marks, strict=True)) for c in (0, 1)]
+        a = 10 * sum(y) / sum(n)
+        odds = [math.log((y[c] + a) / max(n[c] + 10 - y[c] - a, 0.5)) for c in (0, 1)]
+        gap = odds[1] - odds[0]
+        if y[1] >= 3 and gap >= 1 and gap / math.sqrt(1 / (y[0] + a) + 1 / (y[1] + a)) >= 3:
+            want[unit] = gap
+    assert want and model.scores.keys() == want.keys() and all(math.isclose(model.scores[u], s) for u, s in want.items())
+    # Clean text loses on average, and the extreme-value rate solves its equation.
+    calm = [max([want.get(u, 0) for u in toxicity.units(w)]) for row, (_, t) in zip(rows, marks, strict=True) if not t for w in row[1].split()]
+    assert math.isclose(model.drift, 0.1 + 2 * sum(calm) / calm.count(0), rel_tol=0.01) and sum(s or -model.drift for s in calm) < 0
+    assert math.isclose(sum(math.exp(model.rate * (s or -model.drift)) for s in calm) / len(calm), 1, rel_tol=0.02)
+
+
 def test_search_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(bm25, "SHARD_DOCS", 50)
     monkeypatch.setattr(bm25, "QUERY_BLOCK", 20)
