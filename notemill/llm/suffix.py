@@ -43,10 +43,10 @@ SPAN = 100
 BASE = 32                    # bytes of an anchor's name
 REACH = SPAN - BASE          # how far a string around an anchor starts before it
 GROUP = 1 << 18              # bytes worked on at a time
-PIECE = 1 << 22              # longer texts are worked on in pieces that overlap
+PIECE = 1 << 19              # longer texts are worked on in pieces that overlap
 MARGIN = 2 * SPAN
 STEP = 12                    # strings that start this close go through the second round together
-FLUSH = 600_000              # rows a task holds before it settles its own repeats
+FLUSH = 300_000              # rows a task holds before it settles its own repeats
 
 _MIX = np.random.default_rng(20240229)
 _TABLES = _MIX.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
@@ -105,6 +105,11 @@ def _surroundings(at: np.ndarray, low: np.ndarray, high: np.ndarray, wide: np.nd
     return _mixed(out, (left * 256 + right).astype(np.uint64), 6, 1)
 
 
+def _bytes_of(texts: pa.Array) -> list[bytes]:
+    """UTF-8 of a column without NULLs, not decoded on the way."""
+    return texts.cast(pa.binary()).to_pylist()
+
+
 def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, int, int, bytes]]]:
     """Groups of (text number, offset of the piece, first and end of what counts, bytes); texts too short for a match are left out."""
     group, size = [], 0
@@ -202,7 +207,7 @@ def _rows_of_tasks(docs: DataFrame, read) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, found, size, docs_held = [], [], [], 0, 0
-        for batch in batches:
+        for batch in sliced(batches):
             ids.append(batch.column(0).to_numpy(zero_copy_only=False))
             hashes.append(batch.column(1).to_numpy(zero_copy_only=False))
             for number, *columns in read(batch):
@@ -267,7 +272,7 @@ def repeats(rows: DataFrame, follow: bool) -> DataFrame:
 
 def _opened(batch: pa.RecordBatch, seeds: tuple[int, ...]) -> Iterator[tuple[int, int, int, list[np.ndarray], np.ndarray, np.ndarray]]:
     """For each text (piece) with open rows: text number, its offset and length, 64-byte names by seed, starts and stops of the rows."""
-    texts = [t.encode() for t in batch.column(2).to_pylist()]
+    texts = _bytes_of(batch.column(2))
     places = [np.unique(np.array(p, np.int64)) for p in batch.column(3).to_pylist()]
     for group in _pieces(texts):
         data, starts, _ = _laid_out(group)
@@ -314,7 +319,7 @@ def covers(docs: DataFrame) -> DataFrame:
     keyed = docs.select("_id", "_turn", "_text")
 
     def first_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for number, at, name, around in anchor_rows([t.encode() for t in batch.column(2).to_pylist()]):
+        for number, at, name, around in anchor_rows(_bytes_of(batch.column(2))):
             yield number, at - REACH, at + SPAN, name, around
 
     def opened(rows: DataFrame) -> DataFrame:
@@ -350,7 +355,7 @@ def removed(docs: DataFrame) -> DataFrame:
     joined = docs.select("_id", "_turn", "_text").join(spans, ["_id", "_turn"], "left")
 
     def run(batch: pa.RecordBatch) -> dict:
-        texts = [t.encode() for t in batch.column(2).to_pylist()]
+        texts = _bytes_of(batch.column(2))
         spans = [s or [] for s in batch.column(3).to_pylist()]
         out = [_cut(t, [x["start"] for x in s], [x["stop"] for x in s]) for t, s in zip(texts, spans, strict=True)]
         return {
@@ -358,7 +363,7 @@ def removed(docs: DataFrame) -> DataFrame:
             "n_bytes": pa.array([len(t) for t in texts], pa.int64()), "n_spans": pa.array([n for _, n in out], pa.int64()),
         }
 
-    return map_batches(joined, run, "_id bigint, _turn bigint, kept binary, n_bytes bigint, n_spans bigint")
+    return map_batches(joined, run, "_id bigint, _turn bigint, kept binary, n_bytes bigint, n_spans bigint", rows=1024)
 
 
 def digests(docs: DataFrame) -> DataFrame:
