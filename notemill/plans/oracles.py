@@ -338,6 +338,10 @@ def oracles() -> dict[str, str]:
             WHERE o.name IS NULL OR o.swf_version <> n.swf_version""",
         "cdc_6_version_missing": f"""{snaps}
             SELECT id, n.swf_version AS new_swf_version FROM old_songs JOIN new_songs n USING (id)""",
+        "cdc_6_changes_by_content": f"""{snaps}
+            SELECT id, CASE WHEN o.swf_version IS NULL THEN 'new' WHEN n.swf_version IS NULL THEN 'deleted' ELSE 'updated' END AS kind
+            FROM (SELECT {song} FROM old_songs) o FULL JOIN (SELECT {song} FROM new_songs) n USING (id)
+            WHERE (o.name, o.difficulty, o.swf_version) IS DISTINCT FROM (n.name, n.difficulty, n.swf_version)""",
         "cdc_7_scope": f"""{snaps}, {NOTES}
             SELECT song_id, event_id, ms FROM raw_notes WHERE song_id IN (
               SELECT id FROM new_songs n LEFT JOIN old_songs o USING (id)
@@ -423,7 +427,15 @@ def oracles() -> dict[str, str]:
                    round(stddev_samp(new_difficulty) + 1e-11::DOUBLE, 9) AS difficulty_stddev,
                    min(new_difficulty) AS min_contested_difficulty, max(new_difficulty) AS max_contested_difficulty
             FROM silver GROUP BY 1""",
+        "rel_13_consensus_after_changes": f"""{scored}
+            SELECT song_name, round(sum(new_difficulty * reliability_weight) / sum(reliability_weight) + 1e-9::DOUBLE, 7) AS weighted_difficulty,
+                   round(avg(reliability_weight) + 1e-9::DOUBLE, 7) AS avg_reliability, round(sum(reliability_weight) + 1e-9::DOUBLE, 7) AS total_reliability,
+                   count(*) AS num_assessments, strftime(max(change_date), '%Y-%m-%d') AS latest_change,
+                   round(stddev_samp(new_difficulty) + 1e-9::DOUBLE, 7) AS difficulty_stddev,
+                   min(new_difficulty) AS min_contested_difficulty, max(new_difficulty) AS max_contested_difficulty
+            FROM silver GROUP BY 1""",
         "rel_14_difficulty_reliability": f"{levels} SELECT new_difficulty, {STATS} FROM by_level",
+        "rel_14_reliability_after_changes": f"{levels} SELECT new_difficulty, {STATS} FROM by_level",
         "rel_15_densify": f"{levels} SELECT new_difficulty, {STATS} FROM dense",
         "rel_16_reliability_scores": f"{levels} SELECT new_difficulty, {STATS} FROM smoothed",
         "rel_16_reliability_scores_even": f"""{levels.replace('3 PRECEDING', '2 PRECEDING')}

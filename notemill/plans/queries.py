@@ -12,7 +12,7 @@ from notemill.functions.scalars import (
     GENRES, decode, epoch_to_timestamp, lane_active, mmss_to_seconds, one_hot, register_combine_orientations,
     set_map_value, split_names,
 )
-from notemill.operators import audit, cdc, chart, density, gold, merge, notes, playlist, profile, reliability
+from notemill.operators import audit, cdc, chart, content, density, gold, merge, moments, notes, playlist, profile, reliability
 from notemill.operators.running import cut_large_keys, forward_fill, row_numbers
 from notemill.plans.medallion import TABLES, Medallion, database
 from notemill.session import saved, scratch_path
@@ -354,6 +354,14 @@ def _(spark, sf_dir):
     return cdc.updated_keys(old.drop("swf_version"), new, "id", "swf_version").select("id", "new_swf_version")
 
 
+@query("cdc_6_changes_by_content")
+def _(spark, sf_dir):
+    """Changes of whole song rows, told by digests; only buckets that differ are read."""
+    held, now = (content.store_digests(content.key_digests(songs, "id", buckets=256)) for songs in snapshots(spark, sf_dir))
+    differing = content.differing_buckets(content.bucket_digests(held), content.bucket_digests(now))
+    return content.content_changes(held, now, "id", differing)
+
+
 @query("cdc_7_scope")
 def _(spark, sf_dir):
     old, new = snapshots(spark, sf_dir)
@@ -568,6 +576,35 @@ def _(spark, sf_dir):
     return rounded(reliability.difficulty_reliability(silver_contested(spark, sf_dir)), *STATS, digits=8)
 
 
+def moments_after_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after the last sheet has come: only disputes of its songs are taken out and put in."""
+    sheets = stored_contested(spark, sf_dir)
+    last = sheets.agg(F.max("source_sheet").alias("m")).scalar()
+    touched = saved(sheets.filter(F.col("source_sheet") == last).select("song_name").distinct(), "touched-songs")
+    songs = silver_playlist(spark, sf_dir)
+    before, after = (
+        saved(reliability.dq_filter(reliability.reliability_weights(rows, songs, AS_OF_YEAR)), "silver-contested")
+        for rows in (sheets.filter(F.col("source_sheet") != last), sheets)
+    )
+    held = saved(moments.dispute_moments(before), "dispute-moments")
+    gone, come = (moments.dispute_moments(cdc.scope(silver, touched, "song_name")) for silver in (before, after))
+    return moments.moments_after(held, gone, come)
+
+
+@query("rel_13_consensus_after_changes")
+def _(spark, sf_dir):
+    songs = moments.consensus_of_moments(moments_after_sheet(spark, sf_dir))
+    return nudged(
+        songs.withColumn("latest_change", F.col("latest_change").cast("string")),
+        "weighted_difficulty", "avg_reliability", "total_reliability", "difficulty_stddev", digits=7,
+    )
+
+
+@query("rel_14_reliability_after_changes")
+def _(spark, sf_dir):
+    return rounded(moments.difficulty_of_moments(moments_after_sheet(spark, sf_dir)), *STATS, digits=8)
+
+
 @query("rel_15_densify")
 def _(spark, sf_dir):
     return rounded(
