@@ -20,6 +20,7 @@ from notemill.operators.running import Running, carried_into_slices, running, sl
 
 SLICE_MS = 1 << 17
 SLICE_WIDTHS = (SLICE_MS, SLICE_MS << 12)
+GUARD = 1e-9  # seconds; wider than the rounding of a difference of times below a million seconds
 
 
 @dataclass(frozen=True)
@@ -238,6 +239,53 @@ def horizontal_density_by_pairs(
     )
 
 
+def horizontal_density_in_seconds(
+    lane_rows: DataFrame, kernel: Kernel = JUDGE, time: str = "timestamp", slice_seconds: float = SLICE_MS / 1000,
+) -> DataFrame:
+    """The same density for times in seconds (doubles), without pairs.
+
+    The notes at least ``b`` before a note are a prefix of its song, so the notes
+    of a step are the difference of two prefix counts. These are running sums
+    that follow the sorted times, so the work stays linear however dense a song
+    is. Times within ``GUARD`` of a step's edge are left out of the prefix and
+    compared as differences of doubles, as explicit pairs would be.
+
+    One row per input row; repeated rows are notes of their own. Rows whose song
+    or time is NULL, or whose time is NaN, have none.
+    """
+    scaled = lambda b: round(b * 1e-3, 9)
+    edge = scaled(kernel.reach) + 2 * GUARD
+    slice_of = lambda t: F.floor(t / F.lit(slice_seconds))
+    t = F.col("_t")
+    counted = lane_rows.filter(F.col(time).isNotNull() & ~F.isnan(time)).groupBy("song_id", F.col(time).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counted.withColumn("_slice", F.explode(F.sequence(slice_of(t - edge), slice_of(t + edge))))
+
+    before = lambda b: f"{abs(b)!r}D {'PRECEDING' if b >= 0 else 'FOLLOWING'}"
+    over = lambda first, last: f"OVER (PARTITION BY song_id, _slice ORDER BY _t RANGE BETWEEN {first} AND {last})"
+    bounds = [scaled(b) for b in sorted({x for low, high, _ in kernel.bands() for x in (low, high)} | {-kernel.reach, kernel.reach})]
+    sums = {}
+    for k, b in enumerate(bounds):
+        sums[f"_sure{k}"] = F.expr(f"coalesce(sum(_n) {over('UNBOUNDED PRECEDING', before(b + GUARD))}, 0L)")
+        sums[f"_edge{k}"] = F.expr(f"collect_list(struct(_t AS t, _n AS n)) {over(before(b + GUARD), before(b - GUARD))}")
+    placed = rows.withColumns(sums).filter(F.col("_slice") == slice_of(t))
+
+    def reached(b: float, compare: str) -> Column:
+        """Notes whose difference to this one is ``compare`` than ``b``."""
+        k = bounds.index(b)
+        test = f"x.t > _t - {b + GUARD!r}D AND _t - x.t {compare} {b!r}D"
+        return F.expr(f"_sure{k} + aggregate(_edge{k}, 0L, (s, x) -> s + IF({test}, x.n, 0L))")
+
+    density = F.lit(0.0)
+    for low, high, weight in kernel.bands():
+        density = density + F.lit(float(weight)) * (reached(scaled(low), ">=") - reached(scaled(high), ">="))
+    nearby = reached(scaled(-kernel.reach), ">=") - reached(scaled(kernel.reach), ">")
+    dense = placed.select(
+        F.col("song_id").alias("_song"), "_t", density.alias("horizontal_density"), (nearby - 1).cast("int").alias("nearby_notes_count")
+    )
+    notes = lane_rows.select("song_id", "note_id", time, "orientation")
+    return notes.join(dense, (F.col("song_id") == F.col("_song")) & (F.col(time) == F.col("_t"))).drop("_song", "_t")
+
+
 def explain_density(
     lane_rows: DataFrame, song_id: int, note_id: int, orientation: str, kernel: Kernel = JUDGE,
 ) -> DataFrame:

@@ -257,6 +257,8 @@ def oracles() -> dict[str, str]:
             SELECT song_id, note_id, ms, orientation, horizontal_density, nearby_notes_count FROM horizontal""",
         "den_3_horizontal_density_seconds": f"""{lanes}, {seconds}
             SELECT song_id, note_id, orientation, horizontal_density, nearby_notes_count FROM horizontal""",
+        "den_3_horizontal_density_seconds_prefix": f"""{lanes}, {seconds}
+            SELECT song_id, note_id, orientation, horizontal_density, nearby_notes_count FROM horizontal""",
         "den_4_explain_density": f"""{lanes.replace("FROM events)", "FROM events WHERE user_id = (SELECT min(user_id) FROM events))")},
             t AS (SELECT * FROM lanes ORDER BY song_id, note_id DESC, orientation LIMIT 1)
             SELECT n.song_id, n.note_id, n.orientation, n.ms, t.ms - n.ms AS diff_ms, {WEIGHT} AS weight,

@@ -200,6 +200,13 @@ def _(spark, sf_dir):
     return rounded(dense.drop("timestamp"), "horizontal_density")
 
 
+@query("den_3_horizontal_density_seconds_prefix")
+def _(spark, sf_dir):
+    """Times in seconds by prefix counts, in slices of 64 ms, so that most songs cross edges."""
+    dense = density.horizontal_density_in_seconds(lane_rows(spark, sf_dir), slice_seconds=0.064)
+    return rounded(dense.drop("timestamp"), "horizontal_density")
+
+
 @query("den_4_explain_density")
 def _(spark, sf_dir):
     """Every neighbour of the last note of the first song."""

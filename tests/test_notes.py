@@ -192,3 +192,20 @@ def test_density_correlation(spark):
     means = density.density_by_difficulty(dense, songs, "d")
     got = density.density_correlation(means, 10).first()
     assert got.songs == 2 and abs(got.correlation - 1.0) < 1e-9
+
+
+@pytest.mark.parametrize("slice_seconds", [0.05, 0.4, 131.072])
+def test_prefix_counts_equal_pairs_of_seconds(spark, slice_seconds):
+    r = random.Random(11)
+    times = [r.randrange(1500) / 1000 for _ in range(150)]  # many differences right at an edge
+    times += [t + s * 2.0 ** -50 for t in times[:20] for s in (-1, 1)] + [r.uniform(-0.3, 1.5) for _ in range(60)]
+    times += [90_000.117, 90_000.0, 90_000.05, 90_000.033]
+    rows = [(r.choice([1, 1, 1, 2]), i, t, r.choice(["1000", "0100"])) for i, t in enumerate(times)]
+    rows += [(None, 900, 0.1, "1000"), (1, 901, None, "1000"), (1, 902, float("nan"), "1000")]
+    lanes = spark.createDataFrame(rows, "song_id bigint, note_id bigint, timestamp double, orientation string")
+    pairs = density.horizontal_density_by_pairs(lanes, time="timestamp")
+    found = density.horizontal_density_in_seconds(lanes, slice_seconds=slice_seconds)
+    plain = lambda df: {(x.song_id, x.note_id): (round(x.horizontal_density, 6), x.nearby_notes_count) for x in df.collect()}
+    assert plain(found) == plain(pairs) and found.count() == len(times)
+    assert density.horizontal_density_in_seconds(lanes.limit(0)).count() == 0
+    assert density.horizontal_density_in_seconds(lanes.unionByName(lanes)).count() == 2 * len(times)
