@@ -62,6 +62,8 @@ def slice_id(df: DataFrame, position: str, width: int) -> Column:
 
 #: Sampled rows per slice: a slice of twice the wanted rows would need half as many in its place, which is beyond 10 deviations.
 POINTS = 100
+#: Samples for smaller slices than this are numbered within slices of this many rows.
+COARSE = 1_000_000
 
 
 def _place(position: str, tiebreak: Sequence[str], columns: Sequence[str]) -> Column:
@@ -75,7 +77,8 @@ def splitters(
     """(_key_<key>..., ``_splits``): for keys above ``rows_per_task`` rows, the places where slices start, in order.
 
     They are every ``POINTS``-th row of a sample, taken by a hash of the rows, so that a
-    plan that is run again finds the same. There is one per ``rows_per_task`` rows.
+    plan that is run again finds the same. There is one per ``rows_per_task`` rows. The
+    sample of small slices is large; it is sorted within coarse slices, which start slices too.
     """
     large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
     large = large.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
@@ -85,23 +88,32 @@ def splitters(
     # Fewer than ``input / rows_per_task`` keys are large.
     rows = df.join(F.broadcast(large), same).select(*names, _place(position, tiebreak, df.columns).alias("_place"))
     sample = rows.filter(F.pmod(F.xxhash64(F.lit(7), "_place"), F.lit(every)) == 0)
-    nth = F.row_number().over(Window.partitionBy(*names).orderBy("_place"))
-    chosen = sample.withColumn("_nth", nth).filter(F.col("_nth") % -(-rows_per_task // every) == 0)
-    return chosen.groupBy(*names).agg(F.array_sort(F.collect_set("_place")).alias("_splits"))
-
-
-def _slice_of(place: Column, splits: Column) -> Column:
-    """How many splitters lie at or before a place, by binary search."""
-    pair = lambda low, high: F.struct(low.cast("bigint").alias("low"), high.cast("bigint").alias("high"))
-
-    def halve(found: Column, _: Column) -> Column:
-        middle = F.floor((found["low"] + found["high"]) / 2)
-        passed = F.get(splits, middle.cast("int")) <= place
-        closer = F.when(passed, pair(middle + 1, found["high"])).otherwise(pair(found["low"], middle))
-        return F.when(found["low"] < found["high"], closer).otherwise(found)
-
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(splits) + 1)).cast("int"))
-    return F.aggregate(steps, pair(F.lit(0), F.size(splits)), halve, lambda found: found["low"])
+    coarse = ["_coarse"] if rows_per_task * POINTS <= COARSE else []
+    if coarse:
+        starts = splitters(df, keys, position, COARSE, tiebreak).select(*[F.col(n).alias(f"_of{n}") for n in names], "_splits")
+        own = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"_of{n}")) for n in names])
+        sample = _searched(sample.join(F.broadcast(starts), own, "left"), "_coarse", 20).select(*names, "_place", "_coarse")
+    nth = F.row_number().over(Window.partitionBy(*names, *coarse).orderBy("_place"))
+    wanted = F.col("_nth") % -(-rows_per_task // every) == 0
+    for name in coarse:
+        wanted = wanted | ((F.col("_nth") == 1) & (F.col(name) > 0))
+    chosen = sample.withColumn("_nth", nth).filter(wanted)
+    return chosen.groupBy(*names).agg(F.sort_array(F.collect_set("_place")).alias("_splits"))
+
+
+def _searched(df: DataFrame, name: str, bits: int = 26) -> DataFrame:
+    """``df`` plus ``name``: how many of ``_splits`` (fewer than 2^bits) lie at or before ``_place``, by binary search.
+
+    Each step is a column of its own and no higher-order function, so that it is compiled
+    and the array stays where it is: a function that is not would copy it to every row.
+    A row of 2 GB can't hold 2^26 places of 32 bytes or more. One test a step keeps the
+    compiled method below the 8,000 bytes beyond which the JVM interprets it.
+    """
+    found = df.withColumn(name, F.lit(0))
+    for step in (1 << k for k in reversed(range(bits))):
+        passed = F.get("_splits", F.col(name) + F.lit(step - 1)) <= F.col("_place")
+        found = found.withColumn(name, F.col(name) + F.when(passed, F.lit(step)).otherwise(F.lit(0)))
+    return found
 
 
 def cut_large_keys(
@@ -115,11 +127,9 @@ def cut_large_keys(
     """
     found = splitters(df, keys, position, rows_per_task, tiebreak)
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    cut = F.col("_splits").isNotNull()
-    return df.join(F.broadcast(found), same, "left").select(
-        *df.columns,
-        F.when(cut, _slice_of(_place(position, tiebreak, df.columns), F.col("_splits"))).otherwise(F.lit(0).cast("bigint")).alias("_slice0"),
-        cut.alias("_cut"),
+    placed = df.withColumn("_place", _place(position, tiebreak, df.columns)).join(F.broadcast(found), same, "left")
+    return _searched(placed, "_slice0").select(
+        *df.columns, F.col("_slice0").cast("bigint").alias("_slice0"), F.col("_splits").isNotNull().alias("_cut"),
     )
 
 

@@ -1,7 +1,9 @@
 """Sliced running aggregates against plain loops, with one key holding most rows."""
 
+import bisect
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +11,8 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from notemill.operators.running import Running, cut_large_keys, forward_fill, row_numbers, running
+from notemill.operators import running as slices
+from notemill.operators.running import Running, cut_large_keys, forward_fill, row_numbers, running, splitters
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -97,3 +100,22 @@ def test_running_property(spark, rows):
     df = spark.createDataFrame(rows, "k string, p bigint, v bigint")
     filled = forward_fill(df, ["k"], "p", "v", (13, 70), "f")
     assert {(r.k, r.p): r.f for r in filled.collect()} == {k: w[1] for k, w in brute(rows).items()}
+
+
+def test_the_search_for_a_slice_copies_no_splitters(spark, monkeypatch):
+    """A higher-order function is not compiled with its join, so the array of splitters would be written to every row."""
+    monkeypatch.setattr(slices, "COARSE", 5000)
+    df = spark.range(30_000).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 30_011).alias("p"), "id")
+    cut = cut_large_keys(df, ["k"], "p", 50)
+    assert "lambda" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    # The sample of small slices is sorted by coarse slices, not by key alone.
+    assert "windowspecdefinition(_key_k#" in (plan := splitters(df, ["k"], "p", 50)._jdf.queryExecution().analyzed().toString())
+    assert re.search(r"windowspecdefinition\(_key_k#\w+, _coarse#", plan)
+    places = {r["_key_k"]: [tuple(x)[0] for x in r["_splits"]] for r in splitters(df, ["k"], "p", 50).collect()}
+    rows = cut.select("k", "p", "_slice0").collect()
+    assert len(places[0]) > 200 and all(r["_slice0"] == bisect.bisect_right(places[r.k], r.p) for r in rows)
+    sizes = Counter((r.k, r["_slice0"]) for r in rows)
+    assert max(sizes.values()) <= 100 and sum(sizes.values()) == 30_000
+    numbered = row_numbers(df, ["k"], "p", name="n", rows_per_task=50)
+    want = F.row_number().over(Window.partitionBy("k").orderBy("p"))
+    assert numbered.withColumn("w", want).filter("n <> w").count() == 0 and numbered.count() == 30_000
