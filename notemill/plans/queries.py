@@ -774,14 +774,21 @@ def _(spark, sf_dir):
     return landed.read_songlist(spark, path, multiline=False).select(*SONG, "note_count")
 
 
-RANGE_BYTES = 16_384
+RANGE_BYTES, RANGES, LARGEST_RANGE = 16_384, 1024, 1 << 26
 
 
 @contextmanager
-def small_ranges(spark: SparkSession, size: int = RANGE_BYTES) -> Iterator[None]:
-    """Files are read in ranges of ``size`` bytes, so that small ones too have borders inside records."""
+def small_ranges(spark: SparkSession, path: str, size: int = RANGE_BYTES) -> Iterator[None]:
+    """Files below ``path`` are read in ranges of ``size`` bytes, so that small ones too have borders inside records.
+
+    Each range is a task that reports to the driver, so larger inputs have larger ranges: about
+    ``RANGES`` of them, until they reach ``LARGEST_RANGE`` bytes.
+    """
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     before = [spark.conf.get(n) for n in names]
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    held = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    size = max(size, min(held // RANGES, LARGEST_RANGE))
     try:
         for name, value in zip(names, (size, size), strict=True):
             spark.conf.set(name, str(value))
@@ -803,7 +810,7 @@ def write_arrays(df: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
 def _(spark, sf_dir):
     path = scratch_path(spark, "songlist-array")
     write_arrays(derived.songlist(spark, sf_dir), path)
-    with small_ranges(spark):
+    with small_ranges(spark, path):
         return saved(landed.read_songlist(spark, path).select(*SONG, "note_count"), "songlist")
 
 
@@ -812,7 +819,7 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "playlist-array")
     raw = derived.raw_playlist(spark, sf_dir)
     write_arrays(raw, path)
-    with small_ranges(spark):
+    with small_ranges(spark, path):
         return saved(landed.read_playlist(spark, path).select(*raw.columns), "playlist")
 
 
@@ -877,7 +884,7 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "sheets")
     odd = F.when(F.col("sheet_row") % 3 == 0, F.concat("song_name", F.lit('\n\n"live", '), F.col("old_diff"), F.lit('"\n'))).otherwise(F.col("song_name"))
     write_sheets(derived.contested(spark, sf_dir).withColumn("song_name", odd), path)
-    with small_ranges(spark):
+    with small_ranges(spark, path):
         return saved(landed.read_sheets(spark, path).drop("ingestion_timestamp"), "sheets")
 
 

@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from notemill.plans import queries
 from notemill.sources import landed, ranges
 
 SPLIT = "spark.sql.files.maxPartitionBytes"
@@ -93,3 +94,17 @@ def test_sheets_of_part_files(spark, tmp_path, small_splits):
         (folder / f"part-{k:05d}.csv").write_text(written(part), encoding="utf-8", newline="")
     got = landed.read_sheet(spark, str(tmp_path), "2002 Difficulty Changes").orderBy("sheet_row").collect()
     assert [(r.sheet_row, r.N) for r in got] == [(i + 1, str(i)) for i in range(60)]
+
+
+def test_the_number_of_small_ranges_is_bounded(spark, tmp_path, monkeypatch):
+    """Each range is a task that reports to the driver."""
+    monkeypatch.setattr(queries, "RANGES", 8)
+    for name, lines in (("short", 20), ("long", 20_000)):
+        (tmp_path / name).write_text("ten bytes\n" * lines)
+    before = spark.conf.get(SPLIT)
+    counts = []
+    for name in ("short", "long"):
+        with queries.small_ranges(spark, str(tmp_path / name), 40):
+            counts.append(spark.read.text(str(tmp_path / name)).select("value", "_metadata.file_block_start").distinct().select("file_block_start").distinct().count())
+            assert spark.read.text(str(tmp_path / name)).count() == {"short": 20, "long": 20_000}[name]
+    assert counts == [5, 8] and spark.conf.get(SPLIT) == before
