@@ -138,8 +138,12 @@ def epoch_to_timestamp(c: Column | str) -> Column:
 
 
 def clean_date(c: Column | str) -> Column:
-    """``yyyy/MM/dd`` with stray ``v`` marks removed; NULL when it is no date."""
-    return F.try_to_date(F.trim(F.regexp_replace(column(c), "v", "")), "yyyy/MM/dd")
+    """``yyyy/MM/dd`` with stray ``v`` marks removed; NULL when it is no date.
+
+    A text without a slash is none and is not tried: each failed try builds an error inside Spark.
+    """
+    text = F.trim(F.replace(column(c), F.lit("v"), F.lit("")))
+    return F.when(text.contains("/"), F.try_to_date(text, "yyyy/MM/dd"))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

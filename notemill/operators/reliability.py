@@ -119,16 +119,17 @@ def song_lookup(contested: DataFrame, playlist: DataFrame) -> DataFrame:
 
 def reliability_weights(
     contested: DataFrame, playlist: DataFrame, as_of_year: int, order: str = "sheet_row",
-    widths: Sequence[int] = ROW_WIDTHS, carry: Sequence[str] = (),
+    widths: Sequence[int] = ROW_WIDTHS, carry: Sequence[str] = (), parsed: DataFrame | None = None,
 ) -> DataFrame:
     """Score every dispute: stability × recency × acceptance × magnitude + bonus.
 
     Songs are counted before any quality filter. ``as_of_year`` is explicit so
     that the result does not move with the calendar. ``carry`` names columns of
-    ``contested`` to keep beside the published ones. The song lookup is written
+    ``contested`` to keep beside the published ones. ``parsed`` is what
+    :func:`parse_disputes` makes of ``contested``, where it is at hand. The song lookup is written
     out, so that Spark broadcasts it by its true size or can split a hot song.
     """
-    parsed = parse_disputes(contested, order, widths)
+    parsed = parse_disputes(contested, order, widths) if parsed is None else parsed
     lookup = saved(song_lookup(contested, playlist), "song-lookup")
     joined = parsed.join(lookup, F.col("song_name") == F.col("_song"), "left")
     scored = joined.withColumns({

@@ -192,8 +192,9 @@ def running(
             *keys, name, *[F.col(out).alias(f"_in_{out}") for out in runs], F.lit(0).alias("_is_row")
         )
         rows = sliced.withColumns({**inputs, "_is_row": F.lit(1)}).unionByName(markers, allowMissingColumns=True)
+        # A marker has no position, so it comes first; positions lead, as sorts compare by the first column that differs.
         window = (
-            Window.partitionBy(*keys, name).orderBy("_is_row", position, *tiebreak)
+            Window.partitionBy(name, *keys).orderBy(position, "_is_row", *tiebreak)
             .rowsBetween(Window.unboundedPreceding, end)
         )
     out = rows.withColumns({out: run.over(f"_in_{out}", window) for out, run in runs.items()})

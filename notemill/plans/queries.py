@@ -586,12 +586,18 @@ def _(spark, sf_dir):
 def moments_after_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger after the last sheet has come: only disputes of its songs are taken out and put in."""
     sheets = stored_contested(spark, sf_dir)
+    # Sheets are parsed one by one, so a row is the same before and after.
+    parsed = saved(reliability.parse_disputes(sheets).drop("old_diff", "date", "sheet_row"), "parsed-disputes")
     last = sheets.agg(F.max("source_sheet").alias("m")).scalar()
     touched = saved(sheets.filter(F.col("source_sheet") == last).select("song_name").distinct(), "touched-songs")
     songs = silver_playlist(spark, sf_dir)
+    earlier = F.col("source_sheet") != last
     before, after = (
-        saved(reliability.dq_filter(reliability.reliability_weights(rows, songs, AS_OF_YEAR)), "silver-contested")
-        for rows in (sheets.filter(F.col("source_sheet") != last), sheets)
+        saved(
+            reliability.dq_filter(reliability.reliability_weights(rows, songs, AS_OF_YEAR, parsed=typed)).select(*moments.CELL, *moments.MEASURES),
+            "silver-contested",
+        )
+        for rows, typed in ((sheets.filter(earlier), parsed.filter(earlier)), (sheets, parsed))
     )
     held = saved(moments.dispute_moments(before), "dispute-moments")
     gone, come = (moments.dispute_moments(cdc.scope(silver, touched, "song_name")) for silver in (before, after))

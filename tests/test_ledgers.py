@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +47,32 @@ def test_moments_follow_changes(spark):
     assert moments.consensus_of_moments(rest.limit(0)).count() == 0
 
 
+def test_moments_are_exact_sums_of_whole_numbers(spark):
+    scores = [9999.75, 0.1, 9999.75, 1e-12, -0.5, float("nan"), None]
+    rows = [("a", 99_999, datetime.date(2020, 1, 1), x, x, x) for x in scores]
+    ledger = moments.dispute_moments(spark.createDataFrame(rows, SILVER))
+    assert {f.dataType.simpleString() for f in ledger.schema.fields if f.name not in moments.CELL} == {"bigint"}
+    song, level = moments.consensus_of_moments(ledger).first(), moments.difficulty_of_moments(ledger).first()
+    total = 19999.100000000001  # 9999.75 * 2 + 0.1 + 1e-12 - 0.5
+    assert (song.total_reliability, song.avg_reliability, song.num_assessments) == (total, total / 5, 7)
+    assert song.weighted_difficulty == 99_999 and level.total_reliability == total
+    assert level.stddev_reliability == pytest.approx(statistics.stdev(x for x in scores if x is not None and x == x), rel=1e-12)
+    assert moments.moments_after(ledger, ledger, ledger.limit(0)).count() == 0
+    for x in (10_000.0, -10_000.0):
+        with pytest.raises(Exception, match="10,000 or more"):
+            moments.dispute_moments(spark.createDataFrame([("a", 1, None, x, 0.1, 0.1)], SILVER)).collect()
+
+
+def test_parsed_disputes_are_not_parsed_again(spark, monkeypatch):
+    rows = [("a", "5", "7", "2020/01/02", "2020 Difficulty Changes", 1), ("b", "no", "change", "n/a", "2020 Difficulty Changes", 2), ("a", "6", "(resolved) 4", "v2021/3/4", "2021 Difficulty Changes", 1)]
+    sheets = spark.createDataFrame(rows, "song_name string, old_diff string, new_diff string, date string, source_sheet string, sheet_row bigint")
+    songs = spark.createDataFrame([("a", 7), ("a", 4)], "name string, difficulty int")
+    found = lambda **known: sorted(map(str, reliability.reliability_weights(sheets, songs, 2021, **known).drop("transformation_timestamp").collect()))
+    parsed, want = reliability.parse_disputes(sheets).drop("old_diff", "date", "sheet_row"), found()
+    monkeypatch.setattr(reliability, "parse_disputes", None)
+    assert len(want) == 5 and found(parsed=parsed) == want
+
+
 NOTES = "song_id bigint, n int, bucket string, tags array<string>"
 
 
