@@ -20,26 +20,29 @@ segment as uint32), ``stream`` uint32.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notemill.llm.common import NULL_ID, map_batches, real_id, texts_of
 from notemill.session import saved, scratch_path
 
-MARKS = {".", ","}
+LETTERS_AND_MARKS = r"\A(?P<letters>(?s:.*?))(?P<marks>[!-/:-@\[-`{-~]{0,8})\z"
 SCALE_BITS = 20
 SCALE = 1 << SCALE_BITS
 LOW = 1 << 32            # states stay in [2**32, 2**64); 32 bits move at once
 BLOCK_TOKENS = 1 << 20   # a block closes with the document that reaches this
 MAX_LANES = 2048
 STEPS = 256              # steps of all lanes between checkpoints
-KEPT_PARTS = 250_000     # cached encodings in a worker, twice
+GROUP_BYTES = 1 << 24    # bytes of texts cut at a time
+WORDS_AT_ONCE = 20_000   # words or parts that the library encodes at a time
 
 FILE_SCHEMA = (
     "part int, block int, tokens bigint, lanes int, doc_ids binary, doc_tokens binary, states binary, places binary, "
@@ -56,95 +59,152 @@ def _library(spec: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_str(spec), [{}, {}]
+    return Tokenizer.from_str(spec)
 
 
 def id_type(spec: str) -> str:
     """How ids are kept on the way to the file: as 16 bits where they fit."""
-    return "<u2" if max(_library(spec)[0].get_vocab().values()) < 1 << 16 else "<u4"
+    return "<u2" if max(_library(spec).get_vocab().values()) < 1 << 16 else "<u4"
 
 
 def token_bytes(text: str, spec: str, kind: str = "<u4") -> bytes:
-    """Ids of a text as little-endian numbers.
+    """Ids of a text as little-endian numbers."""
+    return text_bytes(pa.array([text], pa.string()), spec, kind, b"")[0].as_py()
 
-    The tokenizers library encodes each part between plain spaces and line
-    breaks once and the result is kept; of a full cache, what is still in use
-    moves on to the next. That is exact for tokenizers whose words never reach
+
+def text_bytes(texts: pa.Array, spec: str, kind: str, end: bytes) -> pa.Array:
+    """Ids of each text as little-endian numbers, then ``end``; NULL counts as empty.
+
+    The texts are cut at plain spaces and line breaks, each different part is encoded once
+    and the ids are put together again, so that a part costs no Python object. That is exact for tokenizers whose words never reach
     across white space (see :func:`splits_at_spaces`).
     """
-    library, caches = _library(spec)
-    parts = text.replace("\n", " ").split(" ")
-    found = list(map(caches[0].get, parts))
-    if None in found:
-        missing = {p for p, f in zip(parts, found, strict=True) if f is None}
-        if len(caches[0]) + len(missing) > KEPT_PARTS:
-            caches[:] = {}, caches[0]
-            missing = set(parts)
-        known, older = caches
-        known.update([(part, older[part]) for part in missing if part in older])
-        # A mark after a letter is a word of its own, so the letters before it are encoded once for all marks.
-        marked = {p: p[:-1] for p in missing.difference(older) if p[-1:] in MARKS and _cut_before_marks(library, p[-2:-1])}
-        fresh = list(missing.difference(older, marked).union(marked.values(), MARKS).difference(known))
-        known.update(_encoded(library, fresh, kind))
-        known.update([(part, known[letters] + known[part[-1]]) for part, letters in marked.items()])
-        found = map(known.__getitem__, parts)
-    return b"".join(found)
-
-
-def _encoded(library, parts: list[str], kind: str) -> Iterator[tuple[str, bytes]]:
-    """(part, ids). Parts of letters alone are one word each, so they are encoded as one text and cut after each word."""
-    ends = _word_ends(library)
-    words = [p for p in parts if p.isalpha() and p.lower().isalpha()] if len(ends) else []
-    ids = np.array(library.encode(" ".join(words), add_special_tokens=False).ids, kind) if words else np.empty(0, kind)
-    cut = np.flatnonzero(ends[ids]) + 1 if len(ids) else np.empty(0, np.int64)
-    if len(cut) == len(words):
-        blob, width = ids.tobytes(), int(kind[-1])
-        yield from zip(words, [blob[a * width:b * width] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=True)] if words else [], strict=True)
-        parts = list(set(parts).difference(words))
-    for part, coded in zip(parts, library.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-        yield part, np.array(coded.ids, kind).tobytes()
-
-
-_cuts: dict[int, tuple[object, dict[str, bool]]] = {}  # the library is kept, so its number stays its own
-
-
-def _cut_before_marks(library, letter: str) -> bool:
-    """Whether the tokenizer itself cuts marks off after ``letter``.
+    cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+    parts = cut.flatten().dictionary_encode()
+    coded = pa.concat_arrays([_coded_parts(parts.dictionary, spec, kind), pa.array([end], pa.binary())])
+    ends = np.cumsum(cut.value_lengths().to_numpy())
+    joined = coded.take(pa.array(np.insert(parts.indices.to_numpy(), ends, len(coded) - 1)))
+    at = _offsets(joined)[np.concatenate(([0], ends + np.arange(1, len(ends) + 1)))]
+    return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(at), joined.buffers()[2]])
+
+
+def _offsets(blobs: pa.Array) -> np.ndarray:
+    return np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset:blobs.offset + len(blobs) + 1]
+
+
+def _groups(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of about ``GROUP_BYTES``, or one larger text."""
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)), 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + GROUP_BYTES, side="right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
+def _coded_parts(parts: pa.Array, spec: str, kind: str) -> pa.Array:
+    """Ids of each part. Marks after letters are words of their own, so letters and marks are encoded apart, each once."""
+    library = _library(spec)
+    split = pc.extract_regex(parts, LETTERS_AND_MARKS)
+    letters, marks = split.field(0), split.field(1)
+    plain = pc.utf8_is_alpha(letters).to_numpy(zero_copy_only=False).copy()
+    letters = pc.if_else(pa.array(plain), letters, "")
+    if _ignores_case(library):
+        letters = pc.if_else(pc.string_is_ascii(letters), pc.ascii_lower(letters), letters)
+    last = pc.utf8_slice_codeunits(letters, -1).dictionary_encode()
+    letters, marks = letters.dictionary_encode(), marks.dictionary_encode()
+    # Only pairs of a last letter and marks that the tokenizer itself parts.
+    pair, of = np.unique(last.indices.to_numpy().astype(np.int64) * len(marks.dictionary) + marks.indices.to_numpy(), return_inverse=True)
+    good = [_parted(library, last.dictionary[p // len(marks.dictionary)].as_py(), marks.dictionary[p % len(marks.dictionary)].as_py()) for p in pair.tolist()]
+    plain &= np.array(good, bool)[of]
+    words, found = _coded_words(letters.dictionary, library, kind)
+    plain &= found[letters.indices.to_numpy()]
+    rest = np.flatnonzero(~plain)
+    ends = pc.take(_coded_each(marks.dictionary, library, kind), marks.indices)
+    joined = pc.binary_join_element_wise(pc.take(words, letters.indices), ends, b"")
+    if not len(rest):
+        return joined
+    others = _coded_each(parts.take(pa.array(rest)), library, kind)
+    order = np.arange(len(parts))
+    order[rest] = len(parts) + np.arange(len(rest))
+    return pa.concat_arrays([joined, others]).take(pa.array(order))
+
+
+def _coded_each(parts: pa.Array, library, kind: str) -> pa.Array:
+    out = []
+    for at in range(0, len(parts), WORDS_AT_ONCE):
+        out += [np.array(c.ids, kind).tobytes() for c in library.encode_batch_fast(parts[at:at + WORDS_AT_ONCE].to_pylist(), add_special_tokens=False)]
+    return pa.array(out, pa.binary())
+
+
+def _coded_words(words: pa.Array, library, kind: str) -> tuple[pa.Array, np.ndarray]:
+    """(ids, whether they are known) of words of letters, which are encoded as one text and cut after each word.
+
+    A text that gives another number of words holds letters that the tokenizer takes for none; its words are not known.
+    """
+    ends, width = _word_ends(library), int(kind[-1])
+    known, sizes, blobs = np.zeros(len(words), bool), np.zeros(len(words), np.int64), []
+    use = np.flatnonzero(_whole(words, library)) if len(ends) else []
+    for at in range(0, len(use), WORDS_AT_ONCE):
+        some = use[at:at + WORDS_AT_ONCE]
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), words.take(pa.array(some))), " ").to_pylist()
+        ids = np.array(library.encode_batch_fast(text, add_special_tokens=False)[0].ids, kind)
+        cut = np.flatnonzero(ends[ids]) + 1
+        if len(cut) == len(some):
+            known[some], sizes[some] = True, np.diff(np.concatenate(([0], cut))) * width
+            blobs.append(ids.tobytes())
+    at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(at), pa.py_buffer(b"".join(blobs))]), known
+
+
+@lru_cache(maxsize=1 << 16)
+def _pieces(library, text: str) -> list[str]:
+    normal = library.normalizer.normalize_str(text) if library.normalizer else text
+    return [w for w, _ in library.pre_tokenizer.pre_tokenize_str(normal)] if library.pre_tokenizer else [normal]
+
+
+def _whole(words: pa.Array, library) -> np.ndarray:
+    """Whether each word is not empty and holds no letter that the tokenizer itself parts (U+0130 becomes i and a combining mark)."""
+    letters = set(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "")[0].as_py())
+    odd = [c for c in sorted(letters) if len(_pieces(library, c)) != 1 or not all(map(str.isalpha, _normal(library, c)))]
+    fine = pc.greater(pc.binary_length(words), 0)
+    return (pc.and_(fine, pc.invert(pc.match_substring_regex(words, "[" + "".join(odd) + "]"))) if odd else fine).to_numpy(zero_copy_only=False)
+
+
+def _normal(library, text: str) -> str:
+    return library.normalizer.normalize_str(text) if library.normalizer else text
+
+
+@lru_cache(maxsize=1 << 16)
+def _parted(library, letter: str, marks: str) -> bool:
+    """Whether the tokenizer itself cuts ``marks`` off after ``letter``.
 
     Its normaliser may turn a letter into one with a combining mark (U+0130 into
     i and U+0307), which then makes a single word with the mark that follows.
     """
-    if id(library) not in _cuts:
-        _cuts.clear()
-        _cuts[id(library)] = library, {}
-    known = _cuts[id(library)][1]
-    if letter not in known:
-        normal = library.normalizer.normalize_str if library.normalizer else str
-        split = library.pre_tokenizer.pre_tokenize_str if library.pre_tokenizer else lambda text: [(text, None)]
-        known[letter] = letter.isalpha() and normal(letter)[-1:].isalpha() and all(
-            [w for w, _ in split(normal(letter + mark))] == [w for text in (letter, mark) for w, _ in split(normal(text))] for mark in MARKS
-        )
-    return known[letter]
+    if not marks:
+        return True
+    return _normal(library, letter)[-1:].isalpha() and _pieces(library, letter + marks) == _pieces(library, letter) + _pieces(library, marks)
 
 
-_ends: dict[int, np.ndarray] = {}
+@lru_cache(maxsize=2)
+def _ignores_case(library) -> bool:
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    return _normal(library, upper) == _normal(library, lower) == lower
 
 
+@lru_cache(maxsize=2)
 def _word_ends(library) -> np.ndarray:
     """Which ids end a word, for vocabularies that mark it; else empty."""
-    if id(library) not in _ends:
-        vocab = library.get_vocab()
-        marked = [i for token, i in vocab.items() if token.endswith("</w>")]
-        ends = np.zeros(max(vocab.values()) + 1 if marked else 0, bool)
-        ends[marked] = True
-        _ends.clear()
-        _ends[id(library)] = ends
-    return _ends[id(library)]
+    vocab = library.get_vocab()
+    marked = [i for token, i in vocab.items() if token.endswith("</w>")]
+    ends = np.zeros(max(vocab.values()) + 1 if marked else 0, bool)
+    ends[marked] = True
+    return ends
 
 
 def splits_at_spaces(spec: str) -> bool:
     """Whether the tokenizer drops white space and cuts marks off words, so that both can be encoded alone."""
-    library, _ = _library(spec)
+    library = _library(spec)
     plain = lambda text: library.encode(text, add_special_tokens=False).ids
     return plain("ab c. \n d") == plain("ab") + plain("c") + plain(".") + plain("d")
 
@@ -157,9 +217,12 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     end = np.array([end_id], kind).tobytes()
 
     def run(batch: pa.RecordBatch) -> dict:
-        whole = lambda text: np.array(_library(spec)[0].encode(text, add_special_tokens=False).ids, kind).tobytes()
-        out = [(token_bytes(t, spec, kind) if by_part else whole(t)) + end for t in texts_of(batch, "_text")]
-        return {"_id": batch.column(0), "ids": pa.array(out, pa.binary()), "width": pa.array(np.full(len(out), int(kind[-1]), np.int32))}
+        whole = lambda text: np.array(_library(spec).encode(text, add_special_tokens=False).ids, kind).tobytes()
+        if by_part:
+            out = pa.concat_arrays([text_bytes(group, spec, kind, end) for group in _groups(batch.column("_text"))])
+        else:
+            out = pa.array([whole(t) + end for t in texts_of(batch, "_text")], pa.binary())
+        return {"_id": batch.column(0), "ids": out, "width": pa.array(np.full(len(out), int(kind[-1]), np.int32))}
 
     source = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("_id"), F.col("text").alias("_text"))
     return map_batches(source, run, "_id bigint, ids binary, width int")

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -96,6 +97,25 @@ def test_marks_after_letters_with_combining_marks():
         assert np.frombuffer(rans.token_bytes(text, spec), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_texts_of_a_batch_encode_as_each_alone(monkeypatch):
+    library = Tokenizer.from_file(WORDS)
+    spec, end = open(WORDS, encoding="utf-8").read(), b"\x02\x00"
+    texts = [None, *TEXTS, "Word WORD word, word!!! word?! word's word'!! İz İz, e\u0301a H\u0331a ſs K's <|endoftext|> (a) a1, ٣a. ǅa.. Σ, ΟΣ!", *[t for _, t, _, _ in generated(60, 9)]]
+    want = [b"".join([np.array(library.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes(), end]) for t in texts]
+    calls, encode = [], type(rans._library(spec)).encode_batch_fast
+    counted = type("Counted", (), {"__getattr__": lambda self, name: getattr(rans_library, name), "encode_batch_fast": lambda self, parts, **kw: calls.extend(parts) or encode(rans_library, parts, **kw)})
+    rans_library, library_of = rans._library(spec), counted()
+    monkeypatch.setattr(rans, "_library", lambda _: library_of)
+    for size in (7, 20_000):
+        monkeypatch.setattr(rans, "WORDS_AT_ONCE", size)
+        assert rans.text_bytes(pa.array(texts), spec, "<u2", end).to_pylist() == want
+    calls.clear()
+    words = [f"{a}{b}{mark}" for a in "abcdeABCDE" for b in "fghijFGHIJ" for mark in ("", ".", "!!", "...")]
+    rans.text_bytes(pa.array([" ".join(words)] * 50), spec, "<u2", end)
+    assert sum(len(c.split(" ")) for c in calls) < 40  # 25 words and their marks, each once
+    assert [len(g) for g in rans._groups(pa.array(["a" * (rans.GROUP_BYTES + 1), None, "b", "c"]))] == [1, 3]
+
+
 def test_token_file_cases(spark, monkeypatch):
     monkeypatch.setattr(rans, "BLOCK_TOKENS", 50)
     library = Tokenizer.from_file(WORDS)
