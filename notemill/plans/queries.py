@@ -592,15 +592,14 @@ def moments_after_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     touched = saved(sheets.filter(F.col("source_sheet") == last).select("song_name").distinct(), "touched-songs")
     songs = silver_playlist(spark, sf_dir)
     earlier = F.col("source_sheet") != last
+    of_songs = lambda rows: cdc.scope(rows, touched, "song_name")
     before, after = (
-        saved(
-            reliability.dq_filter(reliability.reliability_weights(rows, songs, AS_OF_YEAR, parsed=typed)).select(*moments.CELL, *moments.MEASURES),
-            "silver-contested",
-        )
-        for rows, typed in ((sheets.filter(earlier), parsed.filter(earlier)), (sheets, parsed))
+        moments.dispute_moments(reliability.dq_filter(reliability.reliability_weights(rows, songs, AS_OF_YEAR, parsed=typed)))
+        for rows, typed in ((sheets.filter(earlier), parsed.filter(earlier)), (of_songs(sheets), of_songs(parsed)))
     )
-    held = saved(moments.dispute_moments(before), "dispute-moments")
-    gone, come = (moments.dispute_moments(cdc.scope(silver, touched, "song_name")) for silver in (before, after))
+    held = saved(before, "dispute-moments")
+    # All that counts for a song is in its own disputes and cells: the old cells go, the new ones come.
+    gone, come = of_songs(held), after
     return moments.moments_after(held, gone, come)
 
 

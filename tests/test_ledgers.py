@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from notemill.operators import content, moments, reliability
+from notemill.plans import queries
 
 SILVER = "song_name string, new_difficulty int, change_date date, reliability_weight double, recency_score double, acceptance_score double"
 
@@ -47,6 +48,33 @@ def test_moments_follow_changes(spark):
     assert moments.consensus_of_moments(rest.limit(0)).count() == 0
 
 
+def test_a_sheet_touches_only_disputes_of_its_songs(spark, monkeypatch):
+    rows = [
+        ("a", "5", "6", "2020/01/01", "2020 Difficulty Changes", 1), ("b", "5", "no change", None, "2020 Difficulty Changes", 2),
+        ("b", "7", "(resolved) 8", "2020/02/01", "2020 Difficulty Changes", 3), (None, "7", "8", None, "2020 Difficulty Changes", 4),
+        ("b", "5", "9", "2021/01/01", "2021 Difficulty Changes", 1), ("c", "3", "4", None, "2021 Difficulty Changes", 2),
+        ("b", "5", "9", "2021/01/01", "2021 Difficulty Changes", 3),
+    ]
+    sheets = spark.createDataFrame(rows, "song_name string, old_diff string, new_diff string, date string, source_sheet string, sheet_row int")
+    songs = spark.createDataFrame([("b", 9), ("b", 3), ("c", 4)], "name string, difficulty int")
+    monkeypatch.setattr(queries, "stored_contested", lambda *_: sheets)
+    monkeypatch.setattr(queries, "silver_playlist", lambda *_: songs)
+    given, weigh, summed, dispute_moments = [], reliability.reliability_weights, [], moments.dispute_moments
+
+    def weighed(contested, *args, **kw):
+        given.append((contested, kw["parsed"]))
+        return weigh(contested, *args, **kw)
+
+    monkeypatch.setattr(reliability, "reliability_weights", weighed)
+    monkeypatch.setattr(moments, "dispute_moments", lambda silver: summed.append(silver) or dispute_moments(silver))
+    got = queries.moments_after_sheet(spark, "").collect()
+    whole = dispute_moments(reliability.dq_filter(weigh(sheets, songs, queries.AS_OF_YEAR))).collect()
+    held_null = [r for r in whole if r.song_name is None]
+    assert sorted(map(repr, got)) == sorted(map(repr, whole)) and len(held_null) == 1
+    assert [{r.song_name for r in frame.collect()} for frame in given[1]] == [{"b", "c"}] * 2
+    assert len(summed) == 2  # the cells that go are read off the ledger
+
+
 def test_moments_are_exact_sums_of_whole_numbers(spark):
     scores = [9999.75, 0.1, 9999.75, 1e-12, -0.5, float("nan"), None]
     rows = [("a", 99_999, datetime.date(2020, 1, 1), x, x, x) for x in scores]
