@@ -1,21 +1,25 @@
-"""Exact top-k search by BM25: an inverted index per shard with block-max pruning.
-
-1. Every document becomes a row of packed term hashes and counts.
-2. Document frequencies of the terms that queries hold, the number of
-   documents and their mean length are gathered over the whole corpus, so each
-   shard scores with global statistics and results merge exactly.
-3. Documents are dealt into shards. A shard inverts its documents; postings are
-   cut at fixed document ranges, and each (term, range) keeps the largest score
-   it can give. For a query, the sums of these maxima bound each range. The
-   ranges are visited in falling order of the bound, and once the bound is
-   not above the k-th score found, the rest is provably out (block-max WAND
-   over ranges, array operations instead of a cursor per term).
-4. The shards' top lists, k rows each, are merged by score and id.
+"""Exact top-k search by BM25: an inverted index per chunk of documents, float32 bounds, exact scores of what they leave.
+
+1. Every document becomes packed term hashes and counts. One pass gathers the
+   document frequencies of the terms that queries hold, the number of documents
+   and their mean length, so scores are global and results merge exactly.
+2. Up to ``COMMON`` of the most frequent of these terms get numbers of two bytes, other
+   terms stay hashes. Documents are dealt into at most ``SHARDS`` shards, queries
+   into blocks of about ``QUERY_BLOCK``; a unit is one shard and one block. A unit
+   reads its queries first and then streams its documents, ``SHARD_DOCS`` at a
+   time, so a task holds a block and a chunk, however many documents there are.
+3. A chunk is inverted. Products of the ``DENSE`` most frequent terms are one
+   float32 matrix product, those of other terms come from their postings. Sums of
+   numbers above 0 are off by a known share at most, so a document whose sum stays
+   below a query's k-th score by more than that is provably out. The others are
+   scored exactly, in doubles, and enter the query's list, whose k-th score is the
+   bound for later chunks.
+4. Each unit gives k rows per query, which are merged by score and id: rows grow
+   with the queries, not with queries and documents.
 
 A query is weighted by its own term counts, so a whole document can be a query.
-Queries go to the shards in blocks: a shard is met by one block of at most
-``QUERY_BLOCK`` queries at a time, so what a task holds does not grow with the
-number of queries or documents.
+Every query meets every document, so the time of step 3 grows with the product
+of both; documents are copied once for each block of queries.
 """
 
 from __future__ import annotations
@@ -23,20 +27,27 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from notemill.llm.common import NULL_ID, real_id, released, texts_of
+from notemill.llm.common import NULL_ID, real_id, released, sliced, texts_of
 from notemill.session import saved
 
 K1, B = 1.2, 0.75
-SHARD_DOCS = 6144     # documents of a shard, about
-RANGE_DOCS = 64       # documents of a range
-QUERY_BLOCK = 4096    # queries of a block, about
+SHARDS = 24           # shards of documents, at most
+SHARD_DOCS = 2048     # documents of a chunk
+QUERY_BLOCK = 32768   # queries of a block, about
+BLOCK_TERMS = 1 << 24  # their terms, about
+COMMON = 1 << 16      # terms that get a number of two bytes, at most
+DENSE = 1024          # terms of the matrix product
+PIECE = 128           # queries met at a time
+PAIRS = 1 << 19       # products, or postings of documents, worked on at a time
+ROUNDING = 2.0 ** -22  # share by which a term may move a float32 sum, four times the unit roundoff
 QUERY_TERM = np.dtype([("term", "<u8"), ("weight", "<u4"), ("df", "<u8")])
 GROUP = 1 << 19       # bytes worked on at a time
+CHUNK_TERMS = 1 << 20  # terms of a chunk, about
+PACKED = ("common", "common_times", "rare", "rare_times")
 FLUSH = 1 << 21       # terms a task holds before it sums up frequencies
 
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -148,18 +159,21 @@ def _groups(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield group
 
 
-def term_rows(packed: DataFrame, name: str = "df") -> DataFrame:
-    """(term, df): documents that hold each term; tasks sum up their own first."""
+def term_rows(packed: DataFrame) -> DataFrame:
+    """(kind, term, df, words): documents that hold each term; tasks sum up their own first. Kind 1 counts all documents and their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, documents, words = [], 0, 0, 0
 
         def summed() -> pa.RecordBatch:
             term, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_pydict({"term": pa.array(term.view(np.int64)), name: pa.array(n.astype(np.int64))})
+            zeros = np.zeros(len(term), np.int64)
+            return pa.RecordBatch.from_pydict({"kind": pa.array(zeros.astype(np.int32)), "term": pa.array(term.view(np.int64)), "df": pa.array(n.astype(np.int64)), "words": pa.array(zeros)})
 
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
+            documents += batch.num_rows
+            words += sum(batch.column(0).to_pylist())
+            for blob in batch.column(1).to_pylist():
                 held.append(np.frombuffer(blob, "<u8"))
                 size += len(held[-1])
                 if size >= FLUSH:
@@ -167,82 +181,135 @@ def term_rows(packed: DataFrame, name: str = "df") -> DataFrame:
                     held, size = [], 0
         if size:
             yield summed()
+        if documents:
+            yield pa.RecordBatch.from_pydict({"kind": pa.array([1], pa.int32()), "term": pa.array([0], pa.int64()), "df": pa.array([documents], pa.int64()), "words": pa.array([words], pa.int64())})
 
-    return packed.select("terms").mapInArrow(released(run), f"term bigint, {name} bigint")
-
-
-class Shard:
-    """The inverted documents of one shard, restricted to the terms of the queries at hand."""
-
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, terms: list[bytes], counts: list[bytes], wanted: np.ndarray, idf: np.ndarray, mean: float) -> None:
-        order = np.argsort(ids, kind="stable")
-        self.ids = ids[order]
-        scale = K1 * (1 - B + B * lengths[order] / max(mean, 1e-9))
-        held = [(np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0))]
-        for first in range(0, len(order), 512):  # only postings of query terms are kept
-            some = order[first:first + 512]
-            own = [np.frombuffer(terms[i], "<u8") for i in some]
-            flat = np.concatenate(own)
-            doc = np.repeat(np.arange(first, first + len(some), dtype=np.int32), [len(t) for t in own])
-            at = np.searchsorted(wanted, flat)
-            hit = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == flat)
-            times = np.concatenate([np.frombuffer(counts[i], "<u4") for i in some])[hit].astype(np.float64)
-            term, doc = at[hit].astype(np.int32), doc[hit]
-            held.append((term, doc, idf[term] * times * (K1 + 1) / (times + scale[doc])))
-        term, doc, score = (np.concatenate(x) for x in zip(*held, strict=True))
-        del held
-        by = np.argsort(term, kind="stable").astype(np.int32)
-        self.term, self.doc, self.score = term[by], doc[by], score[by]
-        # Cells are runs of postings of one term in one range.
-        cell = self.term.astype(np.int64) * (len(order) // RANGE_DOCS + 1) + self.doc // RANGE_DOCS
-        self.cell_at = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.empty(0, np.int64)
-        self.cell_end = np.concatenate((self.cell_at[1:], [len(cell)])) if len(cell) else self.cell_at
-        self.cell_range = self.doc[self.cell_at] // RANGE_DOCS
-        self.cell_most = np.maximum.reduceat(self.score, self.cell_at) if len(cell) else np.empty(0)
-        self.term_cells = np.searchsorted(self.term[self.cell_at], np.arange(len(wanted) + 1))
-        self.ranges = len(order) // RANGE_DOCS + 1
-
-    def top(self, terms: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(document numbers, scores) of the k best documents with a score over 0; ties go to the smaller id."""
-        first, last = self.term_cells[terms], self.term_cells[terms + 1]
-        sizes = last - first
-        if not sizes.sum():
-            return np.empty(0, np.int64), np.empty(0)
-        cells = np.repeat(first - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-        weights = np.repeat(weight, sizes)
-        where = self.cell_range[cells]
-        bound = np.bincount(where, self.cell_most[cells] * weights, minlength=self.ranges)
-        visit = np.argsort(-bound, kind="stable")
-        visit = visit[bound[visit] > 0]
-        by = np.argsort(where, kind="stable")
-        cells, weights = cells[by], weights[by]
-        edges = np.searchsorted(where[by], np.arange(self.ranges + 1))
-        docs, scores, threshold, done, step = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
-        while done < len(visit):
-            # Rounding may lift a sum above its bound by a few units in the last place.
-            some = visit[done:done + step]
-            some = some[bound[some] * (1 + 1e-9) >= threshold]
-            if not len(some):
-                break
-            own = np.concatenate([np.arange(edges[r], edges[r + 1]) for r in some])
-            low, high = self.cell_at[cells[own]], self.cell_end[cells[own]]
-            n = high - low
-            post = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            local = np.searchsorted(np.sort(some), self.doc[post] // RANGE_DOCS) * RANGE_DOCS + self.doc[post] % RANGE_DOCS
-            # Postings of a document come in order of term, in every shard alike, so sums do too.
-            found = np.bincount(local, self.score[post] * np.repeat(weights[own], n), minlength=len(some) * RANGE_DOCS)
-            number = (np.sort(some)[:, None] * RANGE_DOCS + np.arange(RANGE_DOCS)[None, :]).ravel()
-            hit = found > 0
-            docs, scores = np.concatenate((docs, number[hit])), np.concatenate((scores, found[hit]))
-            if len(docs) > k:
-                best = np.lexsort((docs, -scores))[:k]
-                docs, scores = docs[best], scores[best]
-            if len(docs) == k:
-                threshold = scores.min()
-            done += step
-            step = min(64, step * 2)
-        best = np.lexsort((docs, -scores))[:k]
-        return docs[best], scores[best]
+    return packed.select("length", "terms").mapInArrow(released(run), "kind int, term bigint, df bigint, words bigint")
+
+
+def _spans(low: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers ``low[i] ... low[i] + n[i] - 1`` of all i, one after the other."""
+    return np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+
+
+def _parts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of items of at most ``PAIRS`` in sum, or of one item."""
+    total, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        stop = max(at + 1, int(np.searchsorted(total, PAIRS + (total[at - 1] if at else 0), side="right")))
+        yield at, stop
+        at = stop
+
+
+class Block:
+    """Queries and the best documents found for each so far.
+
+    Terms are numbered: common ones by their place among them, others after these in order
+    of their hash, so the terms of equal documents are summed up in the same order everywhere.
+    """
+
+    def __init__(self, queries: list[tuple], common_df: np.ndarray, dense: int, count: int, mean: float, k: int) -> None:
+        self.ids, common, weight, rare, rare_weight, rare_df = zip(*queries, strict=True)
+        flat = np.frombuffer(b"".join(rare), "<u8")
+        self.rare, first = np.unique(flat, return_index=True)
+        df = np.concatenate((common_df, np.frombuffer(b"".join(rare_df), "<u8")[first])).astype(np.float64)
+        self.idf, self.mean, self.k = np.log(1 + (count - df + 0.5) / (df + 0.5)), mean, k
+        own = [(np.frombuffer(c, "<u2"), np.frombuffer(r, "<u8")) for c, r in zip(common, rare, strict=True)]
+        self.term = np.concatenate([x for c, r in own for x in (c.astype(np.int32), (len(common_df) + np.searchsorted(self.rare, r)).astype(np.int32))])
+        self.weight = np.concatenate([np.frombuffer(x, "<u4") for pair in zip(weight, rare_weight, strict=True) for x in pair])
+        self.at = np.concatenate(([0], np.cumsum([len(c) + len(r) for c, r in own])))
+        self.used = np.zeros(len(df), bool)
+        self.used[self.term] = True
+        self.column = np.full(len(df), -1, np.int32)
+        top = np.argsort(common_df, kind="stable")[::-1][:dense]
+        self.column[top] = np.arange(len(top))
+        self.width = max(1, len(top))
+        self.best = np.zeros((len(self.ids), k)), np.zeros((len(self.ids), k), np.int64)  # scores fall; 0 is no document
+
+    def meet(self, docs: list[tuple]) -> None:
+        """Enter the documents (id, length, common, times, rare, rare times) that are among the best."""
+        copies: dict[tuple, int] = {}
+        held = []
+        for row in sorted(docs, key=lambda row: row[0]):  # of equal documents the k first suffice
+            copies[row[2:]] = n = copies.get(row[2:], 0) + 1
+            if n <= self.k:
+                held.append(row)
+        del copies
+        ids, lengths, common, times, rare, rare_times = zip(*held, strict=True)
+        ids = np.array(ids, np.int64)
+        scale = K1 * (1 - B + B * np.array(lengths, np.float64) / max(self.mean, 1e-9))
+        number = np.arange(len(held), dtype=np.int32)
+        term = np.frombuffer(b"".join(common), "<u2").astype(np.int32)
+        found = np.frombuffer(b"".join(rare), "<u8")
+        place = np.searchsorted(self.rare, found)
+        known = np.flatnonzero(self.rare[np.minimum(place, len(self.rare) - 1)] == found) if len(self.rare) else np.empty(0, np.int64)
+        wanted = np.flatnonzero(self.used[term])
+        doc = np.concatenate((np.repeat(number, [len(b) // 2 for b in common])[wanted], np.repeat(number, [len(b) // 8 for b in rare])[known]))
+        times = np.concatenate((np.frombuffer(b"".join(times), "<u4")[wanted], np.frombuffer(b"".join(rare_times), "<u4")[known])).astype(np.float64)
+        term = np.concatenate((term[wanted], (len(self.idf) - len(self.rare) + place[known]).astype(np.int32)))
+        order = np.argsort(doc, kind="stable")  # common terms stay before others, both ascend
+        doc, term, times = doc[order], term[order], times[order]
+        score = self.idf[term] * times * (K1 + 1) / (times + scale[doc])
+        doc_at = np.searchsorted(doc, np.arange(len(held) + 1))
+        column = self.column[term]
+        dense = np.zeros((len(held), self.width), np.float32)
+        dense[doc[column >= 0], column[column >= 0]] = score[column >= 0]
+        sparse = np.flatnonzero(column < 0)
+        sparse = sparse[np.argsort(term[sparse], kind="stable")]
+        postings = term[sparse], doc[sparse], score[sparse]
+        for a in range(0, len(self.ids), PIECE):
+            self._piece(a, min(a + PIECE, len(self.ids)), ids, (doc_at, term, score), dense, postings)
+
+    def _piece(self, a: int, b: int, ids: np.ndarray, by_doc: tuple, dense: np.ndarray, postings: tuple) -> None:
+        terms = self.term[self.at[a]:self.at[b]]
+        weight = self.weight[self.at[a]:self.at[b]].astype(np.float64)
+        sizes = np.diff(self.at[a:b + 1])
+        query, docs = np.repeat(np.arange(b - a), sizes), len(ids)
+        column = self.column[terms]
+        asked = np.zeros((b - a, self.width), np.float32)
+        asked[query[column >= 0], column[column >= 0]] = weight[column >= 0]
+        about = asked @ dense.T
+        flat = about.reshape(-1)
+        post_term, post_doc, post_score = postings
+        other = np.flatnonzero(column < 0)
+        low = np.searchsorted(post_term, terms[other])
+        n = np.searchsorted(post_term, terms[other], side="right") - low
+        other, low, n = other[n > 0], low[n > 0], n[n > 0]
+        for i, j in _parts(n):
+            post, of = _spans(low[i:j], n[i:j]), np.repeat(other[i:j], n[i:j])
+            flat += np.bincount(query[of] * docs + post_doc[post], post_score[post] * weight[of], minlength=len(flat))
+
+        # A sum of t numbers above 0 in float32, and each of them, is off by its share times t and a few at most.
+        off = (sizes + 16) * ROUNDING
+        least = self.best[0][a:b, -1].copy()
+        if docs > self.k:
+            new = np.flatnonzero(least == 0)
+            least[new] = np.partition(about[new], docs - self.k, axis=1)[:, docs - self.k] * (1 - off[new])
+        q, d = np.nonzero((about >= (least * (1 - 4 * off)).astype(np.float32)[:, None]) & (about > 0))
+        if not len(q):
+            return
+        doc_at, doc_term, doc_score = by_doc
+        keys, wide = query * len(self.idf) + terms, doc_at[d + 1] - doc_at[d]
+        exact = np.zeros(len(q))
+        for i, j in _parts(wide):
+            post, of = _spans(doc_at[d[i:j]], wide[i:j]), np.repeat(np.arange(i, j), wide[i:j])
+            key = q[of] * len(self.idf) + doc_term[post]
+            at = np.searchsorted(keys, key)
+            hit = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == key)
+            exact[i:j] = np.bincount(of[hit] - i, doc_score[post[hit]] * weight[at[hit]], minlength=j - i)
+        edges = np.searchsorted(q, np.arange(b - a + 1))
+        for own in np.unique(q):
+            x, y = edges[own], edges[own + 1]
+            scores = np.concatenate((self.best[0][a + own], exact[x:y]))
+            names = np.concatenate((self.best[1][a + own], ids[d[x:y]]))
+            best = np.lexsort((names, -scores))[:self.k]
+            self.best[0][a + own], self.best[1][a + own] = scores[best], names[best]
+
+    def rows(self) -> pa.RecordBatch:
+        query, at = np.nonzero(self.best[0] > 0)
+        return pa.RecordBatch.from_pydict({
+            "_query": pa.array(np.array(self.ids, np.int64)[query]), "_id": pa.array(self.best[1][query, at]), "score": pa.array(self.best[0][query, at]),
+        })
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", query_col: str = "query_id") -> DataFrame:
@@ -255,17 +322,29 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     count in the statistics. Rows may repeat: each is a document or query of its
     own. Empty tables give an empty table.
     """
-    packed = saved(vectors(docs, id_col), "bm25-docs")
+    packed = vectors(docs, id_col)
     asked = saved(vectors(queries, query_col).filter("length > 0").withColumn("_query", F.monotonically_increasing_id()), "bm25-queries")
-    count, length = packed.agg(F.count(F.lit(1)), F.sum("length")).first()
-    count, mean = count or 0, (length or 0) / max(count or 1, 1)
-    shards = max(1, -(-count // SHARD_DOCS))
-    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-
-    wanted = term_rows(asked, "uses").select("term").distinct()
-    df = term_rows(packed).join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
+    queried, held = asked.agg(F.count(F.lit(1)), F.sum(F.octet_length("terms") / 8)).first()
+    query_blocks = max(1, -(-queried // QUERY_BLOCK), -(-int(held or 0) // BLOCK_TERMS))
+
+    wanted = term_rows(asked).select("kind", "term").distinct()
+    totals = term_rows(packed).groupBy("kind", "term").agg(F.sum("df").alias("df"), F.sum("words").alias("words"))
+    df = saved(totals.join(wanted, ["kind", "term"]), "bm25-df")
+    stats = df.filter("kind = 1").select("df", "words").first()
+    count, mean = (stats[0], stats[1] / stats[0]) if stats else (0, 0.0)
+    df = df.filter("kind = 0").select("term", "df")
+    shards = min(SHARDS, max(1, -(-count // SHARD_DOCS)))
     spread = asked.withColumn("_block", F.pmod(F.xxhash64("_query"), F.lit(query_blocks)).cast("int"))
 
+    # Frequencies are counted by eighths of a power of two; the common terms are as many of the upper steps as fit.
+    step = F.floor(F.log2("df") * 8).cast("int")
+    steps = sorted(df.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    fit = [row.step for row, total in zip(steps, np.cumsum([row.n for row in steps]), strict=True) if total <= COMMON]
+    top = df.filter(step >= fit[-1]).collect() if fit else []
+    common = np.array([row.term for row in top], np.int64).view(np.uint64)
+    common_df = np.array([row.df for row in top], "<u8")[np.argsort(common)]
+    common = np.sort(common)
+
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blobs, times = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -279,38 +358,73 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     terms = spread.select("_block", "_query", "terms", "counts").mapInArrow(released(exploded), "_block int, _query bigint, term bigint, weight int")
     weighed = terms.join(df, "term").groupBy("_block", "_query").agg(F.collect_list(F.struct("term", "weight", "df")).alias("own"))
 
+    def parted(term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number among common terms, whether it is one) of each term."""
+        at = np.searchsorted(common, term)
+        return at, common[np.minimum(at, len(common) - 1)] == term if len(common) else np.zeros(len(term), bool)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[(t["term"] & (2 ** 64 - 1), t["weight"], t["df"]) for t in own] for own in batch.column(2).to_pylist()]
-            blob = [np.array(sorted(own), dtype=QUERY_TERM).tobytes() for own in rows]
-            yield pa.RecordBatch.from_pydict({"_block": batch.column(0), "_query": batch.column(1), "own": pa.array(blob, pa.binary())})
-
-    ready = saved(weighed.mapInArrow(released(pack), "_block int, _query bigint, own binary"), "bm25-weights")
-    shard = F.pmod(F.xxhash64("_id", "terms"), F.lit(shards)).cast("int")
-    # Every shard meets every block of queries, one pair per group.
-    left = packed.withColumn("_shard", shard).select(
-        "_shard", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("_block"), "_id", "length", "terms", "counts"
+            columns: list[list[bytes]] = [[], [], [], [], []]
+            for row in batch.column(2).to_pylist():
+                own = np.array(sorted((t["term"] & (2 ** 64 - 1), t["weight"], t["df"]) for t in row), dtype=QUERY_TERM)
+                at, is_common = parted(own["term"])
+                rest = own[~is_common]
+                for column, value in zip(columns, (at[is_common].astype("<u2"), own["weight"][is_common], rest["term"], rest["weight"], rest["df"]), strict=True):
+                    column.append(value.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.binary()) for c in columns]], ["_block", "_id", *PACKED, "dfs"])
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: list[list[bytes]] = [[], [], [], []]
+            for blob, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                term, times = np.frombuffer(blob, "<u8"), np.frombuffer(counts, "<u4")
+                at, is_common = parted(term)
+                for column, value in zip(columns, (at[is_common].astype("<u2"), times[is_common], term[~is_common], times[~is_common]), strict=True):
+                    column.append(value.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.binary()) for c in columns]], ["_id", "length", *PACKED])
+
+    blobs = ", ".join(f"{name} binary" for name in PACKED)
+    ready = saved(weighed.mapInArrow(released(pack), f"_block int, _id bigint, {blobs}, dfs binary"), "bm25-weights")
+    rows = packed.filter("length > 0").mapInArrow(released(coded), f"_id bigint, length bigint, {blobs}")
+    shard = F.pmod(F.xxhash64("_id", "common", "rare"), F.lit(shards))
+    # Every shard meets every block of queries; a unit's queries come before its documents.
+    unit = lambda block, of: (F.col(block) * shards + of).cast("int").alias("_unit")
+    left = rows.withColumn("_shard", shard).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).select(
+        unit("_block", F.col("_shard")), F.lit(1).alias("_kind"), "_id", "length", *PACKED, F.lit(None).cast("binary").alias("dfs")
+    )
+    right = ready.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select(
+        unit("_block", F.col("_shard")), F.lit(0).alias("_kind"), "_id", F.lit(0).cast("bigint").alias("length"), *PACKED, "dfs"
     )
-    right = ready.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"), "_block", "_query", "own")
-
-    def best(docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"_query": [], "_id": [], "score": []}
-        if len(docs) and len(asked):
-            own = [np.frombuffer(b, QUERY_TERM) for b in asked["own"]]
-            terms, at = np.unique(np.concatenate([o["term"] for o in own]), return_index=True)
-            df = np.concatenate([o["df"] for o in own])[at].astype(np.float64)
-            index = Shard(
-                docs["_id"].to_numpy(np.int64), docs["length"].to_numpy(np.float64), docs["terms"].tolist(), docs["counts"].tolist(),
-                terms, np.log(1 + (count - df + 0.5) / (df + 0.5)), mean,
-            )
-            for query, o in zip(asked["_query"].tolist(), own, strict=True):
-                found, scores = index.top(np.searchsorted(terms, o["term"]), o["weight"].astype(np.float64), k)
-                out["_query"] += [query] * len(found)
-                out["_id"] += index.ids[found].tolist()
-                out["score"] += scores.tolist()
-        return pd.DataFrame({"_query": pd.Series(out["_query"], dtype="int64"), "_id": pd.Series(out["_id"], dtype="int64"), "score": pd.Series(out["score"], dtype="float64")})
-
-    found = left.groupBy("_shard", "_block").cogroup(right.groupBy("_shard", "_block")).applyInPandas(best, "_query bigint, _id bigint, score double")
+    dense, chunk = DENSE, SHARD_DOCS
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, asked, docs, size, block = None, [], [], 0, None
+        for batch in sliced(batches):
+            for own, kind, row_id, length, *blobs, dfs in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if own != unit:
+                    if docs:
+                        block.meet(docs)
+                    if block:
+                        yield block.rows()
+                    unit, asked, docs, size, block = own, [], [], 0, None
+                if kind == 0:
+                    asked.append((row_id, *blobs, dfs))
+                elif asked or block:
+                    if not block:
+                        block, asked = Block(asked, common_df, dense, count, mean, k), []
+                    docs.append((row_id, length, *blobs))
+                    size += len(blobs[0]) // 2 + len(blobs[2]) // 8
+                    if len(docs) >= chunk or size >= CHUNK_TERMS:
+                        block.meet(docs)
+                        docs, size = [], 0
+        if docs:
+            block.meet(docs)
+        if block:
+            yield block.rows()
+
+    units = left.unionByName(right).repartition("_unit").sortWithinPartitions("_unit", "_kind")
+    found = units.mapInArrow(released(best), "_query bigint, _id bigint, score double")
     order = Window.partitionBy("_query").orderBy(F.col("score").desc(), F.col("_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     names = asked.select("_query", real_id("_id").alias("query_id"))

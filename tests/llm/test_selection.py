@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import os
+import random
 import re
 
 import duckdb
@@ -316,6 +317,62 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert bm25.search(docs, none).collect() == [] == bm25.search(docs.limit(0), spark.createDataFrame(asked, "query_id long, text string")).collect()
 
 
+@pytest.mark.parametrize("common, dense", [(0, 4), (12, 4), (1 << 16, 1024)])
+def test_search_by_few_numbered_terms_in_small_chunks(spark, monkeypatch, common, dense):
+    """Common, dense and hashed terms, and copies that fill whole chunks."""
+    for name, value in {"COMMON": common, "DENSE": dense, "SHARDS": 2, "SHARD_DOCS": 16, "QUERY_BLOCK": 9}.items():
+        monkeypatch.setattr(bm25, name, value)
+    r = random.Random(4)
+    words = [f"w{j}" for j in range(40)] + [f"Rare{j}" for j in range(300)]
+    rows = [(i, " ".join(r.choices(words, weights=[9] * 40 + [1] * 300, k=r.randint(1, 40)))) for i in range(160)]
+    rows += [(i, rows[3][1]) for i in range(500, 560)] + [(None, rows[7][1]), (None, rows[7][1])]
+    asked = [row for row in rows if row[0] is not None and row[0] % 20 == 0 or row[0] in (3, 7)]
+    found = bm25.search(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(asked, "query_id long, text string"), k=5)
+    got = collections.defaultdict(list)
+    for x in found.orderBy("query_id", "rank").collect():
+        got[x.query_id].append((x.doc_id, round(x.score, 6)))
+    counted = [(i, collections.Counter(t.lower().split())) for i, t in rows]
+    df = collections.Counter(w for _, c in counted for w in c)
+    mean = sum(sum(c.values()) for _, c in counted) / len(rows)
+    for q, text in asked:
+        scored = []
+        for i, c in counted:
+            size = 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)
+            s = sum(n * math.log(1 + (len(rows) - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2 / (c[w] + size) for w, n in collections.Counter(text.lower().split()).items() if w in c)
+            if s > 0:
+                scored.append((-round(s, 9), -1 if i is None else i, round(s, 6)))
+        want = [(None if i < 0 else i, s) for _, i, s in sorted(scored)[:5]]
+        assert [i for i, _ in got[q]] == [i for i, _ in want] and all(math.isclose(a[1], b[1], abs_tol=2e-6) for a, b in zip(got[q], want, strict=True))
+
+
+def test_search_pieces_and_lists(monkeypatch):
+    """A block's lists stay k long whatever the chunks, and small pieces give the same."""
+    r = np.random.default_rng(3)
+
+    def packed(n: int) -> list[tuple]:
+        out = []
+        for _ in range(n):
+            term = np.unique(r.integers(0, 30, 12))
+            rare = np.unique(r.integers(100, 140, 6)).astype("<u8")
+            out.append((term.astype("<u2").tobytes(), r.integers(1, 4, len(term)).astype("<u4").tobytes(), rare.tobytes(), r.integers(1, 4, len(rare)).astype("<u4").tobytes()))
+        return out
+
+    asked = [(i, *p, np.full(len(p[2]) // 8, 9, "<u8").tobytes()) for i, p in enumerate(packed(20))]
+    docs = [(i, 18, *p) for i, p in enumerate(packed(300))]
+
+    def found(step: int) -> list[dict]:
+        block = bm25.Block(asked, np.arange(40, 70, dtype="<u8"), 8, 300, 18.0, 6)
+        for at in range(0, 300, step):
+            block.meet(docs[at:at + step])
+        return block.rows().to_pylist()
+
+    whole = found(300)
+    assert len(whole) == 20 * 6
+    for name, value in {"PAIRS": 7, "PIECE": 3}.items():
+        monkeypatch.setattr(bm25, name, value)
+    assert found(25) == whole
+
+
 def test_pipeline_equals_plain_stages(spark):
     """Each stage against its plain form, on what the stage before it really gave."""
     import numpy as np
