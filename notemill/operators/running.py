@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from notemill.session import saved
+
 
 @dataclass(frozen=True)
 class Running:
@@ -150,6 +152,9 @@ def _carried(
         .groupBy(*keys, name)
         .agg(*[run.summary(f"_in_{out}", order).alias(f"_sum_{out}") for out, run in runs.items()])
     )
+    if widths and level == 0:
+        # The next level reads the summary twice; without a copy each time would read the rows again.
+        summary = saved(summary, "slices")
     upper = {out: Running(run.kind, F.col(f"_sum_{out}")) for out, run in runs.items()}
     return running(summary, keys, name, upper, widths, level=level + 1).select(*keys, name, *runs)
 

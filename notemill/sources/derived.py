@@ -128,11 +128,14 @@ def raw_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating disputes as raw text, one sheet per year, rows numbered per sheet."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    # A sheet is a year. Rows are numbered as they are in the table; their longer texts are made afterwards.
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", *order, "l_shipdate", F.year("l_shipdate").alias("year"))
+    numbered = row_numbers(rows, ["year"], "l_orderkey", ROW_WIDTHS, order, "sheet_row")
     q = F.col("l_quantity").cast("int")
-    year = F.year("l_shipdate")
     day = F.date_format("l_shipdate", "yyyy/MM/dd")
     line, pick = F.col("l_linenumber"), F.col("l_suppkey") % 10
-    rows = table(spark, sf_dir, "lineitem").select(
+    return numbered.select(
         F.concat(F.lit("song_"), F.col("l_partkey").cast("string")).alias("song_name"),
         F.when(F.col("l_suppkey") % 20 == 7, "no").otherwise(q.cast("string")).alias("old_diff"),
         F.when(line == 1, "no change").when(line == 2, "change")
@@ -141,12 +144,7 @@ def contested(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(line == 6, "200").otherwise((q + 2).cast("string")).alias("new_diff"),
         F.when(pick == 3, F.lit(None)).when(pick == 4, F.concat(F.lit("v"), day))
         .when(pick == 5, "n/a").otherwise(day).alias("date"),
-        F.concat(year.cast("string"), F.lit(" Difficulty Changes")).alias("source_sheet"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-    )
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    return row_numbers(rows, ["source_sheet"], "l_orderkey", ROW_WIDTHS, order, "sheet_row").select(
-        "song_name", "old_diff", "new_diff", "date", "source_sheet", "sheet_row"
+        F.concat(F.col("year").cast("string"), F.lit(" Difficulty Changes")).alias("source_sheet"), "sheet_row",
     )
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notemill.operators.cdc import scope
+from notemill.session import saved
 
 BUCKET = "song_bucket"
 BUCKET_COUNT = "song.buckets"  # table property
@@ -144,9 +145,9 @@ def replace_songs(
     Only the buckets of the keys are read and written, by dynamic partition
     overwrite: their other songs are carried over. A bucket left without rows
     is not overwritten by Spark, so it is dropped explicitly; which ones those
-    are is read from the keys of what will be written, before it is. The step
-    is idempotent, hence a run that died between buckets is repaired by running
-    the same batch again.
+    are is read from the keys of what will be written, before it is: the new rows
+    are made once, in a copy that both read. The step is idempotent, hence a run
+    that died between buckets is repaired by running the same batch again.
     """
     buckets = bucket_count(spark, name)
     touched = touched_buckets(keys, buckets, key)
@@ -154,7 +155,7 @@ def replace_songs(
         return
     current = read_table(spark, name)
     kept = current.filter(F.col(BUCKET).isin(touched)).join(keys.select(key), key, "left_anti")
-    fresh = rows.withColumn(BUCKET, bucket_of(key, buckets))
+    fresh = saved(rows.withColumn(BUCKET, bucket_of(key, buckets)), "fresh-songs")
     filled = {r[0] for r in kept.select(BUCKET).unionByName(fresh.select(BUCKET)).distinct().collect()}
     out = kept.select(*current.columns).unionByName(fresh.select(*current.columns)).hint("rebalance", BUCKET)
     with dynamic_overwrite(spark):

@@ -119,3 +119,21 @@ def test_the_search_for_a_slice_copies_no_splitters(spark, monkeypatch):
     numbered = row_numbers(df, ["k"], "p", name="n", rows_per_task=50)
     want = F.row_number().over(Window.partitionBy("k").orderBy("p"))
     assert numbered.withColumn("w", want).filter("n <> w").count() == 0 and numbered.count() == 30_000
+
+
+def test_slice_summaries_read_the_rows_once(spark):
+    """Two levels of slices read their summary twice, but the rows only for the one summary and for the result."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(400).selectExpr("id % 3 AS song", "id AS at", "nullif(id % 7, 0) AS value").mapInPandas(counted, "song long, at long, value long")
+    filled = running(rows, ["song"], "at", {"last": Running("last", F.col("value"))}, (10, 100), include_current=True)
+    assert filled._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+    got = filled.collect()
+    assert seen.value == 800
+    held = lambda r: next((i % 7 for i in range(r.at, -1, -3) if i % 7), None)
+    assert all(r["last"] == held(r) for r in got) and len(got) == 400

@@ -237,3 +237,21 @@ def test_staleness(spark, rows):
     assert audit.staleness_verdict(checked).first().state == "failed"
     assert audit.staleness_verdict(checked.filter("key = 'y'")).first().state == "passed"
     assert rows(audit.catalog_state(spark, ["bronze__none"])) == [("bronze", "bronze__none", False)]
+
+
+def test_replaced_songs_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    with database(spark, "made_once"):
+        tables.drop_tables(spark, ["made"])
+        tables.create_bucketed(spark.createDataFrame([(i, 0) for i in range(40)], "song_id long, note_id int"), "made", 4)
+        fresh = spark.createDataFrame([(i, 1) for i in range(10)], "song_id long, note_id int").mapInPandas(counted, "song_id long, note_id int")
+        tables.replace_songs(spark, "made", fresh, spark.range(20).selectExpr("id AS song_id"))
+        assert made.value == 10
+        assert sorted(map(tuple, tables.read_bucketed(spark, "made").collect())) == [(i, 1) for i in range(10)] + [(i, 0) for i in range(20, 40)]
+        tables.drop_tables(spark, ["made"])
