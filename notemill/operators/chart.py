@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,8 +85,8 @@ def merged_counts(counts: DataFrame, removed: DataFrame, added: DataFrame) -> Da
     return total.withColumn("n", F.when(F.col("n") > 0, F.col("n")).otherwise(wrong.cast("bigint")))
 
 
-def percentile_of_counts(counts: DataFrame, share: float) -> DataFrame:
-    """One row (p): the percentile with interpolation of the column that ``counts`` (value, n) stands for.
+def _ranked_counts(counts: DataFrame) -> tuple[DataFrame, Column]:
+    """(value, n, _from) with the 0-based rank of each value's first row, and the number of all rows.
 
     Values are sorted by ranges; only the totals of ranges meet in one task.
     """
@@ -95,17 +97,32 @@ def percentile_of_counts(counts: DataFrame, share: float) -> DataFrame:
     before = lambda window: F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     slices = placed.groupBy("_task").agg(F.sum("n").alias("n"))
     offsets = slices.select("_task", before(Window.orderBy("_task")).alias("_offset"))  # one row per task
-    reached = placed.join(offsets, "_task").withColumn("_from", F.col("_offset") + before(Window.partitionBy("_task").orderBy("value")))
-    total = placed.agg(F.sum("n").alias("n")).scalar()
+    ranked = placed.join(offsets, "_task").withColumn("_from", F.col("_offset") + before(Window.partitionBy("_task").orderBy("value")))
+    return ranked, placed.agg(F.sum("n").alias("n")).scalar()
+
+
+def _holds(rank: Column) -> Column:
+    return (F.col("_from") <= rank) & (rank < F.col("_from") + F.col("n"))
+
+
+def percentile_of_counts(counts: DataFrame, share: float) -> DataFrame:
+    """One row (p): the percentile with interpolation of the column that ``counts`` (value, n) stands for."""
+    ranked, total = _ranked_counts(counts)
     place = F.lit(share) * (total - 1)
-    holds = lambda rank: (F.col("_from") <= rank) & (rank < F.col("_from") + F.col("n"))
     low, high = F.floor(place), F.ceil(place)
-    ends = reached.agg(
-        F.max(F.when(holds(low), F.col("value").cast("double"))).alias("low"), F.max(F.when(holds(high), F.col("value").cast("double"))).alias("high"),
+    ends = ranked.agg(
+        F.max(F.when(_holds(low), F.col("value").cast("double"))).alias("low"), F.max(F.when(_holds(high), F.col("value").cast("double"))).alias("high"),
     )
     return ends.select(F.when(low == high, F.col("low")).otherwise((high - place) * F.col("low") + (place - low) * F.col("high")).alias("p"))
 
 
+def quantiles_of_counts(counts: DataFrame, shares: Mapping[str, float]) -> DataFrame:
+    """One row: by name, the smallest value that at least that share of the rows doesn't exceed, without interpolation."""
+    ranked, total = _ranked_counts(counts)
+    rank = lambda share: F.greatest(F.ceil(F.lit(share) * total), F.lit(1)) - 1
+    return ranked.agg(*[F.max(F.when(_holds(rank(share)), F.col("value"))).alias(name) for name, share in shares.items()])
+
+
 def chart_features(songlist: DataFrame, keys: DataFrame | None = None, accuracy: int | None = None) -> DataFrame:
     """``ln(note_count) / ln(p95 of note_count)``.
 

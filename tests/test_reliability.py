@@ -127,3 +127,24 @@ def test_reports(spark):
     assert (row["count"], row.mean, row.min, row.max) == (2, 5.0, 4.0, 6.0)
     assert [r.a for r in profile.top_k(df, "b", 2, tiebreak=["a"]).collect()] == [3, 2]
     assert profile.count_by(df, "a").count() == 3
+
+
+@pytest.mark.parametrize("kind", ["double", "int", "decimal(9,3)"])
+def test_quartiles_of_high_accuracy_come_from_counts_of_values(spark, kind):
+    """A sketch of such accuracy would hold all rows in one task; counts of values give the same quartiles."""
+    rows = spark.range(0, 997, 1, 5).select(F.when(F.col("id") % 50 != 0, (F.col("id") * 37 % 101 - 40) / 8).cast(kind).alias("v"))
+    for df in (rows, rows.limit(1).filter("v IS NULL"), rows.filter("v IS NOT NULL").limit(2)):
+        found = profile.numeric_profile(df, "v", accuracy=10_000_000)
+        c = F.col("v")
+        sketch = df.agg(
+            F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("stddev"), F.min(c).alias("min"),
+            *[F.percentile_approx(c, share, 10_000_000).alias(name) for name, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))], F.max(c).alias("max"),
+        )
+        assert found.dtypes == sketch.dtypes
+        got, want = found.first().asDict(), sketch.first().asDict()
+        for name in ("mean", "stddev"):  # sums of doubles depend on their order
+            one, other = got.pop(name), want.pop(name)
+            assert one == other or float(one) == pytest.approx(float(other), rel=1e-12)
+        assert got == want
+        assert "percentile_approx" not in found._jdf.queryExecution().toString()
+    assert "percentile_approx" in profile.numeric_profile(rows, "v")._jdf.queryExecution().toString()
