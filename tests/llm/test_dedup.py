@@ -189,3 +189,38 @@ def test_vector_table_cases(spark):
     got = sorted((tuple(r) for r in ego.near_duplicates(spark.createDataFrame(rows, schema)).collect()), key=repr)
     assert got == sorted([(5, 2, 5, True), (5, 2, 5, True), (None, 2, 5, True), (None, 0, None, True)], key=repr)
     assert ego.near_duplicates(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_in_many_groups_are_never_copied(spark, monkeypatch, kind):
+    """Groups meet without a shuffle of their vectors, whether they come in one precision or the other; equal digests don't mix vectors up."""
+    r = np.random.default_rng(5)
+    centres = r.normal(0, 1, (25, 12))
+    rows = [(i, (np.float32(centres[r.integers(0, 25)] + r.normal(0, 0.12, 12))).astype(float).tolist()) for i in range(260)]
+    rows += [(500, rows[0][1]), (501, rows[0][1]), (502, [-0.0] + [1.0] * 11), (503, [0.0] + [1.0] * 11), (504, [0.0] * 12), (505, [1.0, 0.0]), (506, None)]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    monkeypatch.setattr(ego, "BLOCKS", 2)
+    plans, was = [], ego.joined
+    monkeypatch.setattr(ego, "joined", lambda parts, *a: plans.append((parts.count(), was(parts, *a)._jdf.queryExecution().executedPlan().toString())) or was(parts, *a))
+    got = {x[0]: tuple(x[1:]) for x in ego.near_duplicates(table, 0.95, block=4).collect()}
+    assert got == brute_vectors(rows, 0.95)
+    count, plan = plans[0]
+    assert count > 20 and not [line for line in plan.split("\n") if "Exchange" in line and "BroadcastExchange" not in line]
+    monkeypatch.setattr(ego, "_digest", lambda vector: [F.lit(0), F.lit(0)])
+    assert {x[0]: tuple(x[1:]) for x in ego.near_duplicates(table, 0.95, block=4).collect()} == got
+
+
+def test_close_vectors_are_told_apart_in_doubles():
+    """Float32 products that can't tell whether a pair reaches the least cosine give way to double precision."""
+    r = np.random.default_rng(6)
+    left = r.normal(0, 1, (40, 16))
+    other = r.normal(0, 1, (40, 16))
+    unit = lambda x: x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    left = unit(left)
+    side = unit(other - (other * left).sum(axis=1, keepdims=True) * left)
+    cosine = 0.95 + r.choice([-1, 1], (40, 1)) * 10.0 ** -r.integers(8, 13, (40, 1))
+    right = cosine * left + np.sqrt(1 - cosine * cosine) * side
+    group = lambda number, x: ego.Group(number, 16, np.arange(40).astype("<i8").tobytes(), np.ones(40, "<i8").tobytes(), x.astype("<f8").tobytes(), "<f8", {}, 16)
+    found = {(int(x), int(y)) for xs, ys in ego._close(group(0, left), group(1, right), 0.95, np.sqrt(0.1)) for x, y in zip(xs, ys, strict=True)}
+    want = unit(left) @ unit(right).T >= 0.95
+    assert {(i, i) for i in range(40) if cosine[i, 0] > 0.95} == {x for x in found if x[0] == x[1]} and found == {tuple(map(int, x)) for x in np.argwhere(want)}
