@@ -42,6 +42,7 @@ BLOCK_TERMS = 1 << 24  # their terms, about
 COMMON = 1 << 16      # terms that get a number of two bytes, at most
 DENSE = 1024          # terms of the matrix product
 PIECE = 128           # queries met at a time
+TABLE = 1 << 19       # cells of the table of weights that exact scores are read off
 PAIRS = 1 << 19       # products, or postings of documents, worked on at a time
 ROUNDING = 2.0 ** -22  # share by which a term may move a float32 sum, four times the unit roundoff
 QUERY_TERM = np.dtype([("term", "<u8"), ("weight", "<u4"), ("df", "<u8")])
@@ -201,6 +202,18 @@ def _parts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         at = stop
 
 
+def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of queries of these sizes whose table, of each query by the terms of all, has ``TABLE`` cells at most, or of one query."""
+    at, stop, total = 0, 0, 0
+    for stop, size in enumerate(sizes.tolist()):
+        if stop > at and (stop + 1 - at) * (total + size) > TABLE:
+            yield at, stop
+            at, total = stop, 0
+        total += size
+    if len(sizes):
+        yield at, stop + 1
+
+
 class Block:
     """Queries and the best documents found for each so far.
 
@@ -224,6 +237,7 @@ class Block:
         top = np.argsort(common_df, kind="stable")[::-1][:dense]
         self.column[top] = np.arange(len(top))
         self.width = max(1, len(top))
+        self.slot, self.weights = np.full(len(df), -1, np.int32), np.zeros(0)  # empty between calls of _exact
         self.best = np.zeros((len(self.ids), k)), np.zeros((len(self.ids), k), np.int64)  # scores fall; 0 is no document
 
     def meet(self, docs: list[tuple]) -> None:
@@ -256,7 +270,8 @@ class Block:
         dense[doc[column >= 0], column[column >= 0]] = score[column >= 0]
         sparse = np.flatnonzero(column < 0)
         sparse = sparse[np.argsort(term[sparse], kind="stable")]
-        postings = term[sparse], doc[sparse], score[sparse]
+        first = np.concatenate(([0], np.cumsum(np.bincount(term[sparse], minlength=len(self.idf)))))
+        postings = first, doc[sparse].astype(np.int64), score[sparse]
         for a in range(0, len(self.ids), PIECE):
             self._piece(a, min(a + PIECE, len(self.ids)), ids, (doc_at, term, score), dense, postings)
 
@@ -270,14 +285,17 @@ class Block:
         asked[query[column >= 0], column[column >= 0]] = weight[column >= 0]
         about = asked @ dense.T
         flat = about.reshape(-1)
-        post_term, post_doc, post_score = postings
+        first, post_doc, post_score = postings
         other = np.flatnonzero(column < 0)
-        low = np.searchsorted(post_term, terms[other])
-        n = np.searchsorted(post_term, terms[other], side="right") - low
+        low = first[terms[other]]
+        n = first[terms[other] + 1] - low
         other, low, n = other[n > 0], low[n > 0], n[n > 0]
         for i, j in _parts(n):
-            post, of = _spans(low[i:j], n[i:j]), np.repeat(other[i:j], n[i:j])
-            flat += np.bincount(query[of] * docs + post_doc[post], post_score[post] * weight[of], minlength=len(flat))
+            post = _spans(low[i:j], n[i:j])
+            place, product = np.repeat(query[other[i:j]] * docs, n[i:j]), np.repeat(weight[other[i:j]], n[i:j])
+            place += post_doc[post]
+            product *= post_score[post]
+            flat += np.bincount(place, product, minlength=len(flat))
 
         # A sum of t numbers above 0 in float32, and each of them, is off by its share times t and a few at most.
         off = (sizes + 16) * ROUNDING
@@ -285,25 +303,42 @@ class Block:
         if docs > self.k:
             new = np.flatnonzero(least == 0)
             least[new] = np.partition(about[new], docs - self.k, axis=1)[:, docs - self.k] * (1 - off[new])
-        q, d = np.nonzero((about >= (least * (1 - 4 * off)).astype(np.float32)[:, None]) & (about > 0))
+        least = np.maximum((least * (1 - 4 * off)).astype(np.float32), np.finfo(np.float32).smallest_subnormal)
+        q, d = np.divmod(np.flatnonzero((about >= least[:, None]).reshape(-1)), docs)
         if not len(q):
             return
-        doc_at, doc_term, doc_score = by_doc
-        keys, wide = query * len(self.idf) + terms, doc_at[d + 1] - doc_at[d]
         exact = np.zeros(len(q))
-        for i, j in _parts(wide):
-            post, of = _spans(doc_at[d[i:j]], wide[i:j]), np.repeat(np.arange(i, j), wide[i:j])
-            key = q[of] * len(self.idf) + doc_term[post]
-            at = np.searchsorted(keys, key)
-            hit = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == key)
-            exact[i:j] = np.bincount(of[hit] - i, doc_score[post[hit]] * weight[at[hit]], minlength=j - i)
         edges = np.searchsorted(q, np.arange(b - a + 1))
-        for own in np.unique(q):
-            x, y = edges[own], edges[own + 1]
-            scores = np.concatenate((self.best[0][a + own], exact[x:y]))
-            names = np.concatenate((self.best[1][a + own], ids[d[x:y]]))
-            best = np.lexsort((names, -scores))[:self.k]
-            self.best[0][a + own], self.best[1][a + own] = scores[best], names[best]
+        for i, j in _runs(sizes):
+            x, y = edges[i], edges[j]
+            if x < y:
+                own = slice(self.at[a + i] - self.at[a], self.at[a + j] - self.at[a])
+                exact[x:y] = self._exact(q[x:y] - i, d[x:y], query[own] - i, terms[own], weight[own], by_doc)
+        own = np.flatnonzero(edges[1:] > edges[:-1])
+        of = np.concatenate((np.repeat(own, self.k), q))
+        scores, names = np.concatenate((self.best[0][a + own].reshape(-1), exact)), np.concatenate((self.best[1][a + own].reshape(-1), ids[d]))
+        order = np.lexsort((names, -scores, of))
+        best = order[np.searchsorted(of[order], own)[:, None] + np.arange(self.k)]
+        self.best[0][a + own], self.best[1][a + own] = scores[best], names[best]
+
+    def _exact(self, q: np.ndarray, d: np.ndarray, query: np.ndarray, terms: np.ndarray, weight: np.ndarray, by_doc: tuple) -> np.ndarray:
+        """Scores, summed up in the order of terms, of the documents ``d`` for the queries ``q``; these have ``weight`` of ``terms`` each."""
+        doc_at, doc_term, doc_score = by_doc
+        self.slot[terms] = np.arange(len(terms), dtype=np.int32)  # of queries that share a term, any one's place
+        keys = query * len(terms) + self.slot[terms]
+        if len(self.weights) < (int(query[-1]) + 1) * len(terms):
+            self.weights = np.zeros((int(query[-1]) + 1) * len(terms))
+        self.weights[keys] = weight
+        wide, exact = doc_at[d + 1] - doc_at[d], np.zeros(len(q))
+        for i, j in _parts(wide):
+            post, of = _spans(doc_at[d[i:j]], wide[i:j]), np.repeat(np.arange(j - i), wide[i:j])
+            slot = self.slot[doc_term[post]]
+            hit = np.flatnonzero(slot >= 0)
+            post, of = post[hit], of[hit]
+            exact[i:j] = np.bincount(of, doc_score[post] * self.weights[q[i:j][of] * len(terms) + slot[hit]], minlength=j - i)
+        self.weights[keys] = 0
+        self.slot[terms] = -1
+        return exact
 
     def rows(self) -> pa.RecordBatch:
         query, at = np.nonzero(self.best[0] > 0)

@@ -373,6 +373,33 @@ def test_search_pieces_and_lists(monkeypatch):
     assert found(25) == whole
 
 
+@pytest.mark.parametrize("cells", [1, 200, 1 << 19])
+def test_exact_scores_are_read_off_a_bounded_table(monkeypatch, cells):
+    """Queries that share terms, in runs of any size; the table is empty again after each chunk."""
+    monkeypatch.setattr(bm25, "TABLE", cells)
+    r = np.random.default_rng(8)
+
+    def packed() -> tuple[dict, tuple]:
+        term, rare = np.unique(r.integers(0, 30, 14)), np.unique(r.integers(100, 140, 8)).astype("<u8")
+        times = r.integers(1, 4, len(term) + len(rare)).astype("<u4")
+        return dict(zip([*term.tolist(), *rare.tolist()], times.tolist(), strict=True)), (term.astype("<u2").tobytes(), times[:len(term)].tobytes(), rare.tobytes(), times[len(term):].tobytes())
+
+    queries, docs = [packed() for _ in range(15)], [packed() for _ in range(120)]
+    df = {**{t: 40 + t for t in range(30)}, **dict.fromkeys(range(100, 140), 9)}
+    block = bm25.Block([(i, *p, np.full(len(p[2]) // 8, 9, "<u8").tobytes()) for i, (_, p) in enumerate(queries)], np.arange(40, 70, dtype="<u8"), 8, 120, 18.0, 5)
+    for at in range(0, 120, 30):
+        block.meet([(i, 18, *docs[i][1]) for i in range(at, at + 30)])
+        most = max(len(q) for q, _ in queries)
+        assert (block.slot == -1).all() and not block.weights.any() and len(block.weights) <= max(cells, most)
+    got = collections.defaultdict(list)
+    for row in block.rows().to_pylist():
+        got[row["_query"]].append((row["_id"], row["score"]))
+    for i, (q, _) in enumerate(queries):
+        score = lambda d: sum(q[t] * math.log(1 + (120.5 - df[t]) / (df[t] + 0.5)) * d[t] * 2.2 / (d[t] + 1.2) for t in q if t in d)
+        want = sorted((-round(score(d), 9), j) for j, (d, _) in enumerate(docs))[:5]
+        assert [j for j, _ in got[i]] == [j for _, j in want] and all(math.isclose(a[1], -b[0], abs_tol=1e-8) for a, b in zip(got[i], want, strict=True))
+
+
 def test_pipeline_equals_plain_stages(spark):
     """Each stage against its plain form, on what the stage before it really gave."""
     import numpy as np
